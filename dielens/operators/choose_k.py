@@ -16,15 +16,24 @@ from statistics import median
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dielens.functions.scalars import named
 from dielens.operators.clusters import SEED, VECTOR, estimator, feature_frame
 from dielens.operators.knee import bic_choice, knee_point
-from dielens.operators.sweeps import group_sizes, grouped_points, kmeans_sweep, mixture_sweep
+from dielens.operators.sweeps import (
+    closest_centre,
+    group_sizes,
+    grouped_points,
+    kmeans_sweep,
+    mixture_label,
+    mixture_sweep,
+)
 
 FITS_AT_A_TIME = 8
+ROWS_PER_TASK = 4000
 
 
 @contextmanager
@@ -50,6 +59,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(width) if df.rdd.getNumPartitions() < width else df
 
 
+def narrowed(held: DataFrame, n_rows: int) -> DataFrame:
+    """A small cached frame read in few tasks: iterations are then not all overhead."""
+    wanted = max(1, n_rows // ROWS_PER_TASK)
+    return held.coalesce(wanted) if wanted < held.rdd.getNumPartitions() else held
+
+
 def _curve(df: DataFrame, rows: list[tuple], names: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, names)
 
@@ -63,7 +78,9 @@ def kmeans_cost_sweep(
 ) -> DataFrame:
     """(k, cost): within-cluster sum of squares for each k; all k share each scan."""
     with cached(_points(df, features)) as points:
-        fits = kmeans_sweep(points, [(0, int(k)) for k in ks], group_sizes(points), seed, max_iter)
+        sizes = group_sizes(points)
+        points = narrowed(points, sizes.get(0, 0))
+        fits = kmeans_sweep(points, [(0, int(k)) for k in ks], sizes, seed, max_iter)
     return _curve(df, [(f.k, f.cost) for f in fits], "k int, cost double")
 
 
@@ -73,7 +90,7 @@ def bisecting_cost_sweep(
 ) -> DataFrame:
     """(k, cost) by bisecting k-means."""
     with cached(spread(feature_frame(df, features, keep=False))) as vectors:
-        vectors.count()
+        vectors = narrowed(vectors, vectors.count())
 
         def cost(k: int) -> tuple[int, float]:
             return int(k), float(estimator("bisecting_kmeans", k, seed, max_iter).fit(vectors).summary.trainingCost)
@@ -110,6 +127,7 @@ def elbow_curves(
     with cached(_points(df, features)) as points:
         sizes = group_sizes(points)
         wanted = [(0, int(k)) for k in ks if k <= sizes.get(0, 0)]
+        points = narrowed(points, sizes.get(0, 0))
         fits = kmeans_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
     return _curve(
         df, [(f.k, f.distortion, f.cost) for f in fits], "k int, distortion double, inertia double"
@@ -140,6 +158,7 @@ def gmm_bic_sweep(
         sizes = group_sizes(points)
         n_rows = sizes.get(0, 0)
         wanted = [(0, int(k)) for k in ks] if n_rows > max(ks) else []
+        points = narrowed(points, n_rows)
         fits = mixture_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
     d = len(features)
     rows = [
@@ -158,21 +177,34 @@ def silhouette_sweep(
     df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 20), method: str = "kmeans",
     seed: int = SEED, max_iter: int | None = None,
 ) -> DataFrame:
-    """(k, silhouette, cost) for k-means or a mixture; mixtures have no cost."""
-    with cached(spread(feature_frame(df, features, keep=False))) as vectors:
-        vectors.count()
+    """(k, silhouette, cost) for k-means or a mixture; mixtures have no cost.
+
+    The fits share their scans; Spark ML scores the labels of each k.
+    """
+    with cached(_points(df, features)) as held:
+        sizes = group_sizes(held)
+        points = narrowed(held, sizes.get(0, 0))
+        wanted = [(0, int(k)) for k in ks]
+        if method == "kmeans":
+            fits = kmeans_sweep(points, wanted, sizes, seed, max_iter or 20)
+            labels = [closest_centre(F.col("_point"), f.centres) for f in fits]
+        elif method == "gmm":
+            fits = mixture_sweep(points, wanted, sizes, seed, max_iter or 100)
+            labels = [mixture_label({0: f}, F.col("_group"), F.col("_point")) for f in fits]
+        else:
+            raise ValueError(f"no silhouette sweep for method {method!r}")
         evaluator = ClusteringEvaluator(featuresCol=VECTOR, predictionCol="_prediction")
 
-        def measure(k: int) -> tuple[int, float | None, float | None]:
-            model = estimator(method, k, seed, max_iter).fit(vectors)
-            labelled = model.transform(vectors)
+        def measure(at: int) -> tuple[int, float | None, float | None]:
+            labelled = points.select(
+                array_to_vector("_point").alias(VECTOR), labels[at].cast("double").alias("_prediction")
+            )
             found = labelled.agg(F.min("_prediction") != F.max("_prediction")).first()[0]
             score = float(evaluator.evaluate(labelled)) if found else None
-            cost = float(model.summary.trainingCost) if method == "kmeans" else None
-            return int(k), score, cost
+            return fits[at].k, score, fits[at].cost if method == "kmeans" else None
 
-        rows = in_parallel(measure, ks, vectors)
-        return _curve(df, rows, "k int, silhouette double, cost double")
+        rows = in_parallel(measure, range(len(fits)), points)
+    return _curve(df, rows, "k int, silhouette double, cost double")
 
 
 def silhouette_k(curve: DataFrame) -> int:

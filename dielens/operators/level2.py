@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dielens.functions.quantiles import exact_quantiles
 from dielens.functions.scalars import named, penalised_slope
-from dielens.operators.choose_k import cached, elbow_curves, mixture_bic, two_curve_k
+from dielens.operators.choose_k import cached, elbow_curves, mixture_bic, narrowed, two_curve_k
 from dielens.operators.clusters import SEED, fit_and_label
 from dielens.operators.knee import bic_choice
 from dielens.operators.sweeps import group_sizes, grouped_points, mixture_label, mixture_sweep
@@ -73,6 +73,7 @@ def level2_split(
     with cached(grouped_points(tenth_sample(df, list(sample_columns or df.columns)), number, features)) as points:
         sizes = group_sizes(points)
         wanted = [(g, int(k)) for g, n in sizes.items() if n > max(ks) for k in ks]
+        points = narrowed(points, sum(sizes.values()))
         fits = mixture_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
     d = len(next(iter(strongest.values()), []))
     curves = [(f.group, f.k, mixture_bic(f.log_likelihood, f.k, d, sizes[f.group])) for f in fits]
@@ -83,7 +84,9 @@ def level2_split(
     held: dict = {}
     if splits:
         with cached(grouped_points(df, number, features).where(F.col("_group").isin(*splits))) as points:
-            final = mixture_sweep(points, list(splits.items()), group_sizes(points), seed, max_iter)
+            sizes = group_sizes(points)
+            points = narrowed(points, sum(sizes.values()))
+            final = mixture_sweep(points, list(splits.items()), sizes, seed, max_iter)
         held = {f.group: f for f in final}
     part = mixture_label(held, number, features) if held else F.lit(1)
     return df.withColumn(subgroup, F.concat(named(cluster).cast("string"), F.lit("-"), part.cast("string")))

@@ -40,11 +40,18 @@ class Stack:
         return cls(tuple(registers), (probe_column, *registers), probe_column, probe_item, bin_column)
 
 
-def _group(cluster: str) -> list[str]:
-    return ["FAB", "DESIGN_ID", cluster]
+Cluster = str | Sequence[str]  # the column, or columns, that name a cluster
 
 
-def _keys(cluster: str) -> list:
+def _names(cluster: Cluster) -> list[str]:
+    return [cluster] if isinstance(cluster, str) else list(cluster)
+
+
+def _group(cluster: Cluster) -> list[str]:
+    return ["FAB", "DESIGN_ID", *_names(cluster)]
+
+
+def _keys(cluster: Cluster) -> list:
     return [named(c) for c in _group(cluster)]
 
 
@@ -59,7 +66,7 @@ def die_totals(unlabelled: DataFrame, labelled: DataFrame | None = None) -> Data
     return count.crossJoin(F.broadcast(middle))
 
 
-def cluster_wafer_counts(df: DataFrame, cluster: str, probe_column: str) -> DataFrame:
+def cluster_wafer_counts(df: DataFrame, cluster: Cluster, probe_column: str) -> DataFrame:
     """Per (FAB, DESIGN_ID, cluster): distinct wafers and the probe item's sum.
 
     Summed per wafer first, so a wafer's dies are combined before they meet.
@@ -70,7 +77,7 @@ def cluster_wafer_counts(df: DataFrame, cluster: str, probe_column: str) -> Data
     )
 
 
-def cluster_item_stats(df: DataFrame, cluster: str, items: Sequence[str]) -> DataFrame:
+def cluster_item_stats(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
     """Per group and item: non-null count, max, min, mean and median.
 
     One long form and one pre-aggregation serve all five.
@@ -90,7 +97,7 @@ def cluster_item_stats(df: DataFrame, cluster: str, items: Sequence[str]) -> Dat
     )
 
 
-def cluster_impact(df: DataFrame, cluster: str, stack: Stack, totals: DataFrame) -> DataFrame:
+def cluster_impact(df: DataFrame, cluster: Cluster, stack: Stack, totals: DataFrame) -> DataFrame:
     """Item statistics with wafer counts, die loss and impact per group and item.
 
     impact = mean · count / total dies; for a bin item it is the die loss, the bin sum
@@ -113,7 +120,7 @@ def cluster_impact(df: DataFrame, cluster: str, stack: Stack, totals: DataFrame)
     )
 
 
-def stacked_die_median(df: DataFrame, cluster: str, items: Sequence[str]) -> DataFrame:
+def stacked_die_median(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
     """(DieX, DieY, FAB, DESIGN_ID, cluster, stacked_item, median_value)."""
     long = unpivot(df, [*POSITION, *_group(cluster)], items, "stacked_item", "value")
     return exact_quantiles(
@@ -121,7 +128,7 @@ def stacked_die_median(df: DataFrame, cluster: str, items: Sequence[str]) -> Dat
     )
 
 
-def die_medians(df: DataFrame, cluster: str, items: Sequence[str]) -> DataFrame:
+def die_medians(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
     """The same medians wide: one row per position and group, one column per item."""
     keys = [*[named(c) for c in POSITION], *_keys(cluster)]
     return (
@@ -131,7 +138,12 @@ def die_medians(df: DataFrame, cluster: str, items: Sequence[str]) -> DataFrame:
     )
 
 
-def stacked_map(df: DataFrame, cluster: str, stack: Stack, totals: DataFrame) -> DataFrame:
+def _cluster_columns(cluster: Cluster) -> list:
+    """A single cluster column is called ``cluster`` in the map; several keep their names."""
+    return [named(cluster).alias("cluster")] if isinstance(cluster, str) else [named(c) for c in cluster]
+
+
+def stacked_map(df: DataFrame, cluster: Cluster, stack: Stack, totals: DataFrame) -> DataFrame:
     """One row per position, group and stacked item; all register medians on each row.
 
     The medians are computed once; the long rows are spread from the wide ones, so
@@ -152,7 +164,7 @@ def stacked_map(df: DataFrame, cluster: str, stack: Stack, totals: DataFrame) ->
             "FAB",
             "DESIGN_ID",
             *POSITION,
-            named(cluster).alias("cluster"),
+            *_cluster_columns(cluster),
             "stacked_item",
             "num_wafers_in_cluster",
             "num_dies_in_cluster",
@@ -167,6 +179,9 @@ def stacked_map(df: DataFrame, cluster: str, stack: Stack, totals: DataFrame) ->
     )
 
 
+KNOWN_MODE = "known failure mode"
+
+
 def by_failure_mode(labelled: DataFrame, modes: Sequence[str]) -> DataFrame:
     """One row per die and failure mode it shows, in column ``failure_mode``."""
     rest = [named(c) for c in labelled.columns if c not in modes]
@@ -174,22 +189,34 @@ def by_failure_mode(labelled: DataFrame, modes: Sequence[str]) -> DataFrame:
     return labelled.select(*rest, F.explode(shown).alias("failure_mode"))
 
 
+def by_model(unlabelled: DataFrame, models: Sequence[str]) -> DataFrame:
+    """One row per die and cluster model, in columns ``model`` and ``cluster``."""
+    rest = [named(c) for c in unlabelled.columns if c not in models]
+    labels = [F.struct(F.lit(m).alias("model"), named(m).alias("cluster")) for m in models]
+    return unlabelled.select(*rest, F.inline(F.array(*labels)))
+
+
 def stacked_maps(
     unlabelled: DataFrame, models: Sequence[str], stack: Stack, labelled: DataFrame | None = None,
     modes: Sequence[str] = (),
 ) -> DataFrame:
-    """Stacked maps of every cluster model; known failure modes count as clusters of each."""
+    """Stacked maps of every cluster model; known failure modes count as clusters of each.
+
+    All models and modes go through one plan, keyed by (model, cluster). The modes are
+    the same for every model, so they are stacked once and repeated at the end.
+    """
+    needed = ["FAB", "DESIGN_ID", *POSITION, "lot_wafer", *dict.fromkeys([*stack.items, *stack.registers])]
     totals = die_totals(unlabelled, labelled)
-    known = None
+    rows = by_model(unlabelled.select(*[named(c) for c in needed], *[named(m) for m in models]), models)
+    if labelled is not None and modes:
+        known = by_failure_mode(labelled.select(*[named(c) for c in needed], *[named(m) for m in modes]), modes)
+        known = known.withColumnRenamed("failure_mode", "cluster").withColumn("model", F.lit(KNOWN_MODE))
+        rows = rows.unionByName(known)
+    out = stacked_map(rows, ["model", "cluster"], stack, totals)
     if labelled is not None and modes:
-        known = stacked_map(by_failure_mode(labelled, modes), "failure_mode", stack, totals)
-    out = None
-    for model in models:
-        one = stacked_map(unlabelled, model, stack, totals)
-        if known is not None:
-            one = one.unionByName(known)
-        one = one.withColumn("model", F.lit(model))
-        out = one if out is None else out.unionByName(one)
+        every = F.array(*[F.lit(m) for m in models])
+        spread = F.when(F.col("model") == KNOWN_MODE, every).otherwise(F.array("model"))
+        out = out.withColumn("model", F.explode(spread))
     return out
 
 

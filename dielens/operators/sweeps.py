@@ -160,6 +160,18 @@ def kmeans_sweep(
     ]
 
 
+def closest_centre(point: Column, centres: np.ndarray) -> Column:
+    """1-based number of the centre nearest to an array column."""
+    table = F.array(*[F.array(*[F.lit(float(v)) for v in centre]) for centre in centres])
+
+    def squared(centre: Column) -> Column:
+        gaps = F.zip_with(point, centre, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+
+    distances = F.transform(table, squared)
+    return F.array_position(distances, F.array_min(distances)).cast("int")
+
+
 @dataclass(frozen=True)
 class MixtureFit:
     """A Gaussian mixture with full covariances."""

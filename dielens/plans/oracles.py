@@ -274,7 +274,7 @@ def all_queries() -> dict[str, str]:
     out["zone_code"] = on(
         "raw",
         """select "FBD_REGION" as zone, cast(strpos('ABCDE', "FBD_REGION") as bigint) as code,
-          cast(nullif(strpos('ABCDE', "FBD_REGION"), 0) as bigint) as code_or_null, count(*) as dies
+          cast(nullif(strpos('ABCDE', "FBD_REGION"), 0) as double) as code_or_null, count(*) as dies
         from raw group by all""",
     )
 
@@ -471,7 +471,7 @@ def all_queries() -> dict[str, str]:
         *both_maps(),
         CLUSTER_PARETO,
     )
-    out["full_die_map"] = on("flagged", f"select {shown_map(GRID_COLUMNS)} from full_map", *both_maps(), FULL)
+    out["full_die_map"] = on("flagged", f"select {shown_map(GRID_COLUMNS, filled=True)} from full_map", *both_maps(), FULL)
 
     out["group_mean_fill"] = on(
         "flagged", f"select {shown_map(GRID_COLUMNS, filled=True)} from filled", *both_maps(), FULL, FILLED

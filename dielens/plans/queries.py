@@ -188,7 +188,9 @@ def normalise_date(spark, sf_dir):
 def zone_code(spark, sf_dir):
     zone = F.col("FBD_REGION")
     dies = die_table(spark, sf_dir).select(
-        zone.alias("zone"), scalars.zone_code(zone).alias("code"), scalars.zone_code(zone, None).alias("code_or_null")
+        zone.alias("zone"),
+        scalars.zone_code(zone).alias("code"),
+        scalars.zone_code(zone, None).cast("double").alias("code_or_null"),
     )
     return comparable(dies.groupBy("zone", "code", "code_or_null").agg(F.count(F.lit(1)).alias("dies")))
 
@@ -544,7 +546,8 @@ def stacked_map_labelled(spark, sf_dir):
 
 
 def both_models(spark, sf_dir) -> DataFrame:
-    return stacked.stacked_maps(flagged(spark, sf_dir), MODELS, STACK)
+    """Held, because the complete grid reads it three times; one row per position and layer."""
+    return hold(stacked.stacked_maps(flagged(spark, sf_dir), MODELS, STACK))
 
 
 @query
@@ -560,7 +563,9 @@ def map_columns(df: DataFrame) -> DataFrame:
 
 @query
 def full_die_map(spark, sf_dir):
-    return comparable(map_columns(stacked.full_die_map(both_models(spark, sf_dir))))
+    full = map_columns(stacked.full_die_map(both_models(spark, sf_dir)))
+    counts = ("num_wafers_in_cluster", "num_dies_in_cluster")
+    return comparable(full.withColumns({c: F.col(c).cast("double") for c in counts}))
 
 
 # --- outputs ---------------------------------------------------------------------------
