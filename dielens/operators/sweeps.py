@@ -126,16 +126,23 @@ def kmeans_sweep(
         current = {i: centres[i] for i in active}
 
         def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+            mine = by_group.get(group, ())
+            if not mine:
+                return
             length = (rows**2).sum(1)
-            for i in by_group.get(group, ()):
-                centre = current[i]
-                squared = length[:, None] - 2 * rows @ centre.T + (centre**2).sum(1)
-                label = squared.argmin(1)
-                best = np.maximum(squared[np.arange(len(rows)), label], 0.0)
-                member = np.zeros((len(rows), len(centre)))
-                member[np.arange(len(rows)), label] = 1.0
+            stacked = np.concatenate([current[i] for i in mine])
+            # Distances to the centres of all models in one product; |x|^2 comes back at the end.
+            offset = (stacked**2).sum(1) - 2 * rows @ stacked.T
+            start = 0
+            for i in mine:
+                k = len(current[i])
+                part = offset[:, start : start + k]
+                start += k
+                label = part.argmin(1)
+                best = np.maximum(part[np.arange(len(rows)), label] + length, 0.0)
+                totals = [np.bincount(label, weights=column, minlength=k) for column in rows.T]
                 yield i, np.concatenate(
-                    [[best.sum(), np.sqrt(best).sum()], member.sum(0), (member.T @ rows).ravel()]
+                    [[best.sum(), np.sqrt(best).sum()], np.bincount(label, minlength=k), np.stack(totals, 1).ravel()]
                 )
 
         return _add_up(points, fold)
@@ -184,16 +191,27 @@ class MixtureFit:
     log_likelihood: float = -math.inf
     converged: bool = False
 
-    def joint_log_density(self, rows: np.ndarray) -> np.ndarray:
-        """log(weight) + log density, rows by components."""
-        out = np.empty((len(rows), self.k))
-        for j in range(self.k):
-            factor = np.linalg.cholesky(self.covariances[j])
-            z = np.linalg.solve(factor, (rows - self.means[j]).T)
-            log_det = 2 * np.log(np.diag(factor)).sum()
-            constant = rows.shape[1] * math.log(2 * math.pi) + log_det
-            out[:, j] = np.log(max(self.weights[j], 1e-300)) - 0.5 * ((z**2).sum(0) + constant)
-        return out
+    def coefficients(self, origin: np.ndarray) -> np.ndarray:
+        """log(weight) + log density of every component as weights of ``_expanded`` rows."""
+        columns = []
+        for weight, mean, covariance in zip(self.weights, self.means - origin, self.covariances):
+            precision = np.linalg.inv(covariance)
+            log_det = np.linalg.slogdet(covariance)[1]
+            at_origin = mean @ precision @ mean + len(mean) * math.log(2 * math.pi) + log_det
+            constant = math.log(max(weight, 1e-300)) - 0.5 * at_origin
+            columns.append(np.concatenate([-0.5 * precision.ravel(), precision @ mean, [constant]]))
+        return np.stack(columns, 1)
+
+    def labels(self, rows: np.ndarray) -> np.ndarray:
+        """0-based most likely component of each row."""
+        origin = self.means.mean(0)
+        return (_expanded(rows - origin) @ self.coefficients(origin)).argmax(1)
+
+
+def _expanded(rows: np.ndarray) -> np.ndarray:
+    """Each row's products, the row itself and 1: all a mixture step needs, as one matrix."""
+    products = (rows[:, :, None] * rows[:, None, :]).reshape(len(rows), -1)
+    return np.concatenate([products, rows, np.ones((len(rows), 1))], 1)
 
 
 def _first_mixture(group: int, k: int, rows: np.ndarray, rng: np.random.Generator) -> MixtureFit:
@@ -230,28 +248,38 @@ def mixture_sweep(
         for i in active:
             by_group.setdefault(fits[i].group, []).append((i, fits[i]))
 
+        weights = {
+            group: np.concatenate([f.coefficients(origin[group]) for _, f in models], 1)
+            for group, models in by_group.items()
+        }
+        widths = {group: [(i, f.k) for i, f in models] for group, models in by_group.items()}
+
         def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-            for i, fit in by_group.get(group, ()):
-                joint = fit.joint_log_density(rows)
-                top = joint.max(1, keepdims=True)
-                evidence = top[:, 0] + np.log(np.exp(joint - top).sum(1))
-                share = np.exp(joint - evidence[:, None])
-                shifted = rows - origin[group]
-                products = np.einsum("nk,ni,nj->kij", share, shifted, shifted, optimize=True)
-                yield i, np.concatenate(
-                    [[evidence.sum()], share.sum(0), (share.T @ shifted).ravel(), products.ravel()]
-                )
+            if group not in widths:
+                return
+            expanded = _expanded(rows - origin[group])
+            joint = expanded @ weights[group]
+            start = 0
+            for i, k in widths[group]:
+                part = joint[:, start : start + k]
+                start += k
+                top = part.max(1, keepdims=True)
+                share = np.exp(part - top)
+                mass = share.sum(1, keepdims=True)
+                share /= mass
+                yield i, np.concatenate([[(top + np.log(mass)).sum()], (share.T @ expanded).ravel()])
 
         for i, sums in _add_up(points, fold).items():
             fit, (_, d) = fits[i], fits[i].means.shape
-            k, n_rows, start = fit.k, sizes[fit.group], origin[fit.group]
+            n_rows, start = sizes[fit.group], origin[fit.group]
             gain = (sums[0] - fit.log_likelihood) / n_rows
             if abs(gain) < tol:
                 fits[i] = replace(fit, log_likelihood=float(sums[0]), converged=True)
                 continue
-            mass = np.maximum(sums[1 : 1 + k], 1e-10)
-            means = sums[1 + k : 1 + k + k * d].reshape(k, d) / mass[:, None]
-            second = sums[1 + k + k * d :].reshape(k, d, d) / mass[:, None, None]
+            by_component = sums[1:].reshape(fit.k, -1)
+            mass = np.maximum(by_component[:, -1], 1e-10)
+            means = by_component[:, d * d : d * d + d] / mass[:, None]
+            second = (by_component[:, : d * d] / mass[:, None]).reshape(fit.k, d, d)
             covariances = second - means[:, :, None] * means[:, None, :] + RIDGE * np.eye(d)
             fits[i] = replace(
                 fit, weights=mass / n_rows, means=means + start, covariances=covariances,
@@ -270,7 +298,7 @@ def mixture_label(fits: Mapping[int, MixtureFit], group: Column, features: Colum
         for g in groups.unique():
             if g in held:
                 at = (groups == g).to_numpy()
-                label[at] = held[g].joint_log_density(np.stack(points[at].to_numpy())).argmax(1) + 1
+                label[at] = held[g].labels(np.stack(points[at].to_numpy())) + 1
         return pd.Series(label)
 
     return component(group, features)

@@ -73,7 +73,10 @@ EXTRA_REGISTERS = (
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A table; one from fewer splits than cores is spread over all of them."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def die_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,13 @@ def differenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registers.dependent_difference(cleaned(spark, sf_dir), SPEC)[0]
 
 
+def held_dies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean numeric columns, kept for queries that read them in several jobs."""
+    columns = [*ROW, "LOT_ID", "WAFER_ID", "lot_wafer", "DieX", "DieY", "FBD_REGION", "BIN_BIT"]
+    dies = differenced(spark, sf_dir)
+    return hold(dies.select(*columns, *[named(c) for c in (*CLUSTER_COLUMNS, "BITK_V_ALL")]))
+
+
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return differenced(spark, sf_dir).withColumn("cluster", F.expr(RULE_CLUSTER))
 
@@ -112,7 +119,7 @@ def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def components(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Scaled principal components of the clean dies, as the cluster sweeps use them."""
-    scaled = transform.standard_scale(differenced(spark, sf_dir), CLUSTER_COLUMNS)
+    scaled = transform.standard_scale(held_dies(spark, sf_dir), CLUSTER_COLUMNS)
     out, found = transform.pca_scores(scaled, [transform.norm_name(c) for c in CLUSTER_COLUMNS])
     return out.select(*ROW, "LOT_ID", "WAFER_ID", *[named(c) for c in CLUSTER_COLUMNS], *found.columns), list(found.columns)
 
@@ -290,7 +297,8 @@ def with_price(spark, sf_dir) -> DataFrame:
 
 @query
 def quantile_cut(spark, sf_dir):
-    kept, _ = transform.quantile_cut(with_price(spark, sf_dir), CUT_COLUMNS, 0.999)
+    dies = hold(with_price(spark, sf_dir).select(*ROW, *[named(c) for c in CUT_COLUMNS]))
+    kept, _ = transform.quantile_cut(dies, CUT_COLUMNS, 0.999)
     return comparable(kept.select(*ROW, *[named(c) for c in CUT_COLUMNS]))
 
 
@@ -316,7 +324,7 @@ def cbrt_transform(spark, sf_dir):
 @query
 def standard_scale(spark, sf_dir):
     columns = [*CLUSTER_COLUMNS, "BITK_V_ALL"]
-    dies = transform.standard_scale(differenced(spark, sf_dir), columns)
+    dies = transform.standard_scale(held_dies(spark, sf_dir), columns)
     return comparable(dies.select(*ROW, *[named(transform.norm_name(c)) for c in columns]))
 
 
@@ -334,7 +342,7 @@ def pca_scores(spark, sf_dir):
 @query
 def pca_by_share(spark, sf_dir):
     columns = list(CLUSTER_COLUMNS)
-    dies, found = transform.pca_by_share(differenced(spark, sf_dir), columns, 0.9)
+    dies, found = transform.pca_by_share(held_dies(spark, sf_dir), columns, 0.9)
     return dies.select(*ROW, *found.columns)
 
 
@@ -438,8 +446,7 @@ def bisecting_labels(spark, sf_dir):
 @query
 def cluster_dies(spark, sf_dir):
     """Both cluster models of the clean dies, level 2 included."""
-    dies = hold(differenced(spark, sf_dir))
-    return end_to_end.cluster_dies(dies, CLUSTER_COLUMNS).select(*ROW, *MODELS)
+    return end_to_end.cluster_dies(held_dies(spark, sf_dir), CLUSTER_COLUMNS).select(*ROW, *MODELS)
 
 
 # --- level 2 ---------------------------------------------------------------------------
@@ -452,13 +459,14 @@ def cluster_top_features(spark, sf_dir):
 
 @query
 def level2_split(spark, sf_dir):
-    dies = level2.level2_split(clustered(spark, sf_dir), "cluster", CLUSTER_COLUMNS, sample_columns=ROW)
+    held = held_dies(spark, sf_dir).withColumn("cluster", F.expr(RULE_CLUSTER))
+    dies = level2.level2_split(held, "cluster", CLUSTER_COLUMNS, sample_columns=ROW)
     return dies.select(*ROW, "cluster", "Subgroup")
 
 
 def subgroups(spark, sf_dir) -> DataFrame:
     """Rule-made subgroups: the cluster and the wafer zone."""
-    dies = clustered(spark, sf_dir)
+    dies = held_dies(spark, sf_dir).withColumn("cluster", F.expr(RULE_CLUSTER))
     return dies.withColumn("Subgroup", F.concat("cluster", F.lit("-"), "FBD_REGION"))
 
 
@@ -487,7 +495,7 @@ def level2_merge(spark, sf_dir):
 @query
 def score_models(spark, sf_dir):
     """Forests trained on rule-made flags, then scored; one model lacks a feature."""
-    dies = differenced(spark, sf_dir).withColumn("FBD_REGION", scalars.zone_code(F.col("FBD_REGION")))
+    dies = held_dies(spark, sf_dir).withColumn("FBD_REGION", scalars.zone_code(F.col("FBD_REGION")))
     wanted = {"HighQ": ["BITQ_V-t_ALL", "FBD_REGION"], "HighP": ["BITP_V-t_ALL", "BITD_V_ALL"]}
     models = [labelling.train_mode(dies, m, f, F.expr(MODES[m])) for m, f in wanted.items()]
     missing = labelling.StoredModel("Unknown", ("BITZ_V_ALL",), models[0].model)
@@ -643,19 +651,19 @@ def pair_points(spark, sf_dir):
 
 @query
 def wafer_grid(spark, sf_dir):
-    return comparable(wafers.wafer_grid(differenced(spark, sf_dir), VALUE, ORDER))
+    return comparable(wafers.wafer_grid(held_dies(spark, sf_dir), VALUE, ORDER))
 
 
 @query
 def minmax_q97(spark, sf_dir):
-    dies = differenced(spark, sf_dir)
+    dies = held_dies(spark, sf_dir)
     scaled = wafers.minmax_scale(dies, VALUE, wafers.value_range(dies, VALUE))
     return comparable(scaled.select(*ROW, "scaled"))
 
 
 @query
 def equalise_levels(spark, sf_dir):
-    dies = differenced(spark, sf_dir)
+    dies = held_dies(spark, sf_dir)
     scaled = wafers.minmax_scale(dies, VALUE, wafers.value_range(dies, VALUE))
     return comparable(wafers.equalise_levels(scaled).select(*ROW, "LOT_ID", "WAFER_ID", "level", "equalised"))
 
@@ -667,6 +675,6 @@ def wafer_top_register(spark, sf_dir):
 
 @query
 def wafer_clusters(spark, sf_dir):
-    dies = differenced(spark, sf_dir)
+    dies = held_dies(spark, sf_dir)
     labelled = wafers.wafer_clusters(dies, VALUE, ORDER, "wafer_cluster")
     return labelled.select(*ROW, "LOT_ID", "WAFER_ID", "wafer_cluster")
