@@ -96,17 +96,21 @@ def pairwise_regression(df: DataFrame, group: str, registers: Sequence[str]) ->
     """(group, pair, x, y, slope, r2) for every register pair i < j, y regressed on x.
 
     Plain mergeable aggregates per group, in chunks that keep the generated code small.
+    A constant x has no line and a constant y fits any (r2 = 1); the ranges decide that,
+    because merged partial variances of a constant are not exactly 0.
     """
     pairs = list(combinations(registers, 2))
     numbered = list(enumerate(pairs))
     chunks = [numbered[i : i + PAIRS_PER_AGGREGATE] for i in range(0, len(numbered), PAIRS_PER_AGGREGATE)]
     parts = []
     for chunk in chunks:
+        varies = {c: F.min(named(c)) < F.max(named(c)) for _, pair in chunk for c in pair}
         aggregates = []
         for i, (x, y) in chunk:
+            r2 = F.when(varies[y], F.regr_r2(named(y), named(x))).otherwise(F.lit(1.0))
             aggregates += [
-                F.regr_slope(named(y), named(x)).alias(f"s{i}"),
-                F.regr_r2(named(y), named(x)).alias(f"r{i}"),
+                F.when(varies[x], F.regr_slope(named(y), named(x))).alias(f"s{i}"),
+                F.when(varies[x], r2).alias(f"r{i}"),
             ]
         entries = [
             F.struct(

@@ -143,9 +143,14 @@ def cube_root(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _means_and_spreads(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Mean and population sd per column. A constant column has sd 0 exactly: merged
+    partial variances leave rounding noise, so its range decides."""
     return df.agg(
         *[F.avg(named(c)).alias(f"mu{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(named(c)).alias(f"sd{i}") for i, c in enumerate(columns)],
+        *[
+            F.when(F.min(named(c)) < F.max(named(c)), F.stddev_pop(named(c))).otherwise(F.lit(0.0)).alias(f"sd{i}")
+            for i, c in enumerate(columns)
+        ],
     )
 
 
@@ -159,7 +164,8 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i, c in enumerate(columns):
         mean, spread = row[f"mu{i}"], row[f"sd{i}"]
         shifted = named(c) - F.lit(mean)
-        scaled[norm_name(c)] = shifted / F.lit(spread) if spread else shifted * F.lit(0.0)
+        flat = F.when(named(c).isNotNull(), F.lit(0.0))
+        scaled[norm_name(c)] = shifted / F.lit(spread) if spread else flat
     return df.withColumns(scaled)
 
 

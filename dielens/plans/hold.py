@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
+def shared_folder(df: DataFrame) -> str | None:
+    """The folder the cluster shares for cut lineage, from the session."""
+    return df.sparkSession.conf.get("spark.checkpoint.dir", None)
+
+
 def hold(df: DataFrame) -> DataFrame:
-    """The frame written to the cluster's checkpoint folder, or cached where there is none.
+    """The frame as a table in the cluster's shared folder, or cached where there is none.
 
-    A checkpoint outlives lost executors and ends the lineage of the model steps; the
-    cache spills to disk and is recomputed when an executor goes.
+    The table is computed once, outlives lost executors, ends the lineage of the model
+    steps, and later scans still read only the columns they need. The cache spills to
+    disk and is recomputed when an executor goes.
     """
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    folder = shared_folder(df)
+    return written(df, folder) if folder else df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def written(df: DataFrame, folder: str) -> DataFrame:
+    path = f"{folder.rstrip('/')}/held-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

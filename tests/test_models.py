@@ -1,0 +1,183 @@
+"""Properties of the model-backed operators on planted data."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dielens.operators import choose_k, clusters, labelling, level2, samples, sweeps, transform
+from dielens.plans import end_to_end
+from dielens.plans.dies import die_spec, die_table
+from tests.conftest import SF_SMALL
+
+CENTRES = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0], [10.0, 12.0]])
+
+
+@pytest.fixture(scope="module")
+def blobs(spark):
+    rng = np.random.default_rng(3)
+    rows = [
+        (i, *[float(v) for v in CENTRES[i] + rng.normal(0, 0.5, 2)]) for i in range(4) for _ in range(300)
+    ]
+    return spark.createDataFrame(rows, "truth int, a double, b double").repartition(5).persist()
+
+
+def agrees(df, label):
+    """Each planted blob has one label and each label one blob."""
+    pairs = df.select("truth", label).distinct().collect()
+    return len(pairs) == len({p[0] for p in pairs}) == len({p[1] for p in pairs})
+
+
+@pytest.mark.parametrize("method, first", [("kmeans", 1), ("gmm", 1), ("bisecting_kmeans", 0)])
+def test_labels(blobs, method, first):
+    out = clusters.cluster(blobs, method, 4, ["a", "b"], "label")
+    assert agrees(out, "label")
+    assert {r[0] for r in out.select("label").distinct().collect()} == set(range(first, first + 4))
+    assert out.count() == blobs.count()
+
+
+def test_single_cluster_and_unknown_method(blobs):
+    assert clusters.cluster(blobs, "kmeans", 1, ["a"], "l").select("l").distinct().collect() == [(1,)]
+    with pytest.raises(ValueError):
+        clusters.cluster(blobs, "dbscan", 2, ["a"], "l")
+
+
+def test_elbow_and_costs(blobs):
+    curve = choose_k.elbow_curves(blobs, ["a", "b"], range(1, 9)).orderBy("k").collect()
+    one = choose_k.one_cluster_costs(blobs, ["a", "b"]).first()
+    assert curve[0]["inertia"] == pytest.approx(one["inertia"]) and curve[0]["distortion"] == pytest.approx(one["distortion"])
+    points = np.array([[r["a"], r["b"]] for r in blobs.collect()])
+    truth = sum(((points[[r["truth"] == t for r in blobs.collect()]] - points[[r["truth"] == t for r in blobs.collect()]].mean(0)) ** 2).sum() for t in range(4))
+    assert curve[3]["inertia"] == pytest.approx(truth, rel=1e-6)
+    sweep = choose_k.kmeans_cost_sweep(blobs, ["a", "b"], range(2, 9))
+    assert choose_k.elbow_k(sweep) == 4
+
+
+def test_mixture_choice(blobs):
+    curve = choose_k.gmm_bic_sweep(blobs, ["a", "b"], range(1, 8))
+    rows = {r["k"]: r["bic"] for r in curve.collect()}
+    assert min(rows, key=rows.get) == 4 and choose_k.bic_k(curve) == 4
+    x = np.array([[r["a"], r["b"]] for r in blobs.collect()])
+    cov = np.cov(x.T, bias=True) + 1e-6 * np.eye(2)
+    likelihood = -len(x) / 2 * (2 * math.log(2 * math.pi) + math.log(np.linalg.det(cov)) + 2)
+    assert rows[1] == pytest.approx(choose_k.mixture_bic(likelihood, 1, 2, len(x)), rel=1e-6)
+    few = choose_k.gmm_bic_sweep(blobs.limit(9), ["a", "b"])
+    assert few.count() == 0 and choose_k.bic_k(few) == 1
+
+
+@pytest.mark.parametrize("method", ["kmeans", "gmm"])
+def test_silhouettes(blobs, method):
+    curve = choose_k.silhouette_sweep(blobs, ["a", "b"], range(2, 7), method)
+    best = max(curve.collect(), key=lambda r: r["silhouette"])
+    assert best["k"] == 4 and best["silhouette"] > 0.9
+    assert choose_k.silhouette_k(curve) == 4
+
+
+def test_sweep_is_repeatable_and_many_groups_share_it(blobs):
+    points = sweeps.grouped_points(blobs, (F.col("truth") > 1).cast("int"), F.array("a", "b"))
+    sizes = sweeps.group_sizes(points)
+    assert sizes == {0: 600, 1: 600}
+    fits = sweeps.mixture_sweep(points, [(0, 2), (1, 2), (1, 1)], sizes)
+    assert all(f.converged for f in fits)
+    found = sorted(tuple(np.round(m).astype(int)) for f in fits[:2] for m in f.means)
+    assert found == sorted(tuple(c.astype(int)) for c in CENTRES)
+    label = sweeps.mixture_label({0: fits[0], 1: fits[1]}, (F.col("truth") > 1).cast("int"), F.array("a", "b"))
+    out = blobs.withColumn("label", F.concat((F.col("truth") > 1).cast("string"), label.cast("string")))
+    assert agrees(out, "label")
+
+
+def test_components(blobs):
+    out, found = transform.pca_scores(blobs, ["a", "b"])
+    assert sum(found.shares) == pytest.approx(1.0)
+    row = out.agg(F.corr("PC1", "PC2"), F.avg("PC1"), F.var_samp("PC1"), F.var_samp("PC2")).first()
+    assert abs(row[0]) < 1e-9 and abs(row[1]) < 1e-9 and row[2] > row[3]
+    white, kept = transform.pca_by_share(blobs, ["a", "b"], 0.999)
+    assert len(kept.columns) == 2
+    assert list(white.agg(F.var_samp("PC1"), F.var_samp("PC2")).first()) == pytest.approx([1.0, 1.0])
+
+
+def test_representatives(blobs):
+    _, model = clusters.fit_and_label(blobs, ["a", "b"], "gmm", 4, "label")
+    means, covariances = clusters.mixture_parts(model)
+    rows = clusters.component_representatives(blobs, ["a", "b"], means, [*covariances[:3], np.zeros((2, 2))]).collect()
+    for r, mean in zip(rows[:3], means):
+        assert np.hypot(r["a"] - mean[0], r["b"] - mean[1]) < 0.3
+    assert (rows[3]["a"], rows[3]["b"]) == (0.0, 0.0)
+
+
+def test_constant_columns_leave_no_noise(spark):
+    df = spark.range(4900).select(F.lit(7.1).alias("c"), (F.col("id") % 10).cast("double").alias("v"), F.lit("g").alias("g")).repartition(7)
+    scaled = transform.standard_scale(df, ["c"]).agg(F.min("c_norm"), F.max("c_norm")).first()
+    assert tuple(scaled) == (0.0, 0.0)
+    lines = {(r["x"], r["y"]): (r["slope"], r["r2"]) for r in level2.pairwise_regression(df, "g", ["c", "v"]).collect()}
+    assert lines == {("c", "v"): (None, None)}
+    slopes = level2.slope_signature(df, "g", ["c", "v"]).collect()
+    assert [r["penalised_slope"] for r in slopes] == [0.0]
+
+
+def test_split_nests_and_merge_keeps_rows(spark):
+    rng = np.random.default_rng(0)
+    rows = []
+    for cluster, centres in ((1, (1.0, 60.0)), (2, (200.0,))):
+        for c in centres:
+            for i in range(1500):
+                a = abs(rng.normal(c, c / 20))
+                rows.append((cluster, f"L{i % 5}", f"W{i % 3}", i % 40, i % 30, float(a), float(abs(rng.normal(3 * a if c == 60.0 else 5, 0.5)))))
+    df = spark.createDataFrame(rows, "level1 int, LOT_ID string, WAFER_ID string, DieX int, DieY int, a double, b double")
+    split = level2.level2_split(df, "level1", ["a", "b"]).persist()
+    assert split.count() == len(rows)
+    names = {(r["level1"], r["Subgroup"]) for r in split.select("level1", "Subgroup").distinct().collect()}
+    assert all(s.startswith(f"{c}-") for c, s in names)
+    assert len([s for c, s in names if c == 1]) >= 2
+    merged = level2.level2_merge(split, "level1", ["a", "b"], "merged")
+    assert merged.count() == len(rows)
+    per_group = merged.groupBy("Subgroup").agg(F.count_distinct("merged").alias("n"))
+    assert {r["n"] for r in per_group.collect()} == {1}
+
+
+def test_stored_models(spark, blobs, tmp_path):
+    trained = labelling.train_mode(blobs, "right", ["a", "b"], F.col("a") > 5)
+    trained.model.write().overwrite().save(str(tmp_path / "right"))
+    catalog = [
+        {"Failure_Mode": "right", "features": ["a", "b"], "model_path": str(tmp_path / "right")},
+        {"Failure_Mode": "gone", "features": ["a"], "model_path": str(tmp_path / "gone")},
+    ]
+    models, unreadable = labelling.load_models(catalog)
+    assert [m.mode for m in models] == ["right"] and list(unreadable) == ["gone"]
+    lacking = labelling.StoredModel("lacking", ("zz",), models[0].model)
+    scored = labelling.score_models(blobs, [*models, lacking])
+    assert scored.modes == ("right",) and "zz" in scored.skipped["lacking"]
+    wrong = scored.dies.where((F.col("a") > 5) != (F.col("right") == 1)).count()
+    assert wrong == 0 and scored.dies.count() == blobs.count()
+
+
+def test_sample_is_exact_repeatable_and_copy_safe(spark):
+    rows = [("hot", 1.0)] * 4000 + [("hot", float(i)) for i in range(2, 2002)] + [("cold", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "c string, v double").repartition(6)
+    first = samples.sample_per_cluster(df, "c", ["v"], 600)
+    again = samples.sample_per_cluster(df.repartition(3), "c", ["v"], 600)
+    assert sorted(first.collect()) == sorted(again.collect())
+    sizes = {r["c"]: r["count"] for r in first.groupBy("c").count().collect()}
+    assert sizes == {"hot": 600, "cold": 50}
+    copies = first.where("c = 'hot' and v = 1.0").count()
+    assert 320 < copies < 480  # two thirds of the cluster are copies
+    over = first.groupBy("c", "v").count().join(df.groupBy("c", "v").agg(F.count("*").alias("have")), ["c", "v"])
+    assert over.where("count > have").count() == 0
+
+
+def test_whole_analysis(spark, tmp_path):
+    spec = die_spec()
+    raw = die_table(spark, SF_SMALL)
+    settings = end_to_end.Settings(sweep_ks=range(2, 7), split_ks=range(1, 4), merge_ks=range(1, 6), mixture_iterations=15)
+    dies = end_to_end.prepare(raw, spec, settings).dies
+    mode = labelling.train_mode(dies, "HighQ", ["BITQ_V-t_ALL", "FBD_REGION"], F.col("`BITQ_V-t_ALL`") > 20)
+    result = end_to_end.analyse(raw, spec, [mode], settings)
+    assert result.failure_modes == ("HighQ",)
+    labels = {r[0] for r in result.dies.select("gmm").distinct().collect()}
+    assert "HighQ" in labels and all(v.startswith("cluster_") for v in labels - {"HighQ"})
+    files = result.save("job", ["csv", "dataframe", "df_4_debug"], str(tmp_path))
+    for key in ("cluster_signature_json", "wafer_association_json", "cluster_pareto_json"):
+        assert spark.read.json(f"{tmp_path}/{files[key]}").count() > 0
+    assert set(files) >= {"dataframe", "raw_data"}
+    spark.catalog.clearCache()
