@@ -31,7 +31,7 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Blank run and what follows it. Every match of the word pattern lies in one such part.
 PARTS = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 #: Parts whose words a task remembers from block to block.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 class Ranks:
@@ -227,7 +227,7 @@ def encode(df: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", tex
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks_from(raw.value), pattern)
-        for batch in slices(batches, "text", 16_000_000):
+        for batch in slices(batches, "text", 4_000_000):
             ids = pa.array(list(encoder.encode(texts_of(batch))), type=pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("key"), ids], names=[key, "ids"])
 
