@@ -6,13 +6,14 @@ anchor; the windows of one place that share an anchor travel as one segment. Seg
 that are equal are one class, and a class with several places repeats as a whole. Only
 classes that share an anchor with a different class may share some windows: their bytes
 are sorted as suffixes, and adjacent common prefixes of `length` bytes or more are the
-repeated windows. Anchors with very many classes are settled by window digests instead,
-which Spark counts, so no task holds an unbounded group.
+repeated windows. The segments of an anchor with very many classes are cut into runs that
+must share more bytes, until no group is large, so no task holds an unbounded group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ from dielens.plans.hold import hold
 
 #: Bytes of a gram.
 GRAM = 24
-#: Classes of one anchor that are sorted together; beyond it windows are counted by digest.
+#: Rows of one group that are sorted together; a larger group is cut further.
 CROWD = 1024
 #: Bytes of segments that are sorted at once.
 SORTED = 2_000_000
@@ -265,10 +266,10 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         mixed.join(classes.where("n > 1").select("anchor", "body"), ["anchor", "body"], "left_semi").select(
             "doc", "row", "start", "count"
         ),
-        _by_suffixes(found.where("not crowd"), length),
-        _by_digests(found.where("crowd"), length),
+        _by_suffixes(found.where("not crowd"), length, "anchor"),
+        *_by_parts(found.where("crowd"), length),
     ]
-    every = spans[0].union(spans[1]).union(spans[2]).union(spans[3])
+    every = reduce(DataFrame.union, spans)
     packed = F.shiftleft(F.col("start").cast("long"), 32) + F.col("count")
     return every.groupBy("doc", "row").agg(F.collect_list(packed).alias("spans"))
 
@@ -306,17 +307,18 @@ def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(cut, shape)
 
 
-def _by_suffixes(found: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated windows of segments that are alone in their class."""
+def _by_suffixes(found: DataFrame, length: int, group: str) -> DataFrame:
+    """Runs of repeated windows of segments that are alone in their class. Rows of a group
+    are sorted together, as many groups at once as SORTED allows."""
     kind = found.schema["doc"].dataType.simpleString()
-    dealt = found.repartition("anchor").sortWithinPartitions("anchor")
+    dealt = found.repartition(group).sortWithinPartitions(group)
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            anchor = batch.column("anchor").to_numpy()
+            anchor = batch.column(group).to_numpy()
             cuts = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-            if len(anchor) and held and held[-1].column("anchor")[-1].as_py() != anchor[0]:
+            if len(anchor) and held and held[-1].column(group)[-1].as_py() != anchor[0]:
                 cuts = np.append(0, cuts)
             size = sum(b.nbytes for b in held)
             sizes = np.cumsum(np.append(0, pa.compute.binary_length(batch.column("body")).to_numpy()))
@@ -358,35 +360,60 @@ def _by_suffixes(found: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(sort, f"doc {kind}, row long, start int, count int")
 
 
-def _by_digests(found: DataFrame, length: int) -> DataFrame:
-    """The same for anchors of a crowd: each window's digest is a row, counted by Spark."""
-    kind = found.schema["doc"].dataType.simpleString()
+def _by_parts(crowd: DataFrame, length: int) -> list[DataFrame]:
+    """The same for anchors of a crowd, in parts that share more than the anchor.
 
-    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bodies, counts = batch.column("body").to_pylist(), batch.column("count").to_pylist()
-            digests = [xxhash.xxh3_128_digest(b[i : i + length]) for b, n in zip(bodies, counts, strict=True) for i in range(n)]
-            pairs = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            counts = np.array(counts, dtype=np.int64)
-            owner = np.repeat(np.arange(len(counts)), counts)
-            inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-            who = pa.array(owner)
-            starts = batch.column("start").to_numpy()[owner] + inner
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c).take(who) for c in ("doc", "row", "alone")],
-                    pa.array(starts.astype(np.int32)),
-                    pa.array(pairs[:, 0]),
-                    pa.array(pairs[:, 1]),
-                ],
-                names=["doc", "row", "alone", "start", "w1", "w2"],
-            )
+    A segment's windows are cut into runs by their distance from the anchor. The windows of
+    a run all hold the bytes between the last one's start and the first one's end; runs at
+    the same distance with the same such bytes are dealt out together and sorted. Crowds
+    that are left are cut into shorter runs, at last into single windows, which are equal
+    if their digests are: Spark counts those.
+    """
+    spans = []
+    for width in (32, 4):
+        parts = hold(_cut(crowd, width, length))
+        sizes = parts.groupBy("part").agg((F.count("*") > CROWD).alias("more"))
+        sized = parts.join(sizes, "part")
+        spans.append(_by_suffixes(sized.where("not more"), length, "part"))
+        crowd = sized.where("more")
+    windows = _cut(crowd, 1, length).select("doc", "row", "start", "count", "alone", "part", F.xxhash64("body").alias("body"))
+    again = windows.groupBy("part", "body").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    last = windows.where("alone").join(again, ["part", "body"], "left_semi")
+    return [*spans, last.select("doc", "row", "start", "count")]
+
+
+def _cut(segments_: DataFrame, width: int, length: int) -> DataFrame:
+    """Segments cut at multiples of `width` bytes from their anchor; `part` is what runs
+    have to share."""
+    kind = segments_.schema["doc"].dataType.simpleString()
+    columns = ["doc", "row", "anchor", "lead", "start", "count", "alone", "body"]
+
+    def runs(count: int, lead: int) -> Iterator[tuple[int, int, int]]:
+        """First window, one past the last, and the number of the run."""
+        for j in range(max(lead - count + 1, 0) // width, lead // width + 1):
+            yield max(lead - j * width - width + 1, 0), min(lead - j * width + 1, count), j
 
-    windows = found.mapInArrow(digest, f"doc {kind}, row long, alone boolean, start int, w1 long, w2 long")
-    again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return windows.where("alone").join(again, ["w1", "w2"], "left_semi").select(
-        "doc", "row", "start", F.lit(1).alias("count")
-    )
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            who, out = [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in columns[2:]), strict=True)
+            for i, (anchor, lead, start, count, alone, body) in enumerate(rows):
+                if lead is None:
+                    hashes = _gram_hashes(np.frombuffer(body, dtype=np.uint8))
+                    lead = int(np.flatnonzero(hashes.view(np.int64) == anchor)[0])
+                for a, b, j in runs(count, lead):
+                    middle = body[lead - j * width : lead - j * width - width + 1 + length]
+                    part = xxhash.xxh3_64_intdigest(b"%d %d " % (anchor, j) + middle) - (1 << 63)
+                    who.append(i)
+                    out.append((anchor, lead - a, start + a, b - a, alone, body[a : b + length - 1], part))
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int64()]
+            made = [pa.array(c, type=t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 7, types, strict=True)]
+            chosen = pa.array(who, type=pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(chosen) for c in columns[:2]], *made], names=[*columns, "part"])
+
+    shape = f"doc {kind}, row long, anchor long, lead int, start int, count int, alone boolean, body binary, part long"
+    known = F.col("lead") if "lead" in segments_.columns else F.lit(None).cast("int").alias("lead")
+    return segments_.select(*[known if c == "lead" else c for c in columns]).mapInArrow(cut, shape)
 
 
 def merged(first: np.ndarray, count: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
