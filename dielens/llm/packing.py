@@ -14,7 +14,9 @@ Tokens are made once and kept in the shared folder with their places in the queu
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
@@ -23,15 +25,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dielens.llm.common import slices, texts_of, words
+from dielens.llm.common import lower_words, slices, texts_of
 from dielens.plans.hold import hold
 
 #: Words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 class WordIds:
-    """Token ids of texts word by word, for a tokenizer that drops blanks; as bytes."""
+    """Token ids of texts word by word, as bytes, for a tokenizer that drops blanks and case.
+
+    A word of ASCII letters with a rest that begins with another ASCII character is encoded
+    as these two: the tokenizer never joins a letter with such a character.
+    """
+
+    STEM = re.compile(rb"([a-z]+)([^a-z\x80-\xff].*)", re.DOTALL)
 
     def __init__(self, tokenizer_json: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -40,21 +48,29 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+        self.code = "H" if self.kind is np.uint16 else "I"
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; all words of the block are looked up in one go."""
-        split = [words(t) for t in texts]
+        """Ids of each text; all new words of the block are looked up in one go."""
+        split = [lower_words(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        fresh = sorted({w for ws in split for w in ws} - self.known.keys())
-        for a in range(0, len(fresh), 20_000):
-            part = fresh[a : a + 20_000]
-            coded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update(zip(part, (np.array(e.ids, dtype=self.kind).tobytes() for e in coded), strict=True))
+            self.pieces.clear()
+        fresh = {w for ws in split for w in ws} - self.known.keys()
+        parts = {w: m.groups() if (m := self.STEM.fullmatch(w)) else (w,) for w in fresh}
+        self._learn(sorted({p for ps in parts.values() for p in ps} - self.pieces.keys()))
+        self.known.update((w, b"".join(map(self.pieces.__getitem__, ps))) for w, ps in parts.items())
         for ws in split:
             yield b"".join(map(self.known.__getitem__, ws))
 
+    def _learn(self, pieces: list[bytes], at_once: int = 10_000) -> None:
+        for a in range(0, len(pieces), at_once):
+            part = pieces[a : a + at_once]
+            coded = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
+            self.pieces.update(zip(part, (array(self.code, e.ids).tobytes() for e in coded), strict=True))
+
 
 _encoders: dict[int, WordIds] = {}
 

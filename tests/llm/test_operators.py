@@ -323,6 +323,18 @@ def test_packing(spark, edges, empty, small):
     assert sum(p["length"] for p in packing.pack(nulls_and_repeats(spark).withColumn("source", lit(None)), path).collect()) > 0
 
 
+def test_words_are_encoded_as_in_their_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(queries.WORD_TOKENIZER)
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    odd = "It's don'TS 'story a.b,C x\x1cy É.É e\u0301x I\u0307z K ΑΣ ΑΣ. ΑΣx ſt ﬁ—. -—- 12ab3 <|endoftext|>, a'll'll \u00a0b\u2003c ñ"
+    found = list(packing.WordIds(open(path, encoding="utf-8").read()).encode([odd, odd.upper(), ""]))
+    wanted = [whole.encode(t, add_special_tokens=False).ids for t in (odd, odd.upper(), "")]
+    assert [np.frombuffer(x, dtype=np.uint16).tolist() for x in found] == wanted
+
+
 def test_windows_have_the_target_mixture(spark):
     docs = connect(SF).execute("select doc_id, source from documents").fetchall()
     source = dict(docs)
