@@ -25,11 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dielens.llm.common import lower_words, slices, texts_of
+from dielens.llm.common import give_back, lower_words, slices, texts_of
 from dielens.plans.hold import hold
 
 #: Words whose ids a task remembers.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 
 
 class WordIds:
@@ -49,15 +49,15 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes]
+        self.pieces: dict[bytes, bytes]
+        self.forget()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text; all new words of the block are looked up in one go."""
         split = [lower_words(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.pieces.clear()
+            self.forget()
         fresh = {w for ws in split for w in ws} - self.known.keys()
         parts = {w: m.groups() if (m := self.STEM.fullmatch(w)) else (w,) for w in fresh}
         self._learn(sorted({p for ps in parts.values() for p in ps} - self.pieces.keys()))
@@ -65,6 +65,9 @@ class WordIds:
         for ws in split:
             yield b"".join(map(self.known.__getitem__, ws))
 
+    def forget(self) -> None:
+        self.known, self.pieces = {}, {}
+
     def _learn(self, pieces: list[bytes], at_once: int = 10_000) -> None:
         for a in range(0, len(pieces), at_once):
             part = pieces[a : a + at_once]
@@ -103,6 +106,8 @@ def tokenized(df: DataFrame, tokenizer_file: str, end_id: int, key: str, source:
                 [batch.column("key"), batch.column("source"), *columns, pa.array(ids, pa.binary())],
                 names=["key", "source", "block", "start", "n", "ids"],
             )
+        encoder.forget()
+        give_back()
 
     kind = df.schema[key].dataType.simpleString()
     queue = F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")
@@ -188,7 +193,7 @@ def pack(
         names, totals, shares = given.value
         allotment, number = Allotment(totals, shares, length), {s: i for i, s in enumerate(names)}
         for batch in batches:
-            for part in slices([batch], "ids", 4_000_000):
+            for part in slices([batch], "ids", 2_000_000):
                 queue = np.array([number[s] for s in part.column("source").to_pylist()], dtype=np.int64)
                 yield from _pieces(part, queue, allotment, key)
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from dielens.llm.common import remainder, slices, texts_of
 
@@ -170,12 +171,14 @@ def scored(df: DataFrame, model: Model, text: str = "text", threshold: float = 0
     """
     given = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.map(lambda t: given.value.score(t or ""))
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text, 4_000_000):
+            scores = pa.array([given.value.score(t) for t in texts_of(batch, text)], type=pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
 
-    kept = df.drop("score", "predicted").withColumn("score", score(F.col(text)))
-    return kept.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    kept = df.drop("score", "predicted")
+    found = kept.mapInArrow(score, StructType([*kept.schema.fields, StructField("score", DoubleType())]))
+    return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def training_fold(key: str = "doc_id"):
