@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dielens.functions.scalars import named
+from dielens.functions.scalars import finite, named
 
 # Lattice cells per unit of log1p(|v|): one cell spans about 0.1 % of a value.
 CELLS_PER_LOG_UNIT = 1024
@@ -35,13 +35,13 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group of ``keys``.
 
-    ``probabilities`` maps output column names to probabilities in [0, 1]. NULL
-    values do not count; a group of NULLs only has no row. With ``with_stats`` the
+    ``probabilities`` maps output column names to probabilities in [0, 1]. NULL, NaN
+    and infinite values do not count; a group of these only has no row. With ``with_stats`` the
     row also has ``n_values``, ``min_value``, ``max_value`` and ``mean_value``.
     """
     key = F.struct(*[named(k) for k in keys]) if keys else F.struct(F.lit(1).alias("_all"))
     counts = (
-        df.select(key.alias("_k"), named(value).cast("double").alias("_v"))
+        df.select(key.alias("_k"), finite(named(value).cast("double")).alias("_v"))
         .where(F.col("_v").isNotNull())
         .groupBy("_k", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -22,6 +22,11 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def finite(number: Column) -> Column:
+    """The number, or NULL for NaN and the infinities."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def lookup(value: Column, table: Mapping, default: Column) -> Column:
     chain = reduce(lambda acc, kv: acc.when(value == kv[0], F.lit(kv[1])), table.items(), F)
     return chain.otherwise(default)

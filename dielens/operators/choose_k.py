@@ -25,6 +25,7 @@ from dielens.operators.clusters import SEED, VECTOR, estimator, feature_frame
 from dielens.operators.knee import bic_choice, knee_point
 from dielens.operators.sweeps import (
     closest_centre,
+    dealt,
     group_sizes,
     grouped_points,
     kmeans_sweep,
@@ -33,7 +34,6 @@ from dielens.operators.sweeps import (
 )
 
 FITS_AT_A_TIME = 8
-ROWS_PER_TASK = 4000
 
 
 @contextmanager
@@ -53,18 +53,6 @@ def in_parallel(job: Callable, items: Iterable, df: DataFrame, at_a_time: int =
         return [f.result() for f in [pool.submit(wrap(job), item) for item in items]]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over at least one partition per core, for frames read again and again."""
-    width = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(width) if df.rdd.getNumPartitions() < width else df
-
-
-def narrowed(held: DataFrame, n_rows: int) -> DataFrame:
-    """A small cached frame read in few tasks: iterations are then not all overhead."""
-    wanted = max(1, n_rows // ROWS_PER_TASK)
-    return held.coalesce(wanted) if wanted < held.rdd.getNumPartitions() else held
-
-
 def _curve(df: DataFrame, rows: list[tuple], names: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, names)
 
@@ -79,7 +67,6 @@ def kmeans_cost_sweep(
     """(k, cost): within-cluster sum of squares for each k; all k share each scan."""
     with cached(_points(df, features)) as points:
         sizes = group_sizes(points)
-        points = narrowed(points, sizes.get(0, 0))
         fits = kmeans_sweep(points, [(0, int(k)) for k in ks], sizes, seed, max_iter)
     return _curve(df, [(f.k, f.cost) for f in fits], "k int, cost double")
 
@@ -89,9 +76,7 @@ def bisecting_cost_sweep(
     max_iter: int | None = None,
 ) -> DataFrame:
     """(k, cost) by bisecting k-means."""
-    with cached(spread(feature_frame(df, features, keep=False))) as vectors:
-        vectors = narrowed(vectors, vectors.count())
-
+    with cached(dealt(feature_frame(df, features, keep=False))) as vectors:
         def cost(k: int) -> tuple[int, float]:
             return int(k), float(estimator("bisecting_kmeans", k, seed, max_iter).fit(vectors).summary.trainingCost)
 
@@ -127,7 +112,6 @@ def elbow_curves(
     with cached(_points(df, features)) as points:
         sizes = group_sizes(points)
         wanted = [(0, int(k)) for k in ks if k <= sizes.get(0, 0)]
-        points = narrowed(points, sizes.get(0, 0))
         fits = kmeans_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
     return _curve(
         df, [(f.k, f.distortion, f.cost) for f in fits], "k int, distortion double, inertia double"
@@ -158,7 +142,6 @@ def gmm_bic_sweep(
         sizes = group_sizes(points)
         n_rows = sizes.get(0, 0)
         wanted = [(0, int(k)) for k in ks] if n_rows > max(ks) else []
-        points = narrowed(points, n_rows)
         fits = mixture_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
     d = len(features)
     rows = [
@@ -181,9 +164,8 @@ def silhouette_sweep(
 
     The fits share their scans; Spark ML scores the labels of each k.
     """
-    with cached(_points(df, features)) as held:
-        sizes = group_sizes(held)
-        points = narrowed(held, sizes.get(0, 0))
+    with cached(_points(df, features)) as points:
+        sizes = group_sizes(points)
         wanted = [(0, int(k)) for k in ks]
         if method == "kmeans":
             fits = kmeans_sweep(points, wanted, sizes, seed, max_iter or 20)

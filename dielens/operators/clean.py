@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dielens.functions.scalars import NOT_MEASURED, named, parse_fid, zone_code
+from dielens.functions.scalars import NOT_MEASURED, finite, named, parse_fid, zone_code
 from dielens.spec import BIN_COLUMN, ZONE_COLUMN, ProbeSpec
 
 
@@ -70,10 +70,10 @@ def count_failed(df: DataFrame, measured: Sequence[str]) -> DataFrame:
 
 
 def to_numbers(df: DataFrame, measured: Sequence[str]) -> DataFrame:
-    """Register text to doubles in one projection; unreadable text becomes NULL."""
+    """Register text to doubles in one projection; text that is no finite number becomes NULL."""
     wanted = set(measured)
     return df.select(
-        *[named(c).try_cast("double").alias(c) if c in wanted else named(c) for c in df.columns]
+        *[finite(named(c).try_cast("double")).alias(c) if c in wanted else named(c) for c in df.columns]
     )
 
 

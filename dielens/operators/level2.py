@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dielens.functions.quantiles import exact_quantiles
 from dielens.functions.scalars import named, penalised_slope
-from dielens.operators.choose_k import cached, elbow_curves, mixture_bic, narrowed, two_curve_k
+from dielens.operators.choose_k import cached, elbow_curves, mixture_bic, two_curve_k
 from dielens.operators.clusters import SEED, fit_and_label
 from dielens.operators.knee import bic_choice
 from dielens.operators.sweeps import group_sizes, grouped_points, mixture_label, mixture_sweep
@@ -55,13 +55,13 @@ def _chain(cluster: str, cases: Sequence[tuple], default=None):
 def level2_split(
     df: DataFrame, cluster: str, registers: Sequence[str], ks: Sequence[int] = range(1, 10),
     top: int = TOP_FEATURES, seed: int = SEED, max_iter: int = 100,
-    sample_columns: Sequence[str] | None = None, subgroup: str = "Subgroup",
+    sample_columns: Sequence[str] | None = None, subgroup: str = "Subgroup", parts: int = 1,
 ) -> DataFrame:
     """Adds ``Subgroup`` = ``<cluster>-<component>``; the label stays on the row.
 
-    Each cluster uses its own strongest registers. k comes from the BIC curve on a
-    tenth of the cluster; k = 1 leaves it whole. All mixtures of all clusters are
-    fitted in the same scans, so neither a large cluster nor many of them hurts.
+    Each cluster uses its own strongest registers. k comes from the BIC curve on all rows
+    of the cluster, or on one in ``parts`` by hash; k = 1 leaves it whole. All mixtures of
+    all clusters are fitted in the same scans, so neither a large cluster nor many hurt.
     """
     df = cube_root(df, registers)
     strongest: dict = {}
@@ -70,10 +70,10 @@ def level2_split(
     number = _chain(cluster, [(c, F.lit(i)) for i, c in enumerate(strongest)])
     features = _chain(cluster, [(c, F.array(*[named(f) for f in fs])) for c, fs in strongest.items()])
 
-    with cached(grouped_points(tenth_sample(df, list(sample_columns or df.columns)), number, features)) as points:
+    looked_at = df if parts == 1 else tenth_sample(df, list(sample_columns or df.columns), parts)
+    with cached(grouped_points(looked_at, number, features)) as points:
         sizes = group_sizes(points)
         wanted = [(g, int(k)) for g, n in sizes.items() if n > max(ks) for k in ks]
-        points = narrowed(points, sum(sizes.values()))
         fits = mixture_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
     d = len(next(iter(strongest.values()), []))
     curves = [(f.group, f.k, mixture_bic(f.log_likelihood, f.k, d, sizes[f.group])) for f in fits]
@@ -85,7 +85,6 @@ def level2_split(
     if splits:
         with cached(grouped_points(df, number, features).where(F.col("_group").isin(*splits))) as points:
             sizes = group_sizes(points)
-            points = narrowed(points, sum(sizes.values()))
             final = mixture_sweep(points, list(splits.items()), sizes, seed, max_iter)
         held = {f.group: f for f in final}
     part = mixture_label(held, number, features) if held else F.lit(1)

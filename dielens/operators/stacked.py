@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -249,7 +250,8 @@ def cluster_pareto(
 
 def full_die_map(stacked: DataFrame) -> DataFrame:
     """The stacked map on a complete grid: every known position of a design for every
-    (model, cluster, item), empty where the cluster has no die there."""
+    (model, cluster, item), empty where the cluster has no die there. An unreadable
+    position is a position like others."""
     grid = stacked.select("FAB", "DESIGN_ID", *POSITION).distinct()
     layers = stacked.select("model", "cluster", "stacked_item").distinct()
     keys = ["FAB", "DESIGN_ID", *POSITION, "model", "cluster", "stacked_item"]
@@ -258,4 +260,6 @@ def full_die_map(stacked: DataFrame) -> DataFrame:
     complete = grid.crossJoin(F.broadcast(all_layers)).select(
         "FAB", "DESIGN_ID", *POSITION, F.inline("_layers")
     )
-    return complete.join(stacked, keys, "left")
+    values = stacked.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return complete.join(values, same, "left").drop(*[f"_{k}" for k in keys])

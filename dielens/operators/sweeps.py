@@ -20,14 +20,15 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The task functions travel to the executors with the job; nothing to install there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Seeding looks at about this many rows per group; the fits read all of them.
-SEED_ROWS = 1024
+# Seeding draws this many times the largest k from all rows, in each of its rounds.
+DRAWN_PER_CENTRE = 2
+SEED_ROUNDS = 5
 RIDGE = 1e-6
 
 GROUP, POINT = "_group", "_point"
@@ -35,39 +36,112 @@ _SUMS = "model int, sums array<double>"
 
 
 def grouped_points(df: DataFrame, group: Column, features: Column) -> DataFrame:
-    """The two columns a sweep reads: an int group and the feature array."""
-    points = df.select(group.cast("int").alias(GROUP), features.alias(POINT))
-    width = df.sparkSession.sparkContext.defaultParallelism
-    # A frame from few files would keep most cores idle in every iteration.
-    return points.repartition(width) if points.rdd.getNumPartitions() < width else points
+    """The two columns a sweep reads: an int group and the feature array, dealt evenly."""
+    return dealt(df.select(group.cast("int").alias(GROUP), features.alias(POINT)))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over the session's shuffle partitions, whatever files they
+    come from: no iteration waits for one large partition or leaves cores idle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def group_sizes(points: DataFrame) -> dict[int, int]:
     return {r[GROUP]: r["count"] for r in points.groupBy(GROUP).count().collect()}
 
 
-def _seed_rows(points: DataFrame, sizes: Mapping[int, int], seed: int) -> dict[int, np.ndarray]:
-    fractions = {g: min(1.0, SEED_ROWS / n) for g, n in sizes.items()}
-    rows: dict[int, list] = {g: [] for g in sizes}
-    for row in points.sampleBy(GROUP, fractions, seed).collect():
-        rows[row[GROUP]].append(row[POINT])
-    return {g: np.array(r, dtype=float) for g, r in rows.items()}
+def _nearest(rows: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest centre of each row, and the squared distance to it."""
+    part = (centres**2).sum(1) - 2 * rows @ centres.T
+    label = part.argmin(1)
+    return label, np.maximum(part[np.arange(len(rows)), label] + (rows**2).sum(1), 0.0)
+
+
+def _chance(rows: np.ndarray, salt: int) -> np.ndarray:
+    """A number in (0, 1) for each row, by its values: the same in any partition."""
+    mixed = np.full(len(rows), np.uint64(salt * 2 + 1) * np.uint64(0x9E3779B97F4A7C15), dtype=np.uint64)
+    for column in np.ascontiguousarray((rows + 0.0).T).view(np.uint64):
+        mixed = (mixed ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(29)
+    mixed = (mixed * np.uint64(0x94D049BB133111EB)) ^ (mixed >> np.uint64(32))
+    return ((mixed >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+
+
+@dataclass(frozen=True)
+class Seeds:
+    """Distinct rows of a group and how many of all its rows are nearest to each."""
+
+    rows: np.ndarray
+    weights: np.ndarray
+
+
+def seed_candidates(points: DataFrame, most: int, seed: int) -> dict[int, Seeds]:
+    """Candidates for starting centres, drawn from all rows of every group (k-means||).
+
+    A round is one job: distinct values are drawn with a chance that grows with the squared
+    distance to the candidates so far, by ranking log(u) / distance, so a small far cluster
+    is met however many rows the others have. Each task passes on its best ``most``, and
+    Spark keeps the best of all. A last job counts the rows nearest to each candidate.
+    """
+    found: dict[int, np.ndarray] = {}
+    best_first = Window.partitionBy(GROUP).orderBy(F.desc("_key"), POINT)
+    for turn in range(SEED_ROUNDS):
+        so_far = dict(found)
+
+        def draw(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for group, rows in _batches(stream):
+                rows = np.unique(rows, axis=0)
+                gap = _nearest(rows, so_far[group])[1] if group in so_far else np.ones(len(rows))
+                away = gap > 1e-12 * (rows**2).sum(1)
+                rows, gap = rows[away], gap[away]
+                keys = np.log(_chance(rows, seed + turn)) / gap
+                if group in best:
+                    keys, rows = np.concatenate([best[group][0], keys]), np.concatenate([best[group][1], rows])
+                    rows, kept = np.unique(rows, axis=0, return_index=True)
+                    keys = keys[kept]
+                top = np.argsort(-keys, kind="stable")[:most]
+                best[group] = keys[top], rows[top]
+            for group, (keys, rows) in best.items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(keys), group), pa.int32()),
+                        pa.array(keys),
+                        pa.array(rows.tolist(), pa.list_(pa.float64())),
+                    ],
+                    [GROUP, "_key", POINT],
+                )
+
+        drawn = points.mapInArrow(draw, f"{GROUP} int, _key double, {POINT} array<double>").distinct()
+        for row in drawn.withColumn("_place", F.row_number().over(best_first)).where(F.col("_place") <= most).collect():
+            fresh = np.array([row[POINT]], dtype=float)
+            found[row[GROUP]] = np.concatenate([found[row[GROUP]], fresh]) if row[GROUP] in found else fresh
+
+    def count(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        if group in found:
+            yield group, np.bincount(_nearest(rows, found[group])[0], minlength=len(found[group])).astype(float)
+
+    return {group: Seeds(found[group], weights) for group, weights in _add_up(points, count).items()}
 
 
-def _spread_centres(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ seeding on a few rows, then a few Lloyd steps on the same rows."""
-    centres = [rows[rng.integers(len(rows))]]
+def _spread_centres(seeds: Seeds, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Weighted k-means++ among the candidates, then a few Lloyd steps on them."""
+    rows, weights = seeds.rows, seeds.weights
+    centres = [rows[rng.choice(len(rows), p=weights / weights.sum())]]
     nearest = ((rows - centres[0]) ** 2).sum(1)
     while len(centres) < k:
-        total = nearest.sum()
-        pick = rng.choice(len(rows), p=nearest / total) if total > 0 else rng.integers(len(rows))
+        mass = nearest * weights
+        total = mass.sum()
+        pick = rng.choice(len(rows), p=mass / total) if total > 0 else rng.integers(len(rows))
         centres.append(rows[pick])
         nearest = np.minimum(nearest, ((rows - rows[pick]) ** 2).sum(1))
     found = np.array(centres)
     for _ in range(5):
-        label = ((rows[:, None, :] - found[None]) ** 2).sum(2).argmin(1)
+        label = _nearest(rows, found)[0]
         for j in np.unique(label):
-            found[j] = rows[label == j].mean(0)
+            mine = label == j
+            if weights[mine].sum() > 0:
+                found[j] = np.average(rows[mine], axis=0, weights=weights[mine])
     return found
 
 
@@ -115,7 +189,7 @@ def kmeans_sweep(
     max_iter: int = 20, tol: float = 1e-4,
 ) -> list[KMeansFit]:
     """Lloyd's k-means for every (group, k) wanted, one job per iteration."""
-    seeds = _seed_rows(points, sizes, seed)
+    seeds = seed_candidates(points, DRAWN_PER_CENTRE * max(k for _, k in wanted), seed)
     centres = {i: _spread_centres(seeds[g], k, np.random.default_rng([seed, g, k])) for i, (g, k) in enumerate(wanted)}
     width = len(next(iter(centres.values()))[0])
 
@@ -214,16 +288,18 @@ def _expanded(rows: np.ndarray) -> np.ndarray:
     return np.concatenate([products, rows, np.ones((len(rows), 1))], 1)
 
 
-def _first_mixture(group: int, k: int, rows: np.ndarray, rng: np.random.Generator) -> MixtureFit:
-    centres = _spread_centres(rows, k, rng)
-    label = ((rows[:, None, :] - centres[None]) ** 2).sum(2).argmin(1)
-    overall = np.cov(rows.T, bias=True).reshape(rows.shape[1], -1)
-    weights, covariances = np.empty(k), np.empty((k, *overall.shape))
+def _first_mixture(group: int, k: int, seeds: Seeds, rng: np.random.Generator) -> MixtureFit:
+    rows, mass = seeds.rows, seeds.weights
+    centres = _spread_centres(seeds, k, rng)
+    label = _nearest(rows, centres)[0]
+    d = rows.shape[1]
+    overall = np.cov(rows.T, bias=True, aweights=mass).reshape(d, d)
+    weights, covariances = np.empty(k), np.empty((k, d, d))
     for j in range(k):
-        members = rows[label == j]
-        weights[j] = (len(members) + 1) / (len(rows) + k)
-        own = np.cov(members.T, bias=True).reshape(overall.shape) if len(members) > rows.shape[1] else overall
-        covariances[j] = own + RIDGE * np.eye(len(overall))
+        mine = (label == j) & (mass > 0)
+        weights[j] = (mass[mine].sum() + 1) / (mass.sum() + k)
+        own = np.cov(rows[mine].T, bias=True, aweights=mass[mine]).reshape(d, d) if mine.sum() > d else overall
+        covariances[j] = own + RIDGE * np.eye(d)
     return MixtureFit(group, k, weights, centres, covariances)
 
 
@@ -236,9 +312,9 @@ def mixture_sweep(
     A model stops when its mean log likelihood gains less than ``tol``; the loop ends
     when all have. k = 1 is exact after its first step.
     """
-    seeds = _seed_rows(points, sizes, seed)
+    seeds = seed_candidates(points, DRAWN_PER_CENTRE * max(k for _, k in wanted), seed)
     fits = [_first_mixture(g, k, seeds[g], np.random.default_rng([seed, g, k])) for g, k in wanted]
-    origin = {g: rows.mean(0) for g, rows in seeds.items()}
+    origin = {g: np.average(s.rows, axis=0, weights=s.weights) for g, s in seeds.items()}
 
     for _ in range(max_iter + 1):
         active = [i for i, f in enumerate(fits) if not f.converged]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from dielens.functions.quantiles import exact_quantiles, lattice_cell
 from dielens.functions.scalars import named
+from dielens.plans.hold import hold
 
 CUT_QUANTILE = 0.99999
 
@@ -108,22 +109,19 @@ def label_wafer_outliers(
     """Marks dies of wafers whose mean lies above median + n·sd of all wafer means.
 
     Items are taken in order; a wafer marked by one item does not count for the next.
-    The dies are aggregated once, the rule then runs on one row per wafer.
+    Action: the dies are aggregated once to a held frame of one row per wafer; each item
+    then takes two small aggregates of it, and its limit goes into the plan as a literal.
     """
-    means = [F.avg(named(c)).alias(f"m{i}") for i, c in enumerate(items)]
-    wafers = df.groupBy("lot_wafer").agg(*means).withColumn("_out", F.lit(False))
+    wafers = hold(df.groupBy("lot_wafer").agg(*[F.avg(named(c)).alias(f"m{i}") for i, c in enumerate(items)]))
+    out = F.lit(False)
     for i in range(len(items)):
-        normal = wafers.where(~F.col("_out"))
-        middle = exact_quantiles(normal, [], f"m{i}", {"_mid": 0.5})
-        spread = normal.agg(F.stddev_samp(f"m{i}").alias("_sd"))
-        limit = F.col("_mid") + F.lit(float(n_sigma)) * F.col("_sd")
-        wafers = (
-            wafers.crossJoin(F.broadcast(middle))
-            .crossJoin(F.broadcast(spread))
-            .withColumn("_out", F.col("_out") | F.coalesce(F.col(f"m{i}") > limit, F.lit(False)))
-            .drop("_mid", "_sd")
-        )
-    marked = wafers.where("_out").select("lot_wafer", F.lit("outlier_map").alias(label))
+        normal = wafers.where(~out)
+        middle = exact_quantiles(normal, [], f"m{i}", {"mid": 0.5}).first()
+        spread = normal.agg(F.stddev_samp(f"m{i}")).first()[0]
+        if middle is not None and spread is not None:
+            limit = F.lit(middle["mid"]) + F.lit(float(n_sigma)) * F.lit(spread)
+            out = out | F.coalesce(F.col(f"m{i}") > limit, F.lit(False))
+    marked = wafers.where(out).select("lot_wafer", F.lit("outlier_map").alias(label))
     return df.join(marked, "lot_wafer", "left").withColumn(label, F.coalesce(F.col(label), F.lit("Normal")))
 
 

@@ -124,13 +124,6 @@ def components(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     return out.select(*ROW, "LOT_ID", "WAFER_ID", *[named(c) for c in CLUSTER_COLUMNS], *found.columns), list(found.columns)
 
 
-def vectors(spark: SparkSession, sf_dir: str, width: int = 6) -> tuple[DataFrame, list[str]]:
-    """The first entries of every embedding as columns, for the dearer model sweeps."""
-    names = [f"e{i}" for i in range(width)]
-    df = load(spark, sf_dir, "embeddings")
-    return df.select("vec_id", *[df["embedding"][i].cast("double").alias(n) for i, n in enumerate(names)]), names
-
-
 # --- sources ---------------------------------------------------------------------------
 
 
@@ -357,7 +350,7 @@ def kmeans_cost_sweep(spark, sf_dir):
 
 @query
 def bisecting_cost_sweep(spark, sf_dir):
-    df, names = vectors(spark, sf_dir)
+    df, names = components(spark, sf_dir)
     return choose_k.bisecting_cost_sweep(df, names)
 
 
@@ -385,20 +378,20 @@ def bic_choice(spark, sf_dir):
 
 @query
 def elbow_two_curves(spark, sf_dir):
-    df, names = vectors(spark, sf_dir)
+    df, names = components(spark, sf_dir)
     curves = choose_k.elbow_curves(df, names)
     return curves.withColumn("chosen_k", F.lit(choose_k.two_curve_k(curves)))
 
 
 @query
 def gmm_bic_sweep(spark, sf_dir):
-    df, names = vectors(spark, sf_dir)
+    df, names = components(spark, sf_dir)
     return choose_k.gmm_bic_sweep(df, names)
 
 
 @query
 def silhouette_sweep(spark, sf_dir):
-    df, names = vectors(spark, sf_dir)
+    df, names = components(spark, sf_dir)
     curve = choose_k.silhouette_sweep(df, names)
     return curve.withColumn("chosen_k", F.lit(choose_k.silhouette_k(curve)))
 
@@ -426,13 +419,13 @@ def nearest_centre(spark, sf_dir):
 
 @query
 def gmm_labels(spark, sf_dir):
-    df, names = vectors(spark, sf_dir)
-    return clusters.cluster(df, "gmm", 5, names, "gmm").select("vec_id", "gmm")
+    df, names = components(spark, sf_dir)
+    return clusters.cluster(df, "gmm", 5, names, "gmm").select(*ROW, "gmm")
 
 
 @query
 def component_representative(spark, sf_dir):
-    df, names = vectors(spark, sf_dir)
+    df, names = components(spark, sf_dir)
     _, model = clusters.fit_and_label(df, names, "gmm", 5, "gmm")
     return clusters.component_representatives(df, names, *clusters.mixture_parts(model))
 

@@ -181,3 +181,17 @@ def test_whole_analysis(spark, tmp_path):
         assert spark.read.json(f"{tmp_path}/{files[key]}").count() > 0
     assert set(files) >= {"dataframe", "raw_data"}
     spark.catalog.clearCache()
+
+
+def test_seeds_meet_a_tiny_far_cluster(spark):
+    rng = np.random.default_rng(3)
+    rows = np.concatenate([rng.normal(0, 1, (20_000, 2)), rng.normal(500, 0.1, (2, 2))])
+    frame = spark.createDataFrame(pd.DataFrame(rows, columns=["a", "b"]))
+    fits = []
+    for parts in (2, 8):
+        points = sweeps.grouped_points(frame.repartition(parts), F.lit(0), F.array("a", "b")).persist()
+        fits.append(sweeps.kmeans_sweep(points, [(0, 2)], sweeps.group_sizes(points))[0])
+        points.unpersist()
+    for fit in fits:
+        assert max(fit.centres.sum(1)) > 990
+    assert np.allclose(np.sort(fits[0].centres, axis=0), np.sort(fits[1].centres, axis=0))

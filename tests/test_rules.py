@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from dielens import spec
 from dielens.functions import scalars
 from dielens.functions.quantiles import exact_quantiles
-from dielens.operators import clean, knee, labelling, outputs, registers
+from dielens.operators import clean, knee, labelling, outputs, registers, stacked, transform
 from dielens.sources import sinks, tables
 
 
@@ -189,3 +189,23 @@ def test_outputs_and_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.output_modes(["csv"])
     assert sinks.output_modes(["csv", "dataframe"], "/x") == {"csv", "dataframe"}
+
+
+def test_text_of_no_finite_number_is_null(spark):
+    df = spark.createDataFrame([("NaN",), ("1",), ("2",), ("Infinity",), ("x",)], "v string")
+    found = exact_quantiles(clean.to_numbers(df, ["v"]), [], "v", {"median": 0.5}, with_stats=True).first()
+    assert (found["n_values"], found["median"], found["max_value"]) == (2, 1.5, 2.0)
+
+
+def test_full_map_keeps_unreadable_positions(spark):
+    rows = [("F", "D", None, 1, "m", "c", "i", 5.0), ("F", "D", 2, 1, "m", "c", "i", 6.0)]
+    names = "FAB string, DESIGN_ID string, DieX int, DieY int, model string, cluster string, stacked_item string, v double"
+    found = stacked.full_die_map(spark.createDataFrame(rows, names)).collect()
+    assert sorted((r["DieX"] is None, r["v"]) for r in found) == [(False, 6.0), (True, 5.0)]
+
+
+def test_outlier_rule_scans_the_dies_once(spark):
+    items = ["a", "b", "c", "d"]
+    rows = [(f"w{i % 5}", *(float(i * j % 7) for j in range(1, 5))) for i in range(50)]
+    plan = transform.label_wafer_outliers(spark.createDataFrame(rows, ["lot_wafer", *items]), items)
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
