@@ -12,6 +12,7 @@ must share more bytes, until no group is large, so no task holds an unbounded gr
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -243,7 +244,8 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
             )
 
     places = docs.mapInArrow(cut, f"doc {kind}, row long, start int, count int, anchor long, body long")
-    busy = (
+    # held, so that the join reads plain shuffles, which Spark splits where an anchor is hot
+    busy = hold(
         places.groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("body").alias("low"), F.max("body").alias("high"))
         .where("n > 1")
@@ -256,8 +258,10 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
             F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("doc", "row", "start", "count")]
         )
     )
-    crowds = classes.groupBy("anchor").agg((F.count("*") > CROWD).alias("crowd"))
-    wanted = classes.join(crowds, "anchor").groupBy("doc", "row").agg(
+    crowds = classes.groupBy("anchor").agg(F.count("*").alias("classes")).where(F.col("classes") > CROWD)
+    crowds = hold(crowds.select("anchor", F.lit(True).alias("crowd")))
+    told = classes.join(crowds, "anchor", "left").withColumn("crowd", F.coalesce("crowd", F.lit(False)))
+    wanted = told.groupBy("doc", "row").agg(
         F.collect_list(F.struct("anchor", "start", "count", (F.col("n") == 1).alias("alone"), "crowd")).alias("wanted")
     )
     found = hold(_bodies(docs, wanted, length))
@@ -367,24 +371,27 @@ def _by_parts(crowd: DataFrame, length: int) -> list[DataFrame]:
     a run all hold the bytes between the last one's start and the first one's end; runs at
     the same distance with the same such bytes are dealt out together and sorted. Crowds
     that are left are cut into shorter runs, at last into single windows, which are equal
-    if their digests are: Spark counts those.
+    if their digests are: Spark counts those. Runs that a batch holds several times are
+    known to repeat and leave at once; one of them stays for the others to meet.
     """
-    spans = []
+    spans, place = [], ["doc", "row", "start", "count"]
     for width in (32, 4):
-        parts = hold(_cut(crowd, width, length))
-        sizes = parts.groupBy("part").agg((F.count("*") > CROWD).alias("more"))
-        sized = parts.join(sizes, "part")
-        spans.append(_by_suffixes(sized.where("not more"), length, "part"))
-        crowd = sized.where("more")
-    windows = _cut(crowd, 1, length).select("doc", "row", "start", "count", "alone", "part", F.xxhash64("body").alias("body"))
+        made = hold(_cut(crowd, width, length))
+        spans.append(made.where("part is null").select(*place))
+        parts = made.where("part is not null")
+        more = hold(parts.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("part"))
+        spans.append(_by_suffixes(parts.join(more, "part", "left_anti"), length, "part"))
+        crowd = parts.join(more, "part", "left_semi")
+    made = hold(_cut(crowd, 1, length).select(*place, "alone", "part", F.xxhash64("body").alias("body")))
+    windows = made.where("part is not null")
     again = windows.groupBy("part", "body").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     last = windows.where("alone").join(again, ["part", "body"], "left_semi")
-    return [*spans, last.select("doc", "row", "start", "count")]
+    return [*spans, made.where("part is null").select(*place), last.select(*place)]
 
 
 def _cut(segments_: DataFrame, width: int, length: int) -> DataFrame:
     """Segments cut at multiples of `width` bytes from their anchor; `part` is what runs
-    have to share."""
+    have to share. Rows without a part are runs of windows found to repeat."""
     kind = segments_.schema["doc"].dataType.simpleString()
     columns = ["doc", "row", "anchor", "lead", "start", "count", "alone", "body"]
 
@@ -393,9 +400,30 @@ def _cut(segments_: DataFrame, width: int, length: int) -> DataFrame:
         for j in range(max(lead - count + 1, 0) // width, lead // width + 1):
             yield max(lead - j * width - width + 1, 0), min(lead - j * width + 1, count), j
 
+    def combined(cuts: list[tuple[int, tuple]]) -> tuple[list[int], list[tuple]]:
+        """Equal runs once, and where all of them are, in as few rows as touch."""
+        times = Counter(run[-2:] for _, run in cuts)
+        who, out, found, met = [], [], [], set()
+        for i, run in cuts:
+            anchor, lead, start, count, alone, body, part = run
+            if times[body, part] > 1:
+                if alone and found and found[-1][0] == i and start + count == found[-1][1]:
+                    found[-1] = (i, start, count + found[-1][2])  # runs come from a segment's end
+                elif alone:
+                    found.append((i, start, count))
+                if (body, part) in met:
+                    continue
+                met.add((body, part))
+                run = (anchor, lead, start, count, False, body, part)
+            who.append(i)
+            out.append(run)
+        who += [i for i, _, _ in found]
+        out += [(None, None, start, count, True, None, None) for _, start, count in found]
+        return who, out
+
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            who, out = [], []
+            cuts: list[tuple[int, tuple]] = []
             rows = zip(*(batch.column(c).to_pylist() for c in columns[2:]), strict=True)
             for i, (anchor, lead, start, count, alone, body) in enumerate(rows):
                 if lead is None:
@@ -404,8 +432,8 @@ def _cut(segments_: DataFrame, width: int, length: int) -> DataFrame:
                 for a, b, j in runs(count, lead):
                     middle = body[lead - j * width : lead - j * width - width + 1 + length]
                     part = xxhash.xxh3_64_intdigest(b"%d %d " % (anchor, j) + middle) - (1 << 63)
-                    who.append(i)
-                    out.append((anchor, lead - a, start + a, b - a, alone, body[a : b + length - 1], part))
+                    cuts.append((i, (anchor, lead - a, start + a, b - a, alone, body[a : b + length - 1], part)))
+            who, out = combined(cuts)
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int64()]
             made = [pa.array(c, type=t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 7, types, strict=True)]
             chosen = pa.array(who, type=pa.int64())
