@@ -33,24 +33,29 @@ REMEMBERED = 500_000
 
 
 class WordIds:
-    """Token ids of texts word by word, as bytes, for a tokenizer that drops blanks and case.
+    """Token ids of texts word by word, as bytes, for a byte-level tokenizer that drops blanks
+    and case and keeps runs of letters together.
 
-    A word of ASCII letters with a rest that begins with another ASCII character is encoded
-    as these two: the tokenizer never joins a letter with such a character.
+    A word of small Latin-1 letters, with or without a rest that begins with another ASCII character,
+    is encoded as these two: the tokenizer never joins a letter with such a character. Letters
+    alone need no normalising and no splitting, so they go to the merges at once.
     """
 
-    STEM = re.compile(rb"([a-z]+)([^a-z\x80-\xff].*)", re.DOTALL)
+    STEM = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)((?:[^a-z\x80-\xff].*)?)", re.DOTALL)
 
     def __init__(self, tokenizer_json: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
         self.known: dict[bytes, bytes]
-        self.pieces: dict[bytes, bytes]
+        self.stems: dict[bytes, bytes]
+        self.others: dict[bytes, bytes]
         self.forget()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -58,21 +63,23 @@ class WordIds:
         split = [lower_words(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.forget()
-        fresh = {w for ws in split for w in ws} - self.known.keys()
-        parts = {w: m.groups() if (m := self.STEM.fullmatch(w)) else (w,) for w in fresh}
-        self._learn(sorted({p for ps in parts.values() for p in ps} - self.pieces.keys()))
-        self.known.update((w, b"".join(map(self.pieces.__getitem__, ps))) for w, ps in parts.items())
+        fresh = set().union(*split) - self.known.keys()
+        parts = [(w, *(m.groups() if (m := self.STEM.fullmatch(w)) else (b"", w))) for w in fresh]
+        self._learn(self.merges, self.stems, {stem for _, stem, _ in parts})
+        self._learn(self.tokenizer, self.others, {other for _, _, other in parts})
+        self.known.update((w, self.stems[stem] + self.others[other]) for w, stem, other in parts)
         for ws in split:
             yield b"".join(map(self.known.__getitem__, ws))
 
     def forget(self) -> None:
-        self.known, self.pieces = {}, {}
-
-    def _learn(self, pieces: list[bytes], at_once: int = 10_000) -> None:
-        for a in range(0, len(pieces), at_once):
-            part = pieces[a : a + at_once]
-            coded = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
-            self.pieces.update(zip(part, (array(self.code, e.ids).tobytes() for e in coded), strict=True))
+        self.known, self.stems, self.others = {}, {}, {}
+
+    def _learn(self, tokenizer, known: dict[bytes, bytes], pieces: set[bytes], at_once: int = 10_000) -> None:
+        fresh = list(pieces - known.keys())
+        for a in range(0, len(fresh), at_once):
+            part = fresh[a : a + at_once]
+            coded = tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
+            known.update(zip(part, (array(self.code, e.ids).tobytes() for e in coded), strict=True))
 
 
 _encoders: dict[int, WordIds] = {}
