@@ -41,15 +41,19 @@ class WordIds:
     alone need no normalising and no splitting, so they go to the merges at once.
     """
 
-    STEM = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)((?:[^a-z\x80-\xff].*)?)", re.DOTALL)
+    # in UTF-8 the bytes of this class only come together as a-z and the letters U+00DF to U+00FF
+    STEM = re.compile(rb"([a-z\xc3\x9f-\xb6\xb8-\xbf]++)((?:[^a-z\x80-\xff].*)?)", re.DOTALL)
 
     def __init__(self, tokenizer_json: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.merges = Tokenizer(self.tokenizer.model)
-        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merge = self.tokenizer.model.tokenize
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = [chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha()]
+        #: How the model writes a byte of such a letter.
+        self.shown = {raw: char for x in letters for raw, char in zip(x.encode(), shown(x)[0][0], strict=True)}
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
@@ -65,8 +69,8 @@ class WordIds:
             self.forget()
         fresh = set().union(*split) - self.known.keys()
         parts = [(w, *(m.groups() if (m := self.STEM.fullmatch(w)) else (b"", w))) for w in fresh]
-        self._learn(self.merges, self.stems, {stem for _, stem, _ in parts})
-        self._learn(self.tokenizer, self.others, {other for _, _, other in parts})
+        self._merge_stems({stem for _, stem, _ in parts} - self.stems.keys())
+        self._encode_others(list({other for _, _, other in parts} - self.others.keys()))
         self.known.update((w, self.stems[stem] + self.others[other]) for w, stem, other in parts)
         for ws in split:
             yield b"".join(map(self.known.__getitem__, ws))
@@ -74,12 +78,18 @@ class WordIds:
     def forget(self) -> None:
         self.known, self.stems, self.others = {}, {}, {}
 
-    def _learn(self, tokenizer, known: dict[bytes, bytes], pieces: set[bytes], at_once: int = 10_000) -> None:
-        fresh = list(pieces - known.keys())
+    def _merge_stems(self, fresh: set[bytes]) -> None:
+        for stem in fresh:
+            text = stem.decode("latin-1")
+            if not text.isascii():
+                text = text.translate(self.shown)
+            self.stems[stem] = array(self.code, [t.id for t in self.merge(text)]).tobytes()
+
+    def _encode_others(self, fresh: list[bytes], at_once: int = 10_000) -> None:
         for a in range(0, len(fresh), at_once):
             part = fresh[a : a + at_once]
-            coded = tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
-            known.update(zip(part, (array(self.code, e.ids).tobytes() for e in coded), strict=True))
+            coded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
+            self.others.update(zip(part, (array(self.code, e.ids).tobytes() for e in coded), strict=True))
 
 
 _encoders: dict[int, WordIds] = {}
