@@ -1,8 +1,7 @@
 """Choosing the number of clusters: cost curves, BIC and silhouettes.
 
-Every fit reads all rows of a cached frame. K-means and mixture sweeps share their
-scans (``sweeps``); other estimators run a few fits at a time and Spark shares the
-executors between them. What returns to the driver is a few numbers per k.
+Every fit reads all rows of a cached frame. K-means, bisecting and mixture sweeps share
+their scans (``sweeps``). What returns to the driver is a few numbers per k.
 """
 
 from __future__ import annotations
@@ -10,22 +9,23 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from functools import reduce
 from statistics import median
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dielens.functions.scalars import named
-from dielens.operators.clusters import SEED, VECTOR, estimator, feature_frame
+from dielens.operators.clusters import SEED, VECTOR
 from dielens.operators.knee import bic_choice, knee_point
 from dielens.operators.sweeps import (
+    GROUP,
+    POINT,
     closest_centre,
-    dealt,
     group_sizes,
     grouped_points,
     kmeans_sweep,
@@ -75,12 +75,57 @@ def bisecting_cost_sweep(
     df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = SEED,
     max_iter: int | None = None,
 ) -> DataFrame:
-    """(k, cost) by bisecting k-means."""
-    with cached(dealt(feature_frame(df, features, keep=False))) as vectors:
-        def cost(k: int) -> tuple[int, float]:
-            return int(k), float(estimator("bisecting_kmeans", k, seed, max_iter).fit(vectors).summary.trainingCost)
+    """(k, cost) by bisecting k-means, level by level, the largest clusters first.
 
-        return _curve(df, in_parallel(cost, ks, vectors), "k int, cost double")
+    All k share one tree: on each level they divide the same clusters, up to the number each
+    still needs. A level's divisions share their scans.
+    """
+    with ExitStack() as kept:
+        points = kept.enter_context(cached(_points(df, features)))
+        sizes = group_sizes(points)
+        whole = kmeans_sweep(points, [(0, 1)], sizes, seed, 1)[0].cost if sizes else 0.0
+        nodes = {0: (sizes.get(0, 0), whole)}  # node: rows, cost; its parts are 2n + 1 and 2n + 2
+        level, most, levels = points, max(ks), []
+        bottom, leaves = [0], 1
+        while leaves < most:
+            able = sorted((n for n in bottom if nodes[n][0] > 1 and nodes[n][1] > 1e-12), key=lambda n: (-nodes[n][0], n))
+            chosen = able[: most - leaves]
+            if not chosen:
+                break
+            counts = {n: nodes[n][0] for n in chosen}
+            fits = kmeans_sweep(level, [(n, 2) for n in chosen], counts, seed, max_iter or 20)
+            level = kept.enter_context(cached(_divided(level, {f.group: f.centres for f in fits})))
+            found = level.groupBy(GROUP).agg(F.count("*").alias("n"), F.sum("_gap").alias("cost")).collect()
+            nodes.update({r[GROUP]: (r["n"], r["cost"]) for r in found})
+            level = level.drop("_gap")
+            levels.append(chosen)
+            bottom = [part for n in chosen for part in (2 * n + 1, 2 * n + 2) if part in nodes]
+            leaves += len(bottom) - len(chosen)
+    return _curve(df, [(int(k), _tree_cost(nodes, levels, int(k))) for k in ks], "k int, cost double")
+
+
+def _divided(level: DataFrame, centres: dict) -> DataFrame:
+    """The points of divided clusters, each with its part's number and squared distance to its centre."""
+    def gap(side: int) -> Column:
+        table = F.create_map(*[c for n, pair in centres.items() for c in (F.lit(n), F.array(*map(F.lit, pair[side].tolist())))])
+        apart = F.zip_with(F.col(POINT), F.element_at(table, F.col(GROUP)), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x)
+
+    first, second = gap(0), gap(1)
+    part = (2 * F.col(GROUP) + F.when(first <= second, 1).otherwise(2)).cast("int")
+    return level.where(F.col(GROUP).isin(list(centres))).select(
+        part.alias(GROUP), POINT, F.least(first, second).alias("_gap")
+    )
+
+
+def _tree_cost(nodes: dict, levels: list[list[int]], k: int) -> float:
+    """Sum of the costs of the leaves when the tree has k of them (fewer, if it cannot)."""
+    leaves = {0}
+    for chosen in levels:
+        for n in [n for n in chosen if n in leaves][: k - len(leaves)]:
+            leaves.remove(n)
+            leaves.update(part for part in (2 * n + 1, 2 * n + 2) if part in nodes)
+    return float(sum(nodes[n][1] for n in leaves))
 
 
 def elbow_k(curve: DataFrame, k: str = "k", cost: str = "cost") -> int:

@@ -195,3 +195,16 @@ def test_seeds_meet_a_tiny_far_cluster(spark):
     for fit in fits:
         assert max(fit.centres.sum(1)) > 990
     assert np.allclose(np.sort(fits[0].centres, axis=0), np.sort(fits[1].centres, axis=0))
+
+
+def test_bisecting_costs_of_planted_squares(spark):
+    from dielens.operators.choose_k import bisecting_cost_sweep
+
+    # two far pairs of near crosses: a pair costs 10 rows * 5^2, a cross 4 * 0.1^2
+    cross = [(0.0, 0.0), (0.1, 0.0), (-0.1, 0.0), (0.0, 0.1), (0.0, -0.1)]
+    rows = [(x + a, y + b) for x in (0.0, 10.0) for y in (0.0, 100.0) for a, b in cross]
+    found = {r["k"]: r["cost"] for r in bisecting_cost_sweep(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], (2, 3, 4)).collect()}
+    assert found == pytest.approx({2: 500.16, 3: 250.16, 4: 0.16}, rel=1e-6)
+    same = spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double")
+    costs = bisecting_cost_sweep(same, ["a", "b"], (2, 3)).collect()
+    assert [r["cost"] for r in costs] == pytest.approx([0.0, 0.0], abs=1e-9)
