@@ -25,6 +25,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.places(table(spark, sf_dir, "documents"))
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_byte_bpe,
         op2_license_scan,
+        op2_license_places,
         op3_lm_scoring,
         op4_toxicity,
         op5_line_dedup,

@@ -131,6 +131,61 @@ def test_licenses(spark, empty):
     assert len(found) == 10 and licenses.scan(empty).count() == 0
 
 
+def plain_places(text, templates, at_least=0.8):
+    """Every stretch of bigrams against every template: places and the best coefficient."""
+    import re
+
+    words = [w for w in re.split("[^a-z0-9]+", (text or "").lower()) if w]
+    pairs, found = list(map(" ".join, zip(words, words[1:], strict=False))), []
+    for name, body in templates:
+        grams = set(licenses.template_grams(body))
+        for i in range(len(pairs)):
+            shared, others = set(), 0
+            for j in range(i, len(pairs)):
+                if pairs[j] in grams:
+                    shared.add(pairs[j])
+                else:
+                    others += 1
+                dice = 2 * len(shared) / (len(shared) + others + len(grams))
+                if dice >= at_least:
+                    found.append((dice, i, j, name))
+    dice, _, _, name = min(found, key=lambda m: (-m[0], m[1], m[3]), default=(0.0, None, None, None))
+    return (bool(found), name, pytest.approx(dice))
+
+
+def test_license_places(spark, empty):
+    """Wrapped notices in long texts, notices within a line, repeats, and whole paragraphs."""
+    rng = np.random.default_rng(6)
+    filler = lambda n: " ".join(rng.choice(["of", "the", "license", "under", "grain", "mill", "river"], n))
+    wrapped = "Licensed under the\nApache License,\n  Version 2.0."
+    permission = licenses.MIT_PERMISSION.replace(" and", "\n# and")
+    rows = [
+        (1, f"{filler(400)}\n{wrapped}\n{filler(400)}"),
+        (2, "Copyright 2020 Example Authors, all rights reserved. Licensed under the Apache License, Version 2.0."),
+        (3, "\n".join([wrapped] * 40)),
+        (4, f"{filler(100)}\n{permission}\n{filler(100)}"),
+        (5, f"{licenses.MIT_PERMISSION}\n\n{licenses.MIT_REST}"),
+        (6, "Licensed under the Apache License Version"),
+        (7, "Licensed under the well known Apache License, Version 2.0 of 2004"),
+        (8, filler(300)),
+        (9, None),
+        (10, "..."),
+        (11, "x"),
+        (None, "Released under the MIT License."),
+        (12, "Released under the MIT License.\n\nLicensed under CC\nBY-NC 4.0."),
+    ]
+    done = licenses.places(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = by_id(done, "n_places", "license", "dice", "first_line", "last_line")
+    assert {d: (n > 0, name, dice) for d, (n, name, dice, _, _) in found.items()} == {
+        d: plain_places(t, licenses.PASSAGES) for d, t in rows
+    }
+    assert found[1] == (1, "Apache-2.0", 1.0, 1, 3) and found[2][:3] == (1, "Apache-2.0", 1.0)
+    assert found[3] == (40, "Apache-2.0", 1.0, 0, 2) and found[5][:3] == (1, "MIT", 1.0)
+    assert found[4][1:3] == ("MIT", 1.0) and found[4][3:] == (1, permission.count("\n") + 1)
+    assert found[12] == (2, "MIT", 1.0, 0, 0) and found[8] == found[9] == (0, None, 0.0, -2, -2)
+    assert licenses.places(empty).count() == 0
+
+
 # --- language model ----------------------------------------------------------------------------
 
 
