@@ -41,12 +41,12 @@ def fingerprint(words: list[bytes], width: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """Columns: the key and `fp`, the fingerprint's bits as a long. Null texts are empty."""
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            bits = np.array([fingerprint(lower_words(t)) for t in texts_of(batch)], dtype=np.uint64)
+            bits = np.array([fingerprint(lower_words(t), width) for t in texts_of(batch)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(bits.view(np.int64))], names=[key, "fp"])
 
     kind = df.schema[key].dataType.simpleString()
@@ -150,15 +150,150 @@ def _compared(own: np.ndarray, others: np.ndarray, radius: int) -> list[tuple[np
     return out
 
 
-def near_duplicates(df: DataFrame, radius: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+def shingle_hashes(words: list[bytes], width: int, seed: int = 42) -> np.ndarray:
+    """The hashes of the word shingles that `fingerprint` takes, repeats included."""
+    spans = range(max(len(words) - width + 1, 1) if words else 0)
+    return np.fromiter(
+        (xxhash.xxh64_intdigest(b" ".join(words[i : i + width]), seed) for i in spans), dtype="<u8", count=len(spans)
+    )
+
+
+def shingle_sets(df: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Columns: the key, `fp` as in `fingerprints`, `shingles`, the hashes of the different
+    word shingles in order, and `id`, a hash of them all: equal sets have one id."""
+
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1_000_000):
+            words = [lower_words(t) for t in texts_of(batch)]
+            sets = [np.unique(shingle_hashes(w, width)) for w in words]
+            bits = np.array([fingerprint(w, width) for w in words], dtype=np.uint64).view(np.int64)
+            ids = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            flat = np.concatenate(sets) if sets else np.empty(0, dtype="<u8")
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.uint64).view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(bits), pa.array(ids), lists], names=["key", "fp", "id", "shingles"]
+            )
+
+    kind = df.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, fp long, id long, shingles array<long>"
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(blocks, schema)
+
+
+def near_pairs(sets: DataFrame, radius: int, at_least: float, stars: bool) -> DataFrame:
+    """Pairs (a, b) of rows (`id`, `fp`, `n`, `label`) with fingerprints within the radius,
+    sizes n that allow the similarity, and different labels; each pair once.
+
+    With `stars`, of the pairs found in one comparison only as many as join the same ids.
+    Tiles are population counts of the whole fingerprint, as four parts would send a row to
+    tens of thousands of tiles at a wide radius; each chunk meets all those within the
+    radius, so the work grows with the square of the rows.
+    """
+    tiled = sets.withColumn("tile", F.bit_count("fp").cast("int"))
+    chunks = tiled.groupBy("tile").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    sent = (
+        tiled.join(F.broadcast(chunks.withColumnRenamed("chunks", "own")), "tile")
+        .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("own")).cast("int"))
+        .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(radius))))
+        .withColumn("home", F.col("tile") - F.col("step"))
+        .join(F.broadcast(chunks.withColumnRenamed("tile", "home")), "home")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .where("step > 0 or chunk >= mine")
+        .select(
+            "home", "chunk", ((F.col("step") > 0) | (F.col("chunk") > F.col("mine"))).cast("int").alias("role"),
+            "id", "fp", "n", "label",
+        )
+    )
+    placed = sent.repartition("home", "chunk").sortWithinPartitions("home", "chunk", "role")
+
+    def pairs(own: np.ndarray, others: np.ndarray, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        for i in range(0, own.shape[1], 512):
+            for j in range(0, others.shape[1], 4096):
+                left, right = own[:, i : i + 512], others[:, j : j + 4096]
+                bits = left[1].view(np.uint64)[:, None] ^ right[1].view(np.uint64)[None, :]
+                x, y = np.nonzero(np.bitwise_count(bits) <= radius)
+                x, y = left[:, x], right[:, y]
+                fits = np.minimum(x[2], y[2]) >= at_least * np.maximum(x[2], y[2]) - 1e-9
+                fits &= (x[3] != y[3]) & ((x[0] < y[0]) if same else (x[0] != y[0]))
+                if fits.any():
+                    a, b = x[0][fits], y[0][fits]
+                    out.append(star_edges(a, b) if stars else (a, b))
+        return out
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, own = None, np.empty((4, 0), dtype=np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            home, chunk, role = (batch.column(i).to_numpy() for i in range(3))
+            rows = np.stack([batch.column(i).to_numpy() for i in range(3, 7)])
+            ends = np.flatnonzero((home[1:] != home[:-1]) | (chunk[1:] != chunk[:-1]) | (role[1:] != role[:-1])) + 1
+            for i, j in zip([0, *ends.tolist()], [*ends.tolist(), len(home)], strict=True):
+                if (home[i], chunk[i]) != place:
+                    place, own = (home[i], chunk[i]), np.empty((4, 0), dtype=np.int64)
+                these = np.ascontiguousarray(rows[:, i:j])
+                out = pairs(own, these, False)
+                if role[i] == 0:
+                    out += pairs(these, these, True)
+                    own = np.concatenate([own, these], axis=1)
+                for a, b in out:
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return placed.mapInArrow(compare, "a long, b long").distinct()
+
+
+def alike(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
+    """Of the pairs (a, b) of ids those whose sets of shingles have the Jaccard similarity."""
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"{x}_shingles"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    either = F.size("a_shingles") + F.size("b_shingles") - shared
+    return both.where(shared >= F.lit(at_least) * either - 1e-9).select("a", "b")
+
+
+def similar(df: DataFrame, radius: int, at_least: float, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As `near_duplicates`, linked by Jaccard similarity of the word shingles: fingerprints
+    within the radius give the pairs, which are then compared exactly.
+
+    A first pass checks few pairs of each dense group; the second takes every pair whose
+    ends the first has not joined, so a large group of near copies costs few checks and no
+    link is lost by it.
+    """
+    marked = hold(shingle_sets(df, width, key, text))
+    sets = hold(marked.groupBy("id").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")))
+    nodes = sets.select("id", "fp", F.size("shingles").cast("long").alias("n"))
+    first = hold(alike(near_pairs(nodes.withColumn("label", F.col("id")), radius, at_least, True), sets, at_least))
+    joined = connected_components(first).withColumnRenamed("node", "id")
+    labelled = hold(nodes.join(joined, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component"))
+    rest = alike(near_pairs(labelled, radius, at_least, False), sets, at_least)
+    groups = connected_components(first.union(rest)).withColumnRenamed("node", "id")
+    ids = marked.select(key, "fp", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = ids.groupBy("component").agg(F.min(key).alias("component_id"))
+    return ids.join(least, "component").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_duplicates(
+    df: DataFrame,
+    radius: int = 3,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 3,
+    at_least: float | None = None,
+) -> DataFrame:
     """One row for each row of df: the key, `fingerprint` in hex, and `component_id`, the
     smallest key that links reach.
 
     Equal fingerprints are one class, compared once. Null, empty and wordless texts have
     fingerprint zero. Rows with a null key are linked too, but never give the component's
     name; a component of such rows alone has a null one. Repeated rows each give a row.
+
+    `width` is the words of a shingle. With `at_least`, fingerprints within the radius are
+    linked only if the Jaccard similarity of their sets of shingles is so high (`similar`).
     """
-    prints = hold(fingerprints(df, key, text))
+    if at_least is not None:
+        return similar(df, radius, at_least, width, key, text)
+    prints = hold(fingerprints(df, key, text, width))
     classes = hold(prints.groupBy("fp").agg(F.min(key).alias("first")))
     groups = connected_components(near_links(classes.select("fp"), radius))
     named = classes.join(groups, classes["fp"] == groups["node"], "left").select(

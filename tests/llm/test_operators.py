@@ -325,6 +325,47 @@ def test_tiles_lose_no_link(spark, monkeypatch):
     assert all(a != b for a, b in links)
 
 
+def plain_similar(docs, width=5, at_least=0.8):
+    """The smallest id that Jaccard links of all pairs reach, by document."""
+    words = {d: brute.lower_words(t) for d, t in docs.items()}
+    sets = {d: {tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set() for d, w in words.items()}
+    ids = sorted(docs)
+    near = lambda a, b: a == b or len(a & b) >= at_least * len(a | b) - 1e-9
+    return brute.components(ids, [(a, b) for i, a in enumerate(ids) for b in ids[:i] if near(sets[a], sets[b])])
+
+
+@pytest.mark.parametrize("chunk", [4096, 8])
+def test_pipeline_takes_similar_documents(spark, monkeypatch, chunk):
+    """Near copies at many distances, chains of them, and a dense group, from five words at 0.8."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 3000, n)]
+    docs, texts = {}, []
+    for _ in range(12):
+        words = word(300)
+        texts.append(list(words))
+        for _ in range(4):  # a chain: each a few words from the one before
+            words = list(words)
+            for at in rng.integers(0, 300, rng.integers(1, 7)):
+                words[at] = word(1)[0]
+            texts.append(words)
+    dense = word(200)
+    texts += [[*dense, *word(1)] for _ in range(30)] + [[*dense[:170], *word(30)] for _ in range(4)]
+    docs = {i: " ".join(texts[j]) for i, j in enumerate(rng.permutation(len(texts)))}
+    docs |= {900: "", 901: None, 902: "two words", 903: "Two  WORDS"}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    groups = by_id(simhash.near_duplicates(df, **corpus_pipeline.SIMILAR), "component_id")
+    wanted = plain_similar(docs)
+    assert {d: c for d, (c,) in groups.items()} == wanted
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, SF)
+    assert {r["doc_id"] for r in kept.collect()} == set(wanted.values())
+    assert simhash.near_duplicates(df.where("doc_id < 0"), **corpus_pipeline.SIMILAR).count() == 0
+    odd = simhash.near_duplicates(nulls_and_repeats(spark), **corpus_pipeline.SIMILAR).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in odd) == [(0, 0), (0, 7), (7, 7), (7, 7), (8, 8)]
+
+
 # --- vectors ----------------------------------------------------------------------------------------
 
 
