@@ -36,7 +36,7 @@ IDENTITIES = (
 
 @dataclass(frozen=True)
 class Settings:
-    """`most_rows` bounds the labelled rows that training reads, taken by a hash of their id."""
+    """`most_rows` bounds the labelled rows that training takes, by a hash of id, text and copy."""
 
     most_rows: int = 20_000
     least_texts: int = 10
@@ -81,14 +81,22 @@ def swapped(words: set[str], identities: Iterable[tuple[str, ...]]) -> set[str]
 
 
 def training_rows(df: DataFrame, labels: DataFrame, settings: Settings, key: str, text: str) -> DataFrame:
-    """(label, words, other): features of the bounded sample of labelled rows and of their
+    """(key, label, words, other, print): features of the bounded sample of labelled rows and of their
     counterfactuals. A document's label is 1 if any of its rows says so; null labels and
     ids do not count."""
     named = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     named = named.groupBy(F.col("doc_id").alias("key")).agg(F.max("toxic").alias("label"))
-    present = df.select(F.col(key).alias("key")).join(named, "key").distinct()
-    sample = present.orderBy(F.xxhash64("key"), "key").limit(settings.most_rows)
-    docs = df.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key")
+    text_print = F.xxhash64("key", "text")
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("print", text_print)
+    # equal rows are counted, and only as many of them as the sample can hold take part
+    counts = rows.select("key", "print").join(named, "key").groupBy("key", "label", "print").agg(F.count("*").alias("n"))
+    most = F.least("n", F.lit(settings.most_rows).cast("long"))
+    each = counts.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), most)))
+    chosen = each.orderBy(F.xxhash64("key", "print", "copy"), "key", "print", "copy").limit(settings.most_rows)
+    sample = chosen.groupBy("key", "label", "print").agg(F.count("*").alias("copies"))
+    once = rows.join(F.broadcast(sample), ["key", "print"]).groupBy("key", "label", "print", "copies")
+    docs = once.agg(F.first("text").alias("text")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    docs = docs.select("key", "text", "label", "print")
     identities = settings.identities
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,12 +110,13 @@ def training_rows(df: DataFrame, labels: DataFrame, settings: Settings, key: str
                     batch.column("label").cast(pa.int32()),
                     pa.array([features(w) for w in found], type=kind),
                     pa.array([None if o is None else features(o) for o in others], type=kind),
+                    batch.column("print"),
                 ],
-                names=["key", "label", "words", "other"],
+                names=["key", "label", "words", "other", "print"],
             )
 
     kind = df.schema[key].dataType.simpleString()
-    return docs.mapInArrow(read, f"key {kind}, label int, words array<long>, other array<long>")
+    return docs.mapInArrow(read, f"key {kind}, label int, words array<long>, other array<long>, print long")
 
 
 def _flat(lists: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +168,7 @@ def fit(words: list[np.ndarray], others: list[np.ndarray | None], label: np.ndar
 def train(df: DataFrame, labels: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> Model:
     """A model of the labelled rows of df, the same for the same rows in any order."""
     table = training_rows(df, labels, settings, key, text).toArrow()
-    table = table.sort_by([("key", "ascending")])
+    table = table.sort_by([("key", "ascending"), ("print", "ascending")])
     lists = lambda c: [None if x is None else np.asarray(x, dtype=np.int64) for x in table.column(c).to_pylist()]
     return fit(lists("words"), lists("other"), table.column("label").to_numpy().astype(np.float64), settings)
 

@@ -259,6 +259,16 @@ def test_toxicity(spark, edges, empty):
     assert toxicity.score_documents(nulls_and_repeats(spark), odd).count() == 5
 
 
+def test_training_rows_are_bounded(spark):
+    """An id with very many rows, equal and different ones, does not pass the bound."""
+    rows = [(1, "the same text")] * 300 + [(1, f"text {i}") for i in range(100)] + [(i, f"other {i}") for i in range(2, 102)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 102)], "doc_id long, toxic int")
+    rows_of = lambda most: toxicity.training_rows(docs, labels, toxicity.Settings(most_rows=most), "doc_id", "text")
+    assert rows_of(50).count() == 50 and rows_of(10_000).count() == 500
+    assert rows_of(50).where("key = 1").count() < 50
+
+
 def test_neutral_mentions_are_spared():
     """An identity term that stands in most toxic texts gains almost no weight."""
     rng = np.random.default_rng(1)
