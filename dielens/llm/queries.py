@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dielens.llm import bpe, licenses, lines, lm, packing, quality, simhash, suffixes, toxicity, vectors
+from dielens.llm import (
+    bpe,
+    licenses,
+    lines,
+    lm,
+    mixing,
+    packing,
+    prefixes,
+    quality,
+    runs,
+    simhash,
+    suffixes,
+    toxicity,
+    vectors,
+)
 from dielens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +78,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(quality.ledger(table(spark, sf_dir, "documents")))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(prefixes.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(table(spark, sf_dir, "documents"), stretch=True))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,6 +110,9 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_suffix_dedup,
         op10_quality_rules,
+        op11_mixing,
+        op12_prefix_trie,
+        op13_periodic_runs,
         pipeline,
     )
 }
@@ -92,4 +121,6 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.oracle("documents"),
     "op5_line_dedup": lines.ORACLE.format(documents="documents"),
     "op10_quality_rules": quality.ORACLE.format(documents="documents"),
+    "op11_mixing": mixing.ORACLE,
+    "op12_prefix_trie": prefixes.ORACLE,
 }

@@ -159,3 +159,78 @@ def quality(text: str | None) -> tuple:
             seen.add(line)
     n, r = len(w), len(covered)
     return n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), lines, r, n < 50 or 100 * r > 50 * n
+
+
+def words(text: str | None) -> list[str]:
+    out, word = [], ""
+    for c in (text or "") + " ":
+        if c in BLANKS:
+            out += [word] if word else []
+            word = ""
+        else:
+            word += c
+    return out
+
+
+def runs(w: list) -> list[tuple]:
+    """(start, length, period) of every run, by trying all periods at all places."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            start = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i + q - start >= max(12, 2 * q):
+                found.setdefault((start, i + q), q)
+            i += i == start
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def periodic_runs(docs: dict) -> dict:
+    out = {}
+    for d, t in docs.items():
+        w = words(t)
+        h = zlib.crc32(str("" if d is None else d).encode())
+        if h % 10 == 0 and w:
+            g, n, first = h // 10, len(w), list(w)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [first[i] if i < a else first[a + (i - a) % p] for i in range(n)]
+        r = runs(w)
+        best = min(r, key=lambda x: (-x[1], x[0], x[2])) if r else (None,) * 3
+        gone = {i for s, n, q in r for i in range(s + q, s + n)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        milli = 1000 * best[1] // best[2] if r else None
+        out[d] = (len(r), *best, milli, sha("".join("%d,%d,%d\n" % x for x in r)), sha(kept))
+    return out
+
+
+def prefix_trie(rows: list[tuple]) -> list[tuple]:
+    """rows: (conv_id, turn, role, text); equal turns of a conversation are equal rows."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    told = {c: [x[2:] for x in sorted(t)] for c, t in turns.items()}
+    members = defaultdict(list)
+    ends = defaultdict(list)
+    for c, own in told.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        path = tuple(told.get(c - c % 20, [])[:h] + own[h:])
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+        ends[path].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(m) - 1) * len(words(p[-1][1])) if p else 0
+    return sorted(
+        (
+            min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+            sha(",".join(map(str, sorted(ends[p])))),
+        )
+        for p, m in members.items()
+    )
