@@ -2,9 +2,11 @@
 
 Spark's own ``percentile`` keeps every distinct value of a group in one task's
 memory. Here values are counted first (map-side combined, shuffled on group *and*
-value), the counts go on a fixed logarithmic lattice whose size does not depend
-on the data, and only the one or two lattice cells that hold a wanted rank are
-ordered value by value.
+value) and the counts are placed on a fixed lattice whose size does not depend on the
+data. A lattice cell that holds a wanted rank and many values is cut again, twice, in
+equal steps of its own range, and only the step that holds the rank is kept. A cell spans
+0.1 % of its values, so equal steps are equal numbers of doubles, and what is ordered
+value by value in the end are ``FEW`` values, or 2^18 of a range that is full of them.
 """
 
 from __future__ import annotations
@@ -19,6 +21,10 @@ from dielens.functions.scalars import finite, named
 
 # Lattice cells per unit of log1p(|v|): one cell spans about 0.1 % of a value.
 CELLS_PER_LOG_UNIT = 1024
+#: Distinct values of a cell that are ordered without cutting it.
+FEW = 4096
+#: Steps a cell is cut into, and how often.
+STEPS, CUTS = 4096, 2
 
 
 def lattice_cell(value: Column) -> Column:
@@ -26,6 +32,21 @@ def lattice_cell(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * CELLS_PER_LOG_UNIT)
 
 
+def _cell(value: Column) -> Column:
+    """As ``lattice_cell``, but relative to the value near zero too; zero has its own cell."""
+    size = F.floor((F.log(F.abs(value)) + F.lit(746.0)) * CELLS_PER_LOG_UNIT)
+    placed = F.when(value > 0, size).when(value < 0, -size)
+    return F.coalesce(placed, F.lit(0).cast("bigint"))
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``_k`` (a struct of the keys), ``_v``, ``_n``: rows for each value, NULL for those that
+    do not count (NULL, NaN, infinite)."""
+    key = F.struct(*[named(k) for k in keys]) if keys else F.struct(F.lit(1).alias("_all"))
+    rows = df.select(key.alias("_k"), finite(named(value).cast("double")).alias("_v"))
+    return rows.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,34 +60,39 @@ def exact_quantiles(
     and infinite values do not count; a group of these only has no row. With ``with_stats`` the
     row also has ``n_values``, ``min_value``, ``max_value`` and ``mean_value``.
     """
-    key = F.struct(*[named(k) for k in keys]) if keys else F.struct(F.lit(1).alias("_all"))
-    counts = (
-        df.select(key.alias("_k"), finite(named(value).cast("double")).alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .groupBy("_k", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_cell", lattice_cell(F.col("_v")))
-    )
+    found = quantiles_of_counts(value_counts(df, keys, value), probabilities, with_stats)
+    return found.select(*[F.col("_k").getField(k).alias(k) for k in keys], *[c for c in found.columns if c != "_k"])
+
+
+def _hit(cells: DataFrame, ranks: Sequence[Column]) -> DataFrame:
+    """The cells (``_before``, ``_in_cell``) that hold a wanted rank."""
+    inside = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_cell")) for r in ranks]
+    return cells.where(reduce(lambda a, b: a | b, inside))
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], with_stats: bool = False) -> DataFrame:
+    """``exact_quantiles`` of counted values (``_k``, ``_v``, ``_n``), with ``_k`` as it is."""
+    counts = counts.where(F.col("_v").isNotNull()).withColumn("_cell", _cell(F.col("_v")))
+    cell_sums = [
+        F.sum("_n").alias("_in_cell"),
+        F.count(F.lit(1)).alias("_values"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+    ]
     whole = Window.partitionBy("_k")
-    upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = lambda w, c: F.sum("_in_cell").over(w.orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stats = ["_total", *(["_min", "_max", "_sum_all"] if with_stats else [])]
+    total = {
+        "_total": F.sum("_in_cell").over(whole),
+        "_min": F.min("_lo").over(whole),
+        "_max": F.max("_hi").over(whole),
+        "_sum_all": F.sum("_sum").over(whole),
+    }
     cells = (
         counts.groupBy("_k", "_cell")
-        .agg(
-            F.sum("_n").alias("_in_cell"),
-            F.min("_v").alias("_lo"),
-            F.max("_v").alias("_hi"),
-            F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
-        )
-        .select(
-            "_k",
-            "_cell",
-            "_in_cell",
-            (F.sum("_in_cell").over(upto) - F.col("_in_cell")).alias("_before"),
-            F.sum("_in_cell").over(whole).alias("_total"),
-            F.min("_lo").over(whole).alias("_min"),
-            F.max("_hi").over(whole).alias("_max"),
-            F.sum("_sum").over(whole).alias("_sum_all"),
-        )
+        .agg(*cell_sums, F.sum(F.col("_v") * F.col("_n")).alias("_sum"))
+        .withColumns({"_before": upto(whole, "_cell") - F.col("_in_cell"), **{s: total[s] for s in stats}})
+        .drop("_sum")
     )
 
     def rank(p: float) -> tuple[Column, Column, Column]:
@@ -74,15 +100,30 @@ def exact_quantiles(
         return position, F.floor(position), F.ceil(position)
 
     ranks = {name: rank(p) for name, p in probabilities.items()}
-    end_of_cell = F.col("_before") + F.col("_in_cell")
     wanted = [r for _, low, high in ranks.values() for r in (low, high)]
-    hit = reduce(lambda a, b: a | b, [(r >= F.col("_before")) & (r < end_of_cell) for r in wanted])
+    hits, ready = _hit(cells, wanted), []
+    for _ in range(CUTS):
+        ready.append(hits.where(F.col("_values") <= FEW))
+        large = hits.where(F.col("_values") > FEW).drop("_in_cell", "_values")
+        step = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * STEPS)
+        cut = counts.join(large, ["_k", "_cell"]).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        place = ["_k", "_cell", "_from"]
+        steps = (
+            cut.withColumns({"_from": F.col("_lo"), "_step": F.least(step, F.lit(STEPS - 1).cast("bigint"))})
+            .groupBy(*place, "_step")
+            .agg(*cell_sums, F.first("_before").alias("_before"), *[F.first(s).alias(s) for s in stats])
+            .withColumn("_before", F.col("_before") + upto(Window.partitionBy(*place), "_step") - F.col("_in_cell"))
+        )
+        hits = _hit(steps, wanted).select(*large.columns, "_in_cell", "_values")
+    ready.append(hits)
+    small = reduce(DataFrame.unionByName, [h.drop("_in_cell", "_values") for h in ready])
 
-    inside = Window.partitionBy("_k", "_cell").orderBy("_v").rowsBetween(
+    inside = Window.partitionBy("_k", "_cell", "_lo").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     placed = (
-        counts.join(cells.where(hit).drop("_in_cell"), ["_k", "_cell"])
+        counts.join(small, ["_k", "_cell"])
+        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
@@ -100,12 +141,11 @@ def exact_quantiles(
         low_value, high_value = F.col(f"_low{i}"), F.col(f"_high{i}")
         outputs.append((low_value + (high_value - low_value) * F.col(f"_part{i}")).alias(name))
     if with_stats:
-        picks += [F.first(c).alias(c) for c in ("_total", "_min", "_max", "_sum_all")]
+        picks += [F.first(c).alias(c) for c in stats]
         outputs += [
             F.col("_total").alias("n_values"),
             F.col("_min").alias("min_value"),
             F.col("_max").alias("max_value"),
             (F.col("_sum_all") / F.col("_total")).alias("mean_value"),
         ]
-    key_columns = [F.col("_k").getField(k).alias(k) for k in keys]
-    return placed.groupBy("_k").agg(*picks).select(*key_columns, *outputs)
+    return placed.groupBy("_k").agg(*picks).select("_k", *outputs)

@@ -4,8 +4,6 @@ the subgroups again by how alike their register-to-register slopes are."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,13 +12,13 @@ from dielens.functions.quantiles import exact_quantiles
 from dielens.functions.scalars import named, penalised_slope
 from dielens.operators.choose_k import cached, elbow_curves, mixture_bic, two_curve_k
 from dielens.operators.clusters import SEED, fit_and_label
+from dielens.operators.gram import pair_sums
 from dielens.operators.knee import bic_choice
 from dielens.operators.sweeps import group_sizes, grouped_points, mixture_label, mixture_sweep
 from dielens.operators.transform import cube_root, norm_name
 
 TOP_FEATURES = 5
 SAMPLE_PARTS = 10
-PAIRS_PER_AGGREGATE = 200
 
 
 def cluster_top_features(
@@ -82,7 +80,9 @@ def level2_split(
 
     splits = {g: k for g, k in chosen.items() if k > 1}
     held: dict = {}
-    if splits:
+    if splits and parts == 1:  # the same rows, seeds and k: the sweep has fitted it already
+        held = {f.group: f for f in fits if splits.get(f.group) == f.k}
+    elif splits:
         with cached(grouped_points(df, number, features).where(F.col("_group").isin(*splits))) as points:
             sizes = group_sizes(points)
             final = mixture_sweep(points, list(splits.items()), sizes, seed, max_iter)
@@ -94,36 +94,25 @@ def level2_split(
 def pairwise_regression(df: DataFrame, group: str, registers: Sequence[str]) -> DataFrame:
     """(group, pair, x, y, slope, r2) for every register pair i < j, y regressed on x.
 
-    Plain mergeable aggregates per group, in chunks that keep the generated code small.
-    A constant x has no line and a constant y fits any (r2 = 1); the ranges decide that,
-    because merged partial variances of a constant are not exactly 0.
+    All pairs come from one scan (``gram.pair_sums``). A constant x has no line and a constant
+    y fits any (r2 = 1); the ranges decide that, because sums of a constant are not exact.
     """
-    pairs = list(combinations(registers, 2))
-    numbered = list(enumerate(pairs))
-    chunks = [numbered[i : i + PAIRS_PER_AGGREGATE] for i in range(0, len(numbered), PAIRS_PER_AGGREGATE)]
-    parts = []
-    for chunk in chunks:
-        varies = {c: F.min(named(c)) < F.max(named(c)) for _, pair in chunk for c in pair}
-        aggregates = []
-        for i, (x, y) in chunk:
-            r2 = F.when(varies[y], F.regr_r2(named(y), named(x))).otherwise(F.lit(1.0))
-            aggregates += [
-                F.when(varies[x], F.regr_slope(named(y), named(x))).alias(f"s{i}"),
-                F.when(varies[x], r2).alias(f"r{i}"),
-            ]
-        entries = [
-            F.struct(
-                F.lit(i).alias("pair"),
-                F.lit(x).alias("x"),
-                F.lit(y).alias("y"),
-                F.col(f"s{i}").alias("slope"),
-                F.col(f"r{i}").alias("r2"),
-            )
-            for i, (x, y) in chunk
-        ]
-        wide = df.groupBy(named(group)).agg(*aggregates)
-        parts.append(wide.select(named(group), F.inline(F.array(*entries))))
-    return reduce(DataFrame.unionByName, parts)
+    sums = pair_sums(df, group, registers).where("i < j")
+    n = len(registers)
+    pair = F.expr(f"i * {n} - i * (i + 1) div 2 + j - i - 1").cast("int")
+    names = F.array(*[F.lit(r) for r in registers])
+    about = lambda a, b, c: F.col("n") * F.col(a) - F.col(b) * F.col(c)
+    xx, yy, xy = about("sxx", "sx", "sx"), about("syy", "sy", "sy"), about("sxy", "sx", "sy")
+    line = F.col("x_varies") & (xx > 0)
+    r2 = F.when(F.col("y_varies"), F.least(F.try_divide(xy * xy, xx * yy), F.lit(1.0))).otherwise(F.lit(1.0))
+    return sums.select(
+        named(group),
+        pair.alias("pair"),
+        F.get(names, F.col("i")).alias("x"),
+        F.get(names, F.col("j")).alias("y"),
+        F.when(line, F.try_divide(xy, xx)).alias("slope"),
+        F.when(line, r2).alias("r2"),
+    )
 
 
 def slope_signature(df: DataFrame, group: str, registers: Sequence[str]) -> DataFrame:

@@ -29,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Seeding draws this many times the largest k from all rows, in each of its rounds.
 DRAWN_PER_CENTRE = 2
 SEED_ROUNDS = 5
+# Starts tried on the candidates for each model.
+STARTS = 8
 RIDGE = 1e-6
 
 GROUP, POINT = "_group", "_point"
@@ -59,7 +61,7 @@ def _nearest(rows: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _chance(rows: np.ndarray, salt: int) -> np.ndarray:
     """A number in (0, 1) for each row, by its values: the same in any partition."""
-    mixed = np.full(len(rows), np.uint64(salt * 2 + 1) * np.uint64(0x9E3779B97F4A7C15), dtype=np.uint64)
+    mixed = np.full(len(rows), (salt * 2 + 1) * 0x9E3779B97F4A7C15 % 2**64, dtype=np.uint64)
     for column in np.ascontiguousarray((rows + 0.0).T).view(np.uint64):
         mixed = (mixed ^ column) * np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(29)
@@ -125,24 +127,34 @@ def seed_candidates(points: DataFrame, most: int, seed: int) -> dict[int, Seeds]
 
 
 def _spread_centres(seeds: Seeds, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Weighted k-means++ among the candidates, then a few Lloyd steps on them."""
+    """The best of some starts among the candidates; all their rows are few."""
+    starts = [_one_start(seeds, k, rng) for _ in range(STARTS)]
+    return min(starts, key=lambda s: s[0])[1]
+
+
+def _one_start(seeds: Seeds, k: int, rng: np.random.Generator) -> tuple[float, np.ndarray]:
+    """(cost, centres): weighted greedy k-means++, each step the best of several draws, then
+    Lloyd steps on the candidates."""
     rows, weights = seeds.rows, seeds.weights
-    centres = [rows[rng.choice(len(rows), p=weights / weights.sum())]]
-    nearest = ((rows - centres[0]) ** 2).sum(1)
-    while len(centres) < k:
+    apart = np.maximum((rows**2).sum(1)[:, None] + (rows**2).sum(1)[None, :] - 2 * rows @ rows.T, 0.0)
+    picks = [rng.choice(len(rows), p=weights / weights.sum())]
+    nearest = apart[picks[0]]
+    draws = 2 + int(math.log(k))
+    while len(picks) < k:
         mass = nearest * weights
         total = mass.sum()
-        pick = rng.choice(len(rows), p=mass / total) if total > 0 else rng.integers(len(rows))
-        centres.append(rows[pick])
-        nearest = np.minimum(nearest, ((rows - rows[pick]) ** 2).sum(1))
-    found = np.array(centres)
+        tried = rng.choice(len(rows), draws, p=mass / total) if total > 0 else rng.integers(len(rows), size=draws)
+        best = tried[(np.minimum(nearest[None, :], apart[tried]) @ weights).argmin()]
+        picks.append(best)
+        nearest = np.minimum(nearest, apart[best])
+    found = rows[picks].copy()
     for _ in range(5):
         label = _nearest(rows, found)[0]
         for j in np.unique(label):
             mine = label == j
             if weights[mine].sum() > 0:
                 found[j] = np.average(rows[mine], axis=0, weights=weights[mine])
-    return found
+    return float(_nearest(rows, found)[1] @ weights), found
 
 
 def _batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dielens.functions.quantiles import exact_quantiles, lattice_cell
 from dielens.functions.scalars import named
+from dielens.operators.gram import pair_sums
 from dielens.plans.hold import hold
 
 CUT_QUANTILE = 0.99999
@@ -168,14 +168,17 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_a, column_b, covariance) for a <= b in the given order; sample covariance."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(*[F.covar_samp(named(a), named(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"c{i}").alias("covariance"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    """(column_a, column_b, covariance) for a <= b in the given order; sample covariance.
+
+    All pairs come from one scan (``gram.pair_sums``).
+    """
+    names = F.array(*[F.lit(c) for c in columns])
+    between = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    return pair_sums(df, None, columns).select(
+        F.get(names, F.col("i")).alias("column_a"),
+        F.get(names, F.col("j")).alias("column_b"),
+        F.when(F.col("n") > 1, F.try_divide(between, F.col("n") - 1)).alias("covariance"),
+    )
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,10 +192,12 @@ def test_seeds_meet_a_tiny_far_cluster(spark):
     for parts in (2, 8):
         points = sweeps.grouped_points(frame.repartition(parts), F.lit(0), F.array("a", "b")).persist()
         fits.append(sweeps.kmeans_sweep(points, [(0, 2)], sweeps.group_sizes(points))[0])
+        for seed in range(2, 21) if parts == 2 else ():
+            fits.append(sweeps.kmeans_sweep(points, [(0, 2)], sweeps.group_sizes(points), seed)[0])
         points.unpersist()
     for fit in fits:
         assert max(fit.centres.sum(1)) > 990
-    assert np.allclose(np.sort(fits[0].centres, axis=0), np.sort(fits[1].centres, axis=0))
+    assert np.allclose(np.sort(fits[0].centres, axis=0), np.sort(fits[-1].centres, axis=0))
 
 
 def test_bisecting_costs_of_planted_squares(spark):
@@ -208,3 +211,46 @@ def test_bisecting_costs_of_planted_squares(spark):
     same = spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double")
     costs = bisecting_cost_sweep(same, ["a", "b"], (2, 3)).collect()
     assert [r["cost"] for r in costs] == pytest.approx([0.0, 0.0], abs=1e-9)
+
+
+def test_sweep_costs_are_near_those_of_spark_ml(spark):
+    rng = np.random.default_rng(5)
+    rows = np.concatenate([rng.normal(rng.uniform(-30, 30, 3), rng.uniform(0.5, 3), (n, 3)) for n in (3000, 900, 300, 90, 30, 9)])
+    frame = spark.createDataFrame(pd.DataFrame(rows, columns=["a", "b", "c"])).repartition(4).persist()
+    ks = (2, 3, 5, 6, 8)
+    ours = {r["k"]: r["cost"] for r in choose_k.kmeans_cost_sweep(frame, ["a", "b", "c"], ks).collect()}
+    vectors = clusters.feature_frame(frame, ["a", "b", "c"])
+    for k in ks:
+        theirs = clusters.estimator("kmeans", k).fit(vectors).summary.trainingCost
+        assert ours[k] <= 1.1 * theirs
+    frame.unpersist()
+
+
+def test_gram_of_many_columns_in_one_scan(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(1e6, 1.0, (400, 70))
+    x[:, 3] = 7.0
+    x[rng.random((400, 70)) < 0.05] = np.nan
+    frame = pd.DataFrame(x, columns=[f"c{i}" for i in range(70)]).assign(g=["a", "b"] * 200)
+    df = spark.createDataFrame(frame).replace(float("nan"), None).repartition(5)
+    lines = level2.pairwise_regression(df, "g", [f"c{i}" for i in range(70)])
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Scan") == 1
+    rows = lines.collect()
+    assert len(rows) == 2 * 70 * 69 // 2
+    assert [(r["x"], r["y"]) for r in sorted(rows, key=lambda r: r["pair"]) if r["g"] == "a"] == [(f"c{i}", f"c{j}") for i in range(70) for j in range(i + 1, 70)]
+    for r in rows[::37]:
+        u, v = (frame.loc[frame["g"] == r["g"], r[c]].to_numpy() for c in "xy")
+        both = ~np.isnan(u) & ~np.isnan(v)
+        u, v = u[both], v[both]
+        if r["x"] == "c3":
+            assert r["slope"] is None and r["r2"] is None
+        elif r["y"] == "c3":
+            assert r["slope"] == 0 and r["r2"] == 1
+        else:
+            cov = np.cov(u, v)
+            assert r["slope"] == pytest.approx(cov[0, 1] / cov[0, 0], abs=1e-9)
+            assert r["r2"] == pytest.approx(cov[0, 1] ** 2 / cov[0, 0] / cov[1, 1], abs=1e-9)
+    found = {(r["column_a"], r["column_b"]): r["covariance"] for r in transform.covariance_matrix(df, ["c0", "c1", "c3"]).collect()}
+    want = frame[["c0", "c1", "c3"]].cov()
+    assert found == {k: pytest.approx(want.loc[k], abs=1e-9) for k in found} and len(found) == 6
