@@ -60,19 +60,29 @@ def exact_quantiles(
     and infinite values do not count; a group of these only has no row. With ``with_stats`` the
     row also has ``n_values``, ``min_value``, ``max_value`` and ``mean_value``.
     """
-    found = quantiles_of_counts(value_counts(df, keys, value), probabilities, with_stats)
+    counts = value_counts(df, keys, value).where(F.col("_v").isNotNull())
+    return keys_of(quantiles_of_counts(counts, probabilities, with_stats), keys)
+
+
+def keys_of(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys in ``_k`` as columns, then the others."""
     return found.select(*[F.col("_k").getField(k).alias(k) for k in keys], *[c for c in found.columns if c != "_k"])
 
 
 def _hit(cells: DataFrame, ranks: Sequence[Column]) -> DataFrame:
     """The cells (``_before``, ``_in_cell``) that hold a wanted rank."""
     inside = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_cell")) for r in ranks]
-    return cells.where(reduce(lambda a, b: a | b, inside))
+    return cells.where(reduce(lambda a, b: a | b, inside, F.col("_total") == 0))
 
 
-def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], with_stats: bool = False) -> DataFrame:
-    """``exact_quantiles`` of counted values (``_k``, ``_v``, ``_n``), with ``_k`` as it is."""
-    counts = counts.where(F.col("_v").isNotNull()).withColumn("_cell", _cell(F.col("_v")))
+def cells_with_ranks(
+    counts: DataFrame, ranks: Sequence[Column], stats: Sequence[str] = (), few: int = FEW
+) -> DataFrame:
+    """The few stretches of each ``_k`` that hold the wanted ranks: ``_cell``, ``_lo``, ``_hi``,
+    ``_before`` (values below it), ``_total`` and the stats asked for. The ranks may use ``_total``.
+
+    ``counts`` has ``_cell``. Each stretch has ``few`` distinct values, or 2^18 neighbours.
+    """
     cell_sums = [
         F.sum("_n").alias("_in_cell"),
         F.count(F.lit(1)).alias("_values"),
@@ -81,7 +91,7 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], w
     ]
     whole = Window.partitionBy("_k")
     upto = lambda w, c: F.sum("_in_cell").over(w.orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    stats = ["_total", *(["_min", "_max", "_sum_all"] if with_stats else [])]
+    kept = ["_total", *stats]
     total = {
         "_total": F.sum("_in_cell").over(whole),
         "_min": F.min("_lo").over(whole),
@@ -91,39 +101,53 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], w
     cells = (
         counts.groupBy("_k", "_cell")
         .agg(*cell_sums, F.sum(F.col("_v") * F.col("_n")).alias("_sum"))
-        .withColumns({"_before": upto(whole, "_cell") - F.col("_in_cell"), **{s: total[s] for s in stats}})
+        .withColumns({"_before": upto(whole, "_cell") - F.col("_in_cell"), **{s: total[s] for s in kept}})
         .drop("_sum")
     )
-
-    def rank(p: float) -> tuple[Column, Column, Column]:
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        return position, F.floor(position), F.ceil(position)
-
-    ranks = {name: rank(p) for name, p in probabilities.items()}
-    wanted = [r for _, low, high in ranks.values() for r in (low, high)]
-    hits, ready = _hit(cells, wanted), []
+    hits, ready = _hit(cells, ranks), []
     for _ in range(CUTS):
-        ready.append(hits.where(F.col("_values") <= FEW))
-        large = hits.where(F.col("_values") > FEW).drop("_in_cell", "_values")
+        ready.append(hits.where(F.col("_values") <= few))
+        large = hits.where(F.col("_values") > few).drop("_in_cell", "_values")
         step = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * STEPS)
         cut = counts.join(large, ["_k", "_cell"]).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
         place = ["_k", "_cell", "_from"]
         steps = (
             cut.withColumns({"_from": F.col("_lo"), "_step": F.least(step, F.lit(STEPS - 1).cast("bigint"))})
             .groupBy(*place, "_step")
-            .agg(*cell_sums, F.first("_before").alias("_before"), *[F.first(s).alias(s) for s in stats])
+            .agg(*cell_sums, F.first("_before").alias("_before"), *[F.first(s).alias(s) for s in kept])
             .withColumn("_before", F.col("_before") + upto(Window.partitionBy(*place), "_step") - F.col("_in_cell"))
         )
-        hits = _hit(steps, wanted).select(*large.columns, "_in_cell", "_values")
+        hits = _hit(steps, ranks).select(*large.columns, "_in_cell", "_values")
     ready.append(hits)
-    small = reduce(DataFrame.unionByName, [h.drop("_in_cell", "_values") for h in ready])
+    return reduce(DataFrame.unionByName, [h.drop("_in_cell", "_values") for h in ready])
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], with_stats: bool = False) -> DataFrame:
+    """``exact_quantiles`` of counted values (``_k``, ``_v``, ``_n``), with ``_k`` as it is.
+
+    Counts of a NULL value keep their group: with no other value its row has zero values
+    and is NULL elsewhere.
+    """
+    counts = counts.withColumns(
+        {"_n": F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0)), "_cell": _cell(F.col("_v"))}
+    )
+
+    def rank(p: float) -> tuple[Column, Column, Column]:
+        position = F.lit(float(p)) * (F.col("_total") - 1)
+        return position, F.floor(position), F.ceil(position)
+
+    ranks = {name: rank(p) for name, p in probabilities.items()}
+    wanted = [r for _, low, high in ranks.values() for r in (low, high)]
+    stats = ["_min", "_max", "_sum_all"] if with_stats else []
+    small = cells_with_ranks(counts, wanted, stats, FEW)
+    stats = ["_total", *stats] if with_stats else []
 
     inside = Window.partitionBy("_k", "_cell", "_lo").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     placed = (
         counts.join(small, ["_k", "_cell"])
-        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")) | (F.col("_total") == 0))
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
@@ -146,6 +170,6 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], w
             F.col("_total").alias("n_values"),
             F.col("_min").alias("min_value"),
             F.col("_max").alias("max_value"),
-            (F.col("_sum_all") / F.col("_total")).alias("mean_value"),
+            F.try_divide(F.col("_sum_all"), F.col("_total")).alias("mean_value"),
         ]
     return placed.groupBy("_k").agg(*picks).select("_k", *outputs)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dielens.functions.quantiles import exact_quantiles
+from dielens.functions.quantiles import exact_quantiles, keys_of, quantiles_of_counts, value_counts
 from dielens.functions.scalars import named
 from dielens.operators.registers import unpivot
 
@@ -78,16 +78,22 @@ def cluster_wafer_counts(df: DataFrame, cluster: Cluster, probe_column: str) ->
     )
 
 
-def cluster_item_stats(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
-    """Per group and item: non-null count, max, min, mean and median.
+def item_counts(df: DataFrame, cluster: Cluster, items: Sequence[str], position: Sequence[str] = ()) -> DataFrame:
+    """Rows for each value of each item, per group and position: one long form for all
+    statistics. Counts per group are rolled up from those per position (``rolled_up``)."""
+    keys = [*position, *_group(cluster)]
+    return value_counts(unpivot(df, keys, items, "stacked_item", "value"), [*keys, "stacked_item"], "value")
 
-    One long form and one pre-aggregation serve all five.
-    """
-    long = unpivot(df, _group(cluster), items, "stacked_item", "value")
-    stats = exact_quantiles(
-        long, [*_group(cluster), "stacked_item"], "value", {"die_median_value": 0.5}, with_stats=True
-    )
-    return stats.select(
+
+def rolled_up(counts: DataFrame, cluster: Cluster) -> DataFrame:
+    """Counts per group and item, of counts that are per position too."""
+    key = F.struct(*[F.col("_k").getField(c).alias(c) for c in (*_group(cluster), "stacked_item")])
+    return counts.select(key.alias("_k"), "_v", "_n").groupBy("_k", "_v").agg(F.sum("_n").alias("_n"))
+
+
+def _item_stats(counts: DataFrame, cluster: Cluster) -> DataFrame:
+    stats = quantiles_of_counts(counts, {"die_median_value": 0.5}, with_stats=True)
+    return keys_of(stats, [*_group(cluster), "stacked_item"]).select(
         *_keys(cluster),
         "stacked_item",
         F.col("n_values").alias("num_dies_in_cluster"),
@@ -98,13 +104,25 @@ def cluster_item_stats(df: DataFrame, cluster: Cluster, items: Sequence[str]) ->
     )
 
 
+def cluster_item_stats(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
+    """Per group and item: non-null count, max, min, mean and median; an item that is all
+    NULL has count 0.
+
+    One long form and one pre-aggregation serve all five.
+    """
+    return _item_stats(item_counts(df, cluster, items), cluster)
+
+
 def cluster_impact(df: DataFrame, cluster: Cluster, stack: Stack, totals: DataFrame) -> DataFrame:
     """Item statistics with wafer counts, die loss and impact per group and item.
 
     impact = mean · count / total dies; for a bin item it is the die loss, the bin sum
     per wafer and die.
     """
-    stats = cluster_item_stats(df, cluster, stack.items)
+    return _impact(df, cluster_item_stats(df, cluster, stack.items), cluster, stack, totals)
+
+
+def _impact(df: DataFrame, stats: DataFrame, cluster: Cluster, stack: Stack, totals: DataFrame) -> DataFrame:
     counts = cluster_wafer_counts(df, cluster, stack.probe_column)
     die_loss = F.try_divide(
         F.try_divide(F.col("total_bin_count").cast("double"), F.col("num_wafers_in_cluster")), F.col("dies_per_wafer")
@@ -121,21 +139,26 @@ def cluster_impact(df: DataFrame, cluster: Cluster, stack: Stack, totals: DataFr
     )
 
 
+def _die_medians(counts: DataFrame, cluster: Cluster) -> DataFrame:
+    keys = [*POSITION, *_group(cluster), "stacked_item"]
+    return keys_of(quantiles_of_counts(counts, {"median_value": 0.5}), keys)
+
+
 def stacked_die_median(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
-    """(DieX, DieY, FAB, DESIGN_ID, cluster, stacked_item, median_value)."""
-    long = unpivot(df, [*POSITION, *_group(cluster)], items, "stacked_item", "value")
-    return exact_quantiles(
-        long, [*POSITION, *_group(cluster), "stacked_item"], "value", {"median_value": 0.5}
-    )
+    """(DieX, DieY, FAB, DESIGN_ID, cluster, stacked_item, median_value); NULL where a position
+    has no value of an item."""
+    return _die_medians(item_counts(df, cluster, items, POSITION), cluster)
 
 
 def die_medians(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
     """The same medians wide: one row per position and group, one column per item."""
+    return _wide(stacked_die_median(df, cluster, items), cluster, items)
+
+
+def _wide(medians: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
     keys = [*[named(c) for c in POSITION], *_keys(cluster)]
-    return (
-        stacked_die_median(df, cluster, items)
-        .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("stacked_item") == i, F.col("median_value"))).alias(i) for i in items])
+    return medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("stacked_item") == i, F.col("median_value"))).alias(i) for i in items]
     )
 
 
@@ -147,16 +170,19 @@ def _cluster_columns(cluster: Cluster) -> list:
 def stacked_map(df: DataFrame, cluster: Cluster, stack: Stack, totals: DataFrame) -> DataFrame:
     """One row per position, group and stacked item; all register medians on each row.
 
+    Values are counted once, per position; the counts per group are rolled up from these.
     The medians are computed once; the long rows are spread from the wide ones, so
     only the small group statistics are joined.
     """
-    wide = die_medians(df, cluster, list(dict.fromkeys([*stack.items, *stack.registers])))
+    everything = list(dict.fromkeys([*stack.items, *stack.registers]))
+    counts = item_counts(df, cluster, everything, POSITION)
+    wide = _wide(_die_medians(counts, cluster), cluster, everything)
     entries = [
         F.struct(F.lit(i).alias("stacked_item"), named(i).alias("median_value")) for i in stack.items
     ]
     registers = [named(r) for r in stack.registers]
     long = wide.select(*POSITION, *_keys(cluster), *registers, F.inline(F.array(*entries)))
-    impact = cluster_impact(df, cluster, stack, totals)
+    impact = _impact(df, _item_stats(rolled_up(counts, cluster), cluster), cluster, stack, totals)
     item = F.when(F.col("stacked_item") == stack.probe_column, F.lit(stack.probe_item)).otherwise(F.col("stacked_item"))
     return (
         long.join(impact, [*_group(cluster), "stacked_item"])

@@ -1,10 +1,12 @@
 """Naming rules and row rules on small hand-made tables."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from dielens import spec
-from dielens.functions import scalars
+from dielens.functions import quantiles, scalars
 from dielens.functions.quantiles import exact_quantiles
 from dielens.operators import clean, knee, labelling, outputs, registers, stacked, transform
 from dielens.sources import sinks, tables
@@ -209,3 +211,43 @@ def test_outlier_rule_scans_the_dies_once(spark):
     rows = [(f"w{i % 5}", *(float(i * j % 7) for j in range(1, 5))) for i in range(50)]
     plan = transform.label_wafer_outliers(spark.createDataFrame(rows, ["lot_wafer", *items]), items)
     assert plan._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
+
+
+def test_narrow_ranges_are_cut_until_few_values_are_left(spark):
+    rng = np.random.default_rng(0)
+    values = np.concatenate([rng.uniform(0, 1e-4, 40_000), rng.uniform(1.2, 1.2005, 40_001), -rng.uniform(3, 3.0001, 9000)])
+    df = spark.createDataFrame(pd.DataFrame({"g": "a", "v": values})).repartition(4)
+    found = exact_quantiles(df, ["g"], "v", {"a": 0.02, "b": 0.3, "c": 0.5, "d": 0.9}).first()
+    assert list(found)[1:] == pytest.approx(list(np.quantile(values, [0.02, 0.3, 0.5, 0.9])), rel=1e-12)
+    counts = quantiles.value_counts(df, ["g"], "v").withColumn("_cell", quantiles._cell(F.col("_v")))
+    few = quantiles.cells_with_ranks(counts, [F.floor(F.lit(p) * F.col("_total")) for p in (0.02, 0.3, 0.5, 0.9)])
+    met = counts.join(few, ["_k", "_cell"]).where("_v between _lo and _hi").groupBy("_cell", "_lo").count()
+    sizes = [r["count"] for r in met.collect()]
+    assert len(sizes) == 4 and max(sizes) <= quantiles.FEW  # of up to 40,001 values within 0.04 %
+
+
+def test_groups_of_nulls_keep_their_row(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None), ("b", float("nan"))], "g string, v double")
+    found = quantiles.quantiles_of_counts(quantiles.value_counts(df, ["g"], "v"), {"m": 0.5}, with_stats=True)
+    rows = {r["_k"]["g"]: tuple(r)[1:] for r in found.collect()}
+    assert rows == {"a": (1.0, 1, 1.0, 1.0, 1.0), "b": (None, 0, None, None, None)}
+
+
+def test_stacked_map_keeps_items_without_values(spark):
+    rows = [("F", "D", 0, 0, "c1", "w1", 1.0, None), ("F", "D", 0, 0, "c1", "w2", 3.0, None), ("F", "D", 1, 0, "c1", "w1", None, None), ("F", "D", 0, 0, "c2", "w1", 5.0, 2.0)]
+    schema = "FAB string, DESIGN_ID string, DieX int, DieY int, cluster string, lot_wafer string, p double, r double, TOTAL_DIE int"
+    df = spark.createDataFrame([(*r, 10) for r in rows], schema)
+    stack = stacked.Stack.of(["r"], "p", "probe")
+    got = stacked.stacked_map(df, "cluster", stack, stacked.die_totals(df))
+    assert sum(line.lstrip(" :+-*()0123456789").startswith("Expand") for line in _final_plan(got).splitlines()) == 1
+    found = {(r["DieX"], r["cluster"], r["stacked_item"]): (r["num_dies_in_cluster"], r["median_value"], r["die_max_value"]) for r in got.collect()}
+    assert found == {
+        (0, "c1", "probe"): (2, 2.0, 3.0), (1, "c1", "probe"): (2, None, 3.0), (0, "c2", "probe"): (1, 5.0, 5.0),
+        (0, "c1", "r"): (0, None, None), (1, "c1", "r"): (0, None, None), (0, "c2", "r"): (1, 2.0, 2.0),
+    }
+
+
+def _final_plan(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
