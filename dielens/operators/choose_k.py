@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dielens.functions.scalars import named
+from dielens.functions.scalars import named, squared_distance
 from dielens.operators.clusters import SEED, VECTOR
 from dielens.operators.knee import bic_choice, knee_point
 from dielens.operators.sweeps import (
@@ -201,6 +201,34 @@ def bic_k(curve: DataFrame) -> int:
     return (row["chosen_k"] if row is not None else None) or 1
 
 
+def label_silhouette(labelled: DataFrame) -> float | None:
+    """Mean silhouette by squared distances of labelled vectors; None for a single label."""
+    if not labelled.agg(F.min("_prediction") != F.max("_prediction")).first()[0]:
+        return None
+    return float(ClusteringEvaluator(featuresCol=VECTOR, predictionCol="_prediction").evaluate(labelled))
+
+
+def score_labels(df: DataFrame, features: Sequence[str], label: Column) -> DataFrame:
+    """One row (silhouette) for labels given as a column."""
+    vectors = F.array(*[named(f).cast("double") for f in features])
+    labelled = df.select(array_to_vector(vectors).alias(VECTOR), label.cast("double").alias("_prediction"))
+    return _curve(df, [(label_silhouette(labelled),)], "silhouette double")
+
+
+def costs_of_centres(df: DataFrame, features: Sequence[str], sets: Sequence[Sequence[Sequence[float]]]) -> DataFrame:
+    """(k, distortion, inertia) of given sets of centres, all in one scan."""
+    point = [named(f) for f in features]
+    sums = []
+    for i, centres in enumerate(sets):
+        nearest = F.array_min(F.array(*[squared_distance(point, centre) for centre in centres]))
+        sums += [F.avg(F.sqrt(nearest)).alias(f"d{i}"), F.sum(nearest).alias(f"s{i}")]
+    rows = [
+        F.struct(F.lit(len(c)).alias("k"), F.col(f"d{i}").alias("distortion"), F.col(f"s{i}").alias("inertia"))
+        for i, c in enumerate(sets)
+    ]
+    return df.agg(*sums).select(F.inline(F.array(*rows)))
+
+
 def silhouette_sweep(
     df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 20), method: str = "kmeans",
     seed: int = SEED, max_iter: int | None = None,
@@ -220,14 +248,11 @@ def silhouette_sweep(
             labels = [mixture_label({0: f}, F.col("_group"), F.col("_point")) for f in fits]
         else:
             raise ValueError(f"no silhouette sweep for method {method!r}")
-        evaluator = ClusteringEvaluator(featuresCol=VECTOR, predictionCol="_prediction")
-
         def measure(at: int) -> tuple[int, float | None, float | None]:
             labelled = points.select(
                 array_to_vector("_point").alias(VECTOR), labels[at].cast("double").alias("_prediction")
             )
-            found = labelled.agg(F.min("_prediction") != F.max("_prediction")).first()[0]
-            score = float(evaluator.evaluate(labelled)) if found else None
+            score = label_silhouette(labelled)
             return fits[at].k, score, fits[at].cost if method == "kmeans" else None
 
         rows = in_parallel(measure, range(len(fits)), points)

@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dielens.functions.scalars import named
+from dielens.functions.scalars import named, squared_distance
 
 SEED = 1
 VECTOR = "_vector"
@@ -109,3 +109,47 @@ def mixture_parts(model) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Means and covariances of a fitted Gaussian mixture (k small matrices)."""
     gaussians = model.gaussians
     return [g.mean.toArray() for g in gaussians], [g.cov.toArray() for g in gaussians]
+
+
+def mixture_labels(
+    df: DataFrame, features: Sequence[str], weights: Sequence[float], means: Sequence, covariances: Sequence, label: str
+) -> DataFrame:
+    """Adds ``label``, the 1-based likeliest component of a mixture given by its parts; the
+    first on a tie, and never one with a singular covariance."""
+    point = [named(f) for f in features]
+    scores = []
+    for weight, mean, covariance in zip(weights, means, covariances):
+        density = log_density(point, np.asarray(mean), np.asarray(covariance))
+        scores.append(F.lit(float("-inf")) if density is None else density + F.lit(math.log(weight)))
+    best = F.array_position(F.array(*scores), F.array_max(F.array(*scores)))
+    return df.withColumn(label, best.cast("int"))
+
+
+def mixture_log_likelihood(
+    df: DataFrame, features: Sequence[str], weights: Sequence[float], means: Sequence, covariances: Sequence
+) -> DataFrame:
+    """One row (rows, log_likelihood) of a mixture given by its parts; no singular covariance."""
+    point = [named(f) for f in features]
+    scores = F.array(
+        *[
+            log_density(point, np.asarray(m), np.asarray(c)) + F.lit(math.log(w))
+            for w, m, c in zip(weights, means, covariances)
+        ]
+    )
+    top = F.array_max(scores)
+    mass = F.aggregate(scores, F.lit(0.0), lambda total, s: total + F.exp(s - top))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(top + F.log(mass)).alias("log_likelihood"))
+
+
+#: A division of a cluster: the centres of its two parts, each a label or divided again.
+Tree = int | tuple[tuple[float, ...], "Tree", tuple[float, ...], "Tree"]
+
+
+def tree_label(point: Sequence[Column], tree: Tree) -> Column:
+    """The label of a point under a tree of divisions: at each the nearer centre, the first
+    on a tie."""
+    if isinstance(tree, int):
+        return F.lit(tree)
+    left, below_left, right, below_right = tree
+    nearer = squared_distance(point, left) <= squared_distance(point, right)
+    return F.when(nearer, tree_label(point, below_left)).otherwise(tree_label(point, below_right))

@@ -96,3 +96,20 @@ def train_mode(
     vectors = VectorAssembler(inputCols=safe, outputCol=_FEATURES).transform(inputs)
     forest = RandomForestClassifier(featuresCol=_FEATURES, labelCol="_flag", numTrees=trees, seed=seed)
     return StoredModel(mode, tuple(features), forest.fit(vectors.select(_FEATURES, "_flag")))
+
+
+#: A tree: a vote, or (feature, threshold, tree at most the threshold, tree above it).
+Vote = int | tuple[str, float, "Vote", "Vote"]
+
+
+def tree_vote(tree: Vote) -> Column:
+    if isinstance(tree, int):
+        return F.lit(tree)
+    feature, threshold, low, high = tree
+    return F.when(named(feature) <= F.lit(float(threshold)), tree_vote(low)).otherwise(tree_vote(high))
+
+
+def score_trees(df: DataFrame, mode: str, trees: Sequence[Vote]) -> DataFrame:
+    """Adds a 0/1 column by the majority of given trees, as plain expressions; a tie is 0."""
+    votes = reduce(lambda a, b: a + b, [tree_vote(t) for t in trees])
+    return df.withColumn(mode, (votes * 2 > len(trees)).cast("int"))

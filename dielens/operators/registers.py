@@ -157,9 +157,10 @@ class ParetoRule:
     include_crossing: bool = True
     min_keep: int = 6
     fallback: int = 8
+    append_probe_bin: bool = False  # a probe item of one character is clustered on too
 
 
-STRICT_PARETO = ParetoRule(threshold=0.97, include_crossing=False)
+STRICT_PARETO = ParetoRule(threshold=0.97, include_crossing=False, append_probe_bin=True)
 
 
 def register_pareto(df: DataFrame, registers: Sequence[str], rule: ParetoRule = ParetoRule()) -> DataFrame:
@@ -191,7 +192,13 @@ def register_pareto(df: DataFrame, registers: Sequence[str], rule: ParetoRule =
     )
 
 
-def select_pareto(df: DataFrame, registers: Sequence[str], rule: ParetoRule = ParetoRule()) -> list[str]:
-    """Action: the kept register names, largest total first."""
+def select_pareto(
+    df: DataFrame, registers: Sequence[str], rule: ParetoRule = ParetoRule(), spec: ProbeSpec | None = None
+) -> list[str]:
+    """Action: the kept register names, largest total first. With ``append_probe_bin`` the
+    probe column of ``spec`` comes last, when the probe item is a bin of one character."""
     rows = register_pareto(df, registers, rule).where("kept").orderBy("position").collect()
-    return [r["register"] for r in rows]
+    kept = [r["register"] for r in rows]
+    if rule.append_probe_bin and spec is not None and len(spec.probe_item) == 1 and spec.probe_column not in kept:
+        kept.append(spec.probe_column)
+    return kept

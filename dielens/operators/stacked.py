@@ -38,7 +38,8 @@ class Stack:
 
     @classmethod
     def of(cls, registers: Sequence[str], probe_column: str, probe_item: str, bin_column: str | None = None):
-        return cls(tuple(registers), (probe_column, *registers), probe_column, probe_item, bin_column)
+        items = dict.fromkeys([probe_column, *registers])
+        return cls(tuple(registers), tuple(items), probe_column, probe_item, bin_column)
 
 
 Cluster = str | Sequence[str]  # the column, or columns, that name a cluster

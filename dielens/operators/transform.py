@@ -227,3 +227,16 @@ def pca_by_share(df: DataFrame, columns: Sequence[str], share: float) -> tuple[D
     names = [f"PC{i + 1}" for i in range(k)]
     out = _spread_scores(model.transform(centred), "_scores", names, spreads)
     return out, Components(tuple(names), tuple(shares[:k]))
+
+
+def project(
+    df: DataFrame, columns: Sequence[str], means: Sequence[float], loadings: Sequence[Sequence[float]], spreads: Sequence[float]
+) -> DataFrame:
+    """Adds ``PC1..``: scores on components that are given, centred and divided by their spreads."""
+    scores = {}
+    for i, (weights, spread) in enumerate(zip(loadings, spreads)):
+        total = F.lit(0.0)
+        for c, m, w in zip(columns, means, weights):
+            total = total + (named(c) - F.lit(float(m))) * F.lit(float(w))
+        scores[f"PC{i + 1}"] = total / F.lit(float(spread))
+    return df.withColumns(scores)

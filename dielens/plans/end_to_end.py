@@ -58,7 +58,7 @@ def prepare(raw: DataFrame, spec: ProbeSpec, settings: Settings = Settings()) ->
     choice = registers.select_informative(rows, spec, settings.max_dropped_cardinality)
     numeric = clean.numeric_dies(rows, choice.spec.measured)
     dies, candidates = registers.dependent_difference(numeric, choice.spec)
-    chosen = registers.select_pareto(dies, candidates, settings.pareto)
+    chosen = registers.select_pareto(dies, candidates, settings.pareto, choice.spec)
     step = bin_column(spec)
     if step is not None:
         bin_step = FAIL_BIN_STEP if step == BIN_COLUMN else step

@@ -6,9 +6,13 @@ for long forms, ``quantile_cont`` for quantiles, sub-queries for rules.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations, combinations_with_replacement
 
+import numpy as np
+
+from dielens.plans import given
 from dielens.plans.dies import DIE_EXPRESSIONS, RULE_CLUSTER, die_spec
 from dielens.plans.queries import CENTRE_COLUMNS, CENTRES, CLUSTER_COLUMNS, LOTS, MEASURED, MODES, ORDER, VALUE
 
@@ -90,7 +94,7 @@ def counts_sql(frame: str, cluster: str, probe: str = '"__rdV"') -> str:
 
 
 def map_sql(frame: str, cluster: str, all_dies: str, per_wafer: str) -> str:
-    """The stacked map of one cluster column, with the reference's output columns."""
+    """The stacked map of one cluster column, with its output columns."""
     keys = f'"FAB", "DESIGN_ID", {cluster}'
     at = f'"DieX", "DieY", {keys}'
     return f"""select m."FAB", m."DESIGN_ID", m."DieX", m."DieY", m.{cluster} as cluster,
@@ -235,6 +239,100 @@ def regression_sql(columns: Sequence[str]) -> str:
     )
 
 
+def square_sql(centre: Sequence[float]) -> str:
+    return "(" + " + ".join(f"pow({q(c)} - {v}, 2)" for c, v in zip(given.COLUMNS, centre)) + ")"
+
+
+def tree_sql(tree) -> str:
+    if isinstance(tree, int):
+        return str(tree)
+    left, a, right, b = tree
+    return f"case when {square_sql(left)} <= {square_sql(right)} then {tree_sql(a)} else {tree_sql(b)} end"
+
+
+def vote_sql(tree) -> str:
+    if isinstance(tree, int):
+        return str(tree)
+    register, threshold, low, high = tree
+    return f"case when {q(register)} <= {threshold} then {vote_sql(low)} else {vote_sql(high)} end"
+
+
+def density_sql(mean: Sequence[float], covariance: Sequence[Sequence[float]]) -> str:
+    """Normal log density from the inverse matrix, all entries written out."""
+    inverse, (_, log_det) = np.linalg.inv(np.array(covariance)), np.linalg.slogdet(np.array(covariance))
+    gaps = [f"({q(c)} - {m})" for c, m in zip(given.COLUMNS, mean)]
+    form = " + ".join(f"({float(inverse[i, j])!r}) * {a} * {b}" for i, a in enumerate(gaps) for j, b in enumerate(gaps))
+    return f"(-0.5 * ({form} + {len(gaps) * math.log(2 * math.pi) + float(log_det)!r}))"
+
+
+def given_queries() -> dict[str, str]:
+    """Checks of the models that are given, not fitted."""
+    out = {}
+    costs = []
+    for centres in given.CENTRE_SETS:
+        near = "least(" + ", ".join(map(square_sql, centres)) + ")"
+        costs.append(
+            f"select cast({len(centres)} as bigint) as k, {num(f'avg(sqrt({near}))', 'distortion')}, {num(f'sum({near})', 'inertia')} from diff"
+        )
+    out["costs_given"] = on("diff", " union all ".join(costs))
+    curves = []
+    for weights, means, covariances in given.MIXTURES:
+        k, d = len(weights), len(given.COLUMNS)
+        mass = " + ".join(f"{w} * exp({density_sql(m, c)})" for w, m, c in zip(weights, means, covariances))
+        parameters = (k - 1) + k * d + k * d * (d + 1) / 2
+        curves.append(
+            f"select cast({k} as bigint) as k, sum(ln({mass})) as l, {parameters} as p, count(*) as n from diff"
+        )
+    out["mixture_bic_given"] = on(
+        "diff",
+        "select k, round(l, 3) as log_likelihood, round(-2 * l + p * ln(n), 3) as bic, round(-2 * l + 2 * p, 3) as aic from ("
+        + " union all ".join(curves) + ")",
+    )
+    weights, means, covariances = given.MIXTURES[-1]
+    scores = [f"{density_sql(m, c)} + ln({w})" for w, m, c in zip(weights, means, covariances)]
+    best = " ".join(f"when s{i} >= all_best then {i + 1}" for i in range(len(scores)))
+    listed = ", ".join(f"{s} as s{i}" for i, s in enumerate(scores))
+    top = "greatest(" + ", ".join(f"s{i}" for i in range(len(scores))) + ")"
+    out["gmm_given"] = on(
+        "diff",
+        f"""select {ROW_OUT}, cast(case {best} end as bigint) as gmm
+        from (select *, {top} as all_best from (select {ROW}, {listed} from diff))""",
+    )
+    rows = []
+    for i, (m, c) in enumerate(zip(means, covariances)):
+        order = ", ".join([f"{density_sql(m, c)} desc", *[f"{q(x)} desc" for x in given.COLUMNS]])
+        rows.append(
+            f"select cast({i + 1} as bigint) as component, {', '.join(num(q(x), x) for x in given.COLUMNS)} "
+            f"from (select * from diff order by {order} limit 1)"
+        )
+    out["representative_given"] = on("diff", " union all ".join(rows))
+    out["bisecting_given"] = on("diff", f"select {ROW_OUT}, cast({tree_sql(given.TREE)} as bigint) as bisecting from diff")
+    far = ", ".join(f"{square_sql(c)} as g{i}" for i, c in enumerate(given.CENTRE_SETS[1]))
+    x, y, z = (q(c) for c in given.COLUMNS)
+    out["silhouette_given"] = on(
+        "diff",
+        f"""select {num('avg(case when n = 1 then 0 else (b - a) / greatest(a, b) end)', 'silhouette')} from (
+          select id, any_value(own) as own, any_value(n) filter (own = label) as n,
+            max(case when own = label then gap * n / (n - 1) end) as a, min(case when own <> label then gap end) as b
+          from (select p.id, p.label as own, c.label, c.n,
+                  p.x * p.x + p.y * p.y + p.z * p.z + c.w - 2 * (p.x * c.x + p.y * c.y + p.z * c.z) as gap from placed p cross join centres c)
+          group by id)""",
+        f"""placed as (select row_number() over () as id, x, y, z,
+          case when g0 <= g1 and g0 <= g2 then 1 when g1 <= g2 then 2 else 3 end as label
+          from (select {x} as x, {y} as y, {z} as z, {far} from diff))""",
+        """centres as (select label, count(*) as n, avg(x) as x, avg(y) as y, avg(z) as z, avg(x * x + y * y + z * z) as w
+          from placed group by label)""",
+    )
+    scores = [
+        num("(" + " + ".join(f"({q(c)} - {m}) * {w}" for c, m, w in zip(given.COLUMNS, given.MEANS, ws)) + f") / {s}", f"PC{i + 1}")
+        for i, (ws, s) in enumerate(zip(given.LOADINGS, given.SPREADS))
+    ]
+    out["components_given"] = on("diff", f"select {ROW_OUT}, {', '.join(scores)} from diff")
+    votes = " + ".join(map(vote_sql, given.FOREST))
+    out["forest_given"] = on("diff", f"select {ROW_OUT}, cast(({votes}) >= {len(given.FOREST) // 2 + 1} as bigint) as \"HighQ\" from diff")
+    return out
+
+
 def no_nan(expression: str) -> str:
     return f"case when isnan({expression}) then null else {expression} end"
 
@@ -515,26 +613,31 @@ def all_queries() -> dict[str, str]:
     out["sample_counts"] = on(
         "clustered", "select cluster, least(count(*), 9000) as sampled_rows from clustered group by cluster"
     )
+    sums = " union all ".join(f"select '{c}' as register, sum({q(c)}) as total from clustered" for c in CLUSTER_COLUMNS)
+    value = lambda c: "case " + c + " " + " ".join(f"when '{x}' then {q(x)}" for x in CLUSTER_COLUMNS) + " end"
     out["pair_points"] = on(
         "clustered",
-        " union all ".join(
-            f"""select {ROW_OUT}, case cluster when 'cluster_1' then 'Within Cluster' else 'Outside Cluster' end as side,
-              '{a}' as x_register, '{b}' as y_register, {num(q(a), 'x')}, {num(q(b), 'y')} from clustered"""
-            for a, b in combinations(CLUSTER_COLUMNS[:5], 2)
-        ),
+        f"""select {ROW_OUT}, case cluster when 'cluster_1' then 'Within Cluster' else 'Outside Cluster' end as side,
+          x_register, y_register, {num(value('x_register'), 'x')}, {num(value('y_register'), 'y')}
+        from clustered cross join (
+          select a.register as x_register, b.register as y_register from ranked a join ranked b on a.position < b.position and b.position <= 5)""",
+        f"ranked as (select *, row_number() over (order by total desc, register) as position from ({sums}))",
     )
 
     order = ", ".join(f"{q(c)} desc" for c in ORDER)
+    design = '"FAB", "DESIGN_ID"'
     out["wafer_grid"] = on(
         "diff",
-        f"""select "LOT_ID", "WAFER_ID", cast(x as bigint) as x, cast(y as bigint) as y, {num('coalesce(value, 0)', 'value')}
-        from (select distinct "LOT_ID", "WAFER_ID" from diff)
-        cross join (select unnest(range(0, (select max("DieX") - min("DieX") + 1 from diff))) as x)
-        cross join (select unnest(range(0, (select max("DieY") - min("DieY") + 1 from diff))) as y)
-        left join lasts using ("LOT_ID", "WAFER_ID", x, y)""",
-        f"""lasts as (select "LOT_ID", "WAFER_ID", "DieX" - (select min("DieX") from diff) as x,
-          "DieY" - (select min("DieY") from diff) as y, {q(VALUE)} as value
-          from diff qualify row_number() over (partition by "LOT_ID", "WAFER_ID", "DieX", "DieY" order by {order}) = 1)""",
+        f"""select {design}, "LOT_ID", "WAFER_ID", cast(x as bigint) as x, cast(y as bigint) as y, {num('coalesce(value, 0)', 'value')}
+        from (select distinct {design}, "LOT_ID", "WAFER_ID" from diff)
+        join (select {design}, unnest(range(0, dx + 1)) as x, dy from extents) using ("FAB", "DESIGN_ID")
+        join (select unnest(range(0, (select max(dy) + 1 from extents))) as y) on y <= dy
+        left join lasts using ("FAB", "DESIGN_ID", "LOT_ID", "WAFER_ID", x, y)""",
+        f"""extents as (select {design}, min("DieX") as x0, min("DieY") as y0, max("DieX") - min("DieX") as dx,
+          max("DieY") - min("DieY") as dy from diff group by all)""",
+        f"""lasts as (select {design}, "LOT_ID", "WAFER_ID", "DieX" - x0 as x, "DieY" - y0 as y, {q(VALUE)} as value
+          from diff join extents using ("FAB", "DESIGN_ID")
+          qualify row_number() over (partition by {design}, "LOT_ID", "WAFER_ID", "DieX", "DieY" order by {order}) = 1)""",
     )
     bounds = f"bounds as (select min({q(VALUE)}) as low, quantile_cont({q(VALUE)}, 0.97) as high from diff)"
     unit = f"least(greatest(({q(VALUE)} - low) / (high - low), 0), 1)"
@@ -558,4 +661,4 @@ def all_queries() -> dict[str, str]:
         f"""select "LOT_ID", "WAFER_ID", register as top_register from ({ranked})
         qualify row_number() over (partition by "LOT_ID", "WAFER_ID" order by total desc, i) = 1""",
     )
-    return out
+    return out | given_queries()

@@ -24,7 +24,7 @@ from dielens.operators import (
     transform,
     wafers,
 )
-from dielens.plans import end_to_end
+from dielens.plans import end_to_end, given
 from dielens.plans.dies import RULE_CLUSTER, die_spec, die_table, load
 from dielens.plans.hold import hold
 from dielens.sources import tables
@@ -96,7 +96,7 @@ def differenced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def held_dies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean numeric columns, kept for queries that read them in several jobs."""
-    columns = [*ROW, "LOT_ID", "WAFER_ID", "lot_wafer", "DieX", "DieY", "FBD_REGION", "BIN_BIT"]
+    columns = [*ROW, "FAB", "DESIGN_ID", "LOT_ID", "WAFER_ID", "lot_wafer", "DieX", "DieY", "FBD_REGION", "BIN_BIT"]
     dies = differenced(spark, sf_dir)
     return hold(dies.select(*columns, *[named(c) for c in (*CLUSTER_COLUMNS, "BITK_V_ALL")]))
 
@@ -442,6 +442,62 @@ def cluster_dies(spark, sf_dir):
     return end_to_end.cluster_dies(held_dies(spark, sf_dir), CLUSTER_COLUMNS).select(*ROW, *MODELS)
 
 
+# --- given models -----------------------------------------------------------------------
+
+
+@query
+def costs_given(spark, sf_dir):
+    return comparable(choose_k.costs_of_centres(differenced(spark, sf_dir), given.COLUMNS, given.CENTRE_SETS))
+
+
+@query
+def mixture_bic_given(spark, sf_dir):
+    """Log likelihood, BIC and AIC of given mixtures of the clean dies."""
+    dies = hold(differenced(spark, sf_dir).select(*[named(c) for c in given.COLUMNS]))
+    d, rows = len(given.COLUMNS), []
+    for parts in given.MIXTURES:
+        row, k = clusters.mixture_log_likelihood(dies, given.COLUMNS, *parts).first(), len(parts[0])
+        bic = choose_k.mixture_bic(row["log_likelihood"], k, d, row["rows"])
+        rows.append((k, row["log_likelihood"], bic, choose_k.mixture_aic(row["log_likelihood"], k, d)))
+    found = spark.createDataFrame(rows, "k bigint, log_likelihood double, bic double, aic double")
+    return found.select("k", *[F.round(c, 3).alias(c) for c in ("log_likelihood", "bic", "aic")])
+
+
+@query
+def gmm_given(spark, sf_dir):
+    dies = clusters.mixture_labels(differenced(spark, sf_dir), given.COLUMNS, *given.MIXTURES[-1], "gmm")
+    return comparable(dies.select(*ROW, "gmm"))
+
+
+@query
+def representative_given(spark, sf_dir):
+    _, means, covariances = given.MIXTURES[-1]
+    return comparable(clusters.component_representatives(differenced(spark, sf_dir), given.COLUMNS, means, covariances))
+
+
+@query
+def bisecting_given(spark, sf_dir):
+    label = clusters.tree_label([named(c) for c in given.COLUMNS], given.TREE)
+    return comparable(differenced(spark, sf_dir).select(*ROW, label.alias("bisecting")))
+
+
+@query
+def silhouette_given(spark, sf_dir):
+    label = scalars.nearest_centre([named(c) for c in given.COLUMNS], given.CENTRE_SETS[1])
+    return comparable(choose_k.score_labels(differenced(spark, sf_dir), given.COLUMNS, label))
+
+
+@query
+def components_given(spark, sf_dir):
+    dies = transform.project(differenced(spark, sf_dir), given.COLUMNS, given.MEANS, given.LOADINGS, given.SPREADS)
+    return comparable(dies.select(*ROW, "PC1", "PC2"))
+
+
+@query
+def forest_given(spark, sf_dir):
+    return comparable(labelling.score_trees(differenced(spark, sf_dir), "HighQ", given.FOREST).select(*ROW, "HighQ"))
+
+
 # --- level 2 ---------------------------------------------------------------------------
 
 
@@ -626,7 +682,8 @@ def merge_labelled(spark, sf_dir):
 
 @query
 def sample_per_cluster(spark, sf_dir):
-    return samples.plot_sample(clustered(spark, sf_dir), "cluster", CLUSTER_COLUMNS)
+    dies = clustered(spark, sf_dir)
+    return samples.plot_sample(dies, "cluster", registers.select_pareto(dies, CLUSTER_COLUMNS))
 
 
 @query
@@ -636,7 +693,9 @@ def sample_counts(spark, sf_dir):
 
 @query
 def pair_points(spark, sf_dir):
-    return comparable(samples.pair_points(clustered(spark, sf_dir), CLUSTER_COLUMNS[:5], "cluster", "cluster_1", ROW))
+    dies = clustered(spark, sf_dir)
+    first = registers.select_pareto(dies, CLUSTER_COLUMNS)[: samples.PLOT_REGISTERS]
+    return comparable(samples.pair_points(dies, first, "cluster", "cluster_1", ROW))
 
 
 # --- wafers ----------------------------------------------------------------------------
@@ -644,7 +703,7 @@ def pair_points(spark, sf_dir):
 
 @query
 def wafer_grid(spark, sf_dir):
-    return comparable(wafers.wafer_grid(held_dies(spark, sf_dir), VALUE, ORDER))
+    return comparable(wafers.wafer_grid(held_dies(spark, sf_dir), VALUE, ORDER, ("FAB", "DESIGN_ID")))
 
 
 @query
