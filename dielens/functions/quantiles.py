@@ -75,6 +75,12 @@ def _hit(cells: DataFrame, ranks: Sequence[Column]) -> DataFrame:
     return cells.where(reduce(lambda a, b: a | b, inside, F.col("_total") == 0))
 
 
+def _inside(met: DataFrame) -> DataFrame:
+    """Values within their stretch, and the empty groups. Without these Spark would move
+    "is not NULL" below the counts of this use only, and count the rows for each use anew."""
+    return met.where(F.col("_v").between(F.col("_lo"), F.col("_hi")) | (F.col("_total") == 0))
+
+
 def cells_with_ranks(
     counts: DataFrame, ranks: Sequence[Column], stats: Sequence[str] = (), few: int = FEW
 ) -> DataFrame:
@@ -109,7 +115,7 @@ def cells_with_ranks(
         ready.append(hits.where(F.col("_values") <= few))
         large = hits.where(F.col("_values") > few).drop("_in_cell", "_values")
         step = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * STEPS)
-        cut = counts.join(large, ["_k", "_cell"]).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        cut = _inside(counts.join(large, ["_k", "_cell"]))
         place = ["_k", "_cell", "_from"]
         steps = (
             cut.withColumns({"_from": F.col("_lo"), "_step": F.least(step, F.lit(STEPS - 1).cast("bigint"))})
@@ -146,8 +152,7 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], w
         Window.unboundedPreceding, Window.currentRow
     )
     placed = (
-        counts.join(small, ["_k", "_cell"])
-        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")) | (F.col("_total") == 0))
+        _inside(counts.join(small, ["_k", "_cell"]))
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )

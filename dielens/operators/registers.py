@@ -93,6 +93,18 @@ class Selection:
     dropped: tuple[str, ...]
 
 
+def without(spec: ProbeSpec, dropped: Sequence[str]) -> ProbeSpec:
+    """The column plan without the dropped registers."""
+    gone = set(dropped)
+
+    def kept(group: Sequence[RegisterSpec]) -> tuple[RegisterSpec, ...]:
+        return tuple(r for r in group if r.name not in gone)
+
+    return ProbeSpec(
+        **{**spec.__dict__, "main": kept(spec.main), "dependent": kept(spec.dependent), "extra": kept(spec.extra)}
+    )
+
+
 def select_informative(
     df: DataFrame, spec: ProbeSpec, max_dropped_cardinality: int = 2, drop_all_null: bool = False
 ) -> Selection:
@@ -105,21 +117,9 @@ def select_informative(
         protected=[*spec.probe_columns, *spec.features],
     )
     dropped = {r["register"] for r in verdict.where("dropped").collect()}
-
-    def kept(group: Sequence[RegisterSpec]) -> tuple[RegisterSpec, ...]:
-        return tuple(r for r in group if r.name not in dropped)
-
     if all(r in dropped for r in spec.registers):
         raise NoRegistersLeftError("no register varies, nothing is left to cluster")
-    narrowed = ProbeSpec(
-        **{
-            **spec.__dict__,
-            "main": kept(spec.main),
-            "dependent": kept(spec.dependent),
-            "extra": kept(spec.extra),
-        }
-    )
-    return Selection(narrowed, tuple(sorted(dropped)))
+    return Selection(without(spec, sorted(dropped)), tuple(sorted(dropped)))
 
 
 def difference_name(main: RegisterSpec, dependent: RegisterSpec) -> str:

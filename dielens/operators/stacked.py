@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dielens.functions.quantiles import exact_quantiles, keys_of, quantiles_of_counts, value_counts
 from dielens.functions.scalars import named
 from dielens.operators.registers import unpivot
+from dielens.plans.hold import hold
 
 PARETO_NUM = 10
 POSITION = ("DieX", "DieY")
@@ -171,12 +172,13 @@ def _cluster_columns(cluster: Cluster) -> list:
 def stacked_map(df: DataFrame, cluster: Cluster, stack: Stack, totals: DataFrame) -> DataFrame:
     """One row per position, group and stacked item; all register medians on each row.
 
-    Values are counted once, per position; the counts per group are rolled up from these.
+    Values are counted once, per position, and the counts held (an action where a shared
+    folder is set); the counts per group are rolled up from these.
     The medians are computed once; the long rows are spread from the wide ones, so
     only the small group statistics are joined.
     """
     everything = list(dict.fromkeys([*stack.items, *stack.registers]))
-    counts = item_counts(df, cluster, everything, POSITION)
+    counts = hold(item_counts(df, cluster, everything, POSITION))
     wide = _wide(_die_medians(counts, cluster), cluster, everything)
     entries = [
         F.struct(F.lit(i).alias("stacked_item"), named(i).alias("median_value")) for i in stack.items

@@ -52,7 +52,11 @@ def wafer_grid(df: DataFrame, value: str, order: Sequence[str], design: Sequence
     # one entry for each die position of a wafer, as in its dense grid
     wafers = measured.groupBy(*wafer).agg(F.map_from_entries(F.collect_list(F.struct(F.struct("DieX", "DieY"), "_v"))).alias("_at"))
     extents = _extents(df, design)
-    placed = wafers.join(extents, list(design)) if design else wafers.crossJoin(F.broadcast(extents))
+    if design:
+        named_apart = extents.withColumnsRenamed({c: f"_{c}" for c in design})
+        placed = wafers.join(named_apart, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in design])
+    else:
+        placed = wafers.crossJoin(F.broadcast(extents))  # a single row
     spread = placed.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("_dx")))).withColumn(
         "y", F.explode(F.sequence(F.lit(0), F.col("_dy")))
     )

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dielens.functions.scalars import bin_indicator, cluster_name, named
-from dielens.operators import clean, outputs, registers, stacked, transform
+from dielens.operators import clean, outputs, registers, samples, stacked, transform
 from dielens.operators.choose_k import elbow_k, kmeans_cost_sweep
 from dielens.operators.clusters import SEED, fit_and_label
 from dielens.operators.labelling import StoredModel, score_models, split_labelled
 from dielens.operators.level2 import level2_merge, level2_split
-from dielens.plans.hold import hold
+from dielens.plans.hold import hold, keeping
+from dielens.plans.stages import Stages
+from dielens.sources import tables
 from dielens.sources.sinks import Result
 from dielens.spec import BIN_COLUMN, FAIL_BIN_STEP, ProbeSpec
 
@@ -52,13 +54,24 @@ def bin_column(spec: ProbeSpec) -> str | None:
     return spec.probe_column if spec.probe_column in (BIN_COLUMN, spec.bin_step) else None
 
 
-def prepare(raw: DataFrame, spec: ProbeSpec, settings: Settings = Settings()) -> Prepared:
-    """Filters, parsing, register selection, numbers, differences and Pareto selection."""
+def prepare(
+    raw: DataFrame, spec: ProbeSpec, settings: Settings = Settings(), decided: Mapping | None = None
+) -> Prepared:
+    """Filters, parsing, register selection, numbers, differences and Pareto selection.
+
+    ``decided`` (``dropped``, ``registers``) is a selection made before, taken as it is.
+    """
     rows = clean.prepare_rows(raw, spec, settings.first_pass_only)
-    choice = registers.select_informative(rows, spec, settings.max_dropped_cardinality)
+    if decided is None:
+        choice = registers.select_informative(rows, spec, settings.max_dropped_cardinality)
+    else:
+        choice = registers.Selection(registers.without(spec, decided["dropped"]), tuple(decided["dropped"]))
     numeric = clean.numeric_dies(rows, choice.spec.measured)
     dies, candidates = registers.dependent_difference(numeric, choice.spec)
-    chosen = registers.select_pareto(dies, candidates, settings.pareto, choice.spec)
+    if decided is None:
+        chosen = registers.select_pareto(dies, candidates, settings.pareto, choice.spec)
+    else:
+        chosen = decided["registers"]
     step = bin_column(spec)
     if step is not None:
         bin_step = FAIL_BIN_STEP if step == BIN_COLUMN else step
@@ -97,29 +110,56 @@ def cluster_dies(df: DataFrame, columns: Sequence[str], settings: Settings = Set
     return merged.select(*base, *[cluster_name(named(m)).alias(m) for m in CLUSTER_MODELS])
 
 
+def requested(
+    dies: DataFrame, spec: ProbeSpec, lots: Sequence[str] | None = None, start: str | None = None,
+    end: str | None = None, design: str | None = None, site: str | None = None,
+) -> DataFrame:
+    """The raw dies a request is about: lots, or a design in a time range; else an error."""
+    if lots:
+        return tables.scan_by_lot(dies, lots, spec.scan_columns, site=site)
+    if start and end and design:
+        return tables.scan_by_time(dies, start, end, spec.scan_columns, site, design)
+    raise ValueError("a request names lots, or a start, an end and a design")
+
+
 def analyse(
-    raw: DataFrame, spec: ProbeSpec, models: Sequence[StoredModel] = (), settings: Settings = Settings()
+    raw: DataFrame, spec: ProbeSpec, models: Sequence[StoredModel] = (), settings: Settings = Settings(),
+    stages: Stages | None = None,
 ) -> Result:
-    """Runs every stage. Frames in the result are lazy; the held ones stay cached."""
-    prepared = prepare(clean.require_rows(raw), spec, settings)
-    scored = score_models(hold(prepared.dies), models)
-    labelled, unlabelled = split_labelled(scored.dies, scored.modes)
-    clustered = hold(cluster_dies(unlabelled, prepared.registers, settings))
-
-    stack = stacked.Stack.of(prepared.registers, spec.probe_column, spec.probe_item, bin_column(spec))
-    maps = hold(stacked.stacked_maps(clustered, CLUSTER_MODELS, stack, labelled, scored.modes))
-    pareto = stacked.cluster_pareto(maps, prepared.registers, spec.probe_item)
-    full = stacked.full_die_map(maps)
-    dies = outputs.merge_labelled(clustered, CLUSTER_MODELS, labelled, scored.modes)
-    return Result(
-        dies=dies,
-        stacked_map=full,
-        cluster_pareto=pareto,
-        signature=outputs.cluster_signature(outputs.group_mean_fill(full)),
-        wafer_association=outputs.wafer_association(dies, CLUSTER_MODELS),
-        pareto_lists=outputs.cluster_pareto_lists(pareto),
-        raw=raw,
-        models=CLUSTER_MODELS,
-        failure_modes=scored.modes,
-        skipped_modes=scored.skipped,
-    )
+    """Runs every stage. Frames in the result are lazy; what they read is held until
+    ``release``.
+
+    With ``stages`` in a folder a broken or repeated analysis takes up the stages that are
+    there: the registers chosen, the clean dies, the cluster labels and the stacked maps.
+    """
+    stages = stages or Stages(raw.sparkSession)
+    with keeping() as held:
+        def select() -> dict:
+            prepared = prepare(clean.require_rows(raw), spec, settings)
+            return {"dropped": list(prepared.dropped), "registers": list(prepared.registers)}
+
+        prepared = prepare(raw, spec, settings, stages.value("registers", select))
+        chosen = prepared.registers
+        scored = score_models(stages.table("dies", lambda: prepared.dies), models)
+        labelled, unlabelled = split_labelled(scored.dies, scored.modes)
+        clustered = stages.table("clustered", lambda: cluster_dies(unlabelled, chosen, settings))
+
+        stack = stacked.Stack.of(chosen, spec.probe_column, spec.probe_item, bin_column(spec))
+        maps = stages.table("maps", lambda: stacked.stacked_maps(clustered, CLUSTER_MODELS, stack, labelled, scored.modes))
+        pareto = stacked.cluster_pareto(maps, chosen, spec.probe_item)
+        full = stacked.full_die_map(maps)
+        dies = outputs.merge_labelled(clustered, CLUSTER_MODELS, labelled, scored.modes)
+        return Result(
+            dies=dies,
+            stacked_map=full,
+            cluster_pareto=pareto,
+            signature=outputs.cluster_signature(outputs.group_mean_fill(full)),
+            wafer_association=outputs.wafer_association(dies, CLUSTER_MODELS),
+            pareto_lists=outputs.cluster_pareto_lists(pareto),
+            scatter_samples={m: samples.plot_sample(clustered, m, chosen) for m in CLUSTER_MODELS},
+            raw=raw,
+            models=CLUSTER_MODELS,
+            failure_modes=scored.modes,
+            skipped_modes=scored.skipped,
+            held=held,
+        )

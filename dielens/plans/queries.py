@@ -498,6 +498,15 @@ def forest_given(spark, sf_dir):
     return comparable(labelling.score_trees(differenced(spark, sf_dir), "HighQ", given.FOREST).select(*ROW, "HighQ"))
 
 
+@query
+def analysis(spark, sf_dir):
+    """The whole analysis of one design's dies, from raw text to the register Pareto of every
+    cluster of both models."""
+    raw = end_to_end.requested(die_table(spark, sf_dir), SPEC, start="1990-01-01", end="2010-12-31", design="Z32M")
+    result = end_to_end.analyse(raw, SPEC)
+    return result.cluster_pareto
+
+
 # --- level 2 ---------------------------------------------------------------------------
 
 

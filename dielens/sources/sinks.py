@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from dielens.plans.hold import Kept
+
 OUTPUT_MODES = ("csv", "dataframe", "df_4_debug")
 
 # The result files of a job.
 SIGNATURE_FILE = "cluster_signature.json"
 ASSOCIATION_FILE = "cluster_wafer_association.json"
 PARETO_FILE = "cluster_register_pareto.json"
+SAMPLE_FILE = "scatter_sample_{model}.json"
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -49,10 +52,16 @@ class Result:
     signature: DataFrame
     wafer_association: DataFrame
     pareto_lists: DataFrame
+    scatter_samples: dict[str, DataFrame]  # per model, the rows behind its pair plot
     raw: DataFrame
     models: tuple[str, ...]
     failure_modes: tuple[str, ...]
     skipped_modes: dict[str, str]
+    held: Kept = field(default_factory=Kept)
+
+    def release(self) -> None:
+        """Gives back what the analysis held; no frame can be read after that."""
+        self.held.release()
 
     def save(self, job_id: str, requested: str | Sequence[str], output_dir: str | None = None) -> dict:
         """Writes the files and returns paths and frames of the requested outputs."""
@@ -64,6 +73,8 @@ class Result:
                 "wafer_association_json": (self.wafer_association, ASSOCIATION_FILE),
                 "cluster_pareto_json": (self.pareto_lists, PARETO_FILE),
             }
+            for model, sample in self.scatter_samples.items():
+                files[f"scatter_sample_{model}_json"] = sample, SAMPLE_FILE.format(model=model)
             for key, (frame, name) in files.items():
                 out[key] = f"{job_id}_{name}"
                 write_json(frame, f"{output_dir}/{out[key]}")

@@ -7,9 +7,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from dielens.operators import choose_k, clusters, labelling, level2, samples, sweeps, transform
+from dielens.operators import choose_k, clusters, labelling, level2, samples, sweeps, transform, wafers
 from dielens.plans import end_to_end
 from dielens.plans.dies import die_spec, die_table
+from dielens.plans.hold import exists
+from dielens.plans.stages import Stages
 from tests.conftest import SF_SMALL
 
 CENTRES = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0], [10.0, 12.0]])
@@ -173,17 +175,61 @@ def test_whole_analysis(spark, tmp_path):
     settings = end_to_end.Settings(sweep_ks=range(2, 7), split_ks=range(1, 4), merge_ks=range(1, 6), mixture_iterations=15)
     dies = end_to_end.prepare(raw, spec, settings).dies
     mode = labelling.train_mode(dies, "HighQ", ["BITQ_V-t_ALL", "FBD_REGION"], F.col("`BITQ_V-t_ALL`") > 20)
-    result = end_to_end.analyse(raw, spec, [mode], settings)
+    folder = str(tmp_path / "stages")
+    broken = Stages(spark, folder, "job", settings)
+    with pytest.raises(ZeroDivisionError):  # as if the driver had gone after the clustering
+        broken.table("maps", lambda: 1 / 0)
+    result = end_to_end.analyse(raw, spec, [mode], settings, first := Stages(spark, folder, "job", settings))
+    assert first.computed == ["registers", "dies", "clustered", "maps"] and not first.reread
     assert result.failure_modes == ("HighQ",)
     labels = {r[0] for r in result.dies.select("gmm").distinct().collect()}
     assert "HighQ" in labels and all(v.startswith("cluster_") for v in labels - {"HighQ"})
     files = result.save("job", ["csv", "dataframe", "df_4_debug"], str(tmp_path))
-    for key in ("cluster_signature_json", "wafer_association_json", "cluster_pareto_json"):
+    for key in ("cluster_signature_json", "wafer_association_json", "cluster_pareto_json", "scatter_sample_gmm_json"):
         assert spark.read.json(f"{tmp_path}/{files[key]}").count() > 0
     assert set(files) >= {"dataframe", "raw_data"}
+    result.release()
+    again = end_to_end.analyse(raw, spec, [mode], settings, second := Stages(spark, folder, "job", settings))
+    assert second.reread == ["registers", "dies", "clustered", "maps"] and not second.computed
+    assert again.stacked_map.count() > 0
+    assert Stages(spark, folder, "job", end_to_end.Settings()).place != second.place
+    second.release()
+    assert not exists(spark, f"{second.place}/maps")
     spark.catalog.clearCache()
 
 
+def test_requests():
+    with pytest.raises(ValueError):
+        end_to_end.requested(None, die_spec(), start="2020-01-01", end="2020-02-01")
+
+
+def test_clusters_without_components(blobs):
+    features = end_to_end._features(transform.standard_scale(blobs, ["a", "b"]), ["a", "b"], end_to_end.Settings(with_pca=False))
+    assert features[1] == ["a_norm", "b_norm"]
+    assert agrees(clusters.cluster(features[0], "kmeans", 4, features[1], "label"), "label")
+
+
+def test_leading_components_are_those_of_pca(spark):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(60, 4)) * [9, 5, 3, 1.5] @ rng.normal(size=(4, 40)) + rng.normal(0, 0.05, (60, 40)) + 50
+    df = spark.createDataFrame([(r.tolist(),) for r in rows], "grid array<double>").repartition(3)
+    mean, axes = wafers.leading_components(df, 3)
+    assert np.allclose(mean, rows.mean(0))
+    values, vectors = np.linalg.eigh(np.cov(rows.T))
+    for i in range(3):
+        assert abs(axes[:, i] @ vectors[:, -1 - i]) == pytest.approx(1, abs=1e-9)
+
+
+def test_leading_components_of_many_positions(spark):
+    """40,000 positions: a dense matrix would take 12.8 GB."""
+    axis = F.transform(F.sequence(F.lit(0), F.lit(39_999)), lambda i: F.sin(i / 900.0) * F.col("s") + F.cos(i * 7.0) * 0.01 * F.col("id"))
+    df = spark.range(24).repartition(4).withColumn("s", F.sin("id") * 10).select(axis.alias("grid"))
+    mean, axes = wafers.leading_components(df, 2)
+    assert axes.shape == (40_000, 2)
+    wave = np.sin(np.arange(40_000) / 900.0)
+    assert abs(axes[:, 0] @ wave) / np.linalg.norm(wave) > 0.999
+
+
 def test_seeds_meet_a_tiny_far_cluster(spark):
     rng = np.random.default_rng(3)
     rows = np.concatenate([rng.normal(0, 1, (20_000, 2)), rng.normal(500, 0.1, (2, 2))])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from dielens import spec
 from dielens.functions import quantiles, scalars
 from dielens.functions.quantiles import exact_quantiles
-from dielens.operators import clean, knee, labelling, outputs, registers, stacked, transform
+from dielens.operators import clean, knee, labelling, outputs, registers, stacked, transform, wafers
+from dielens.plans.hold import written
 from dielens.sources import sinks, tables
 
 
@@ -233,13 +234,15 @@ def test_groups_of_nulls_keep_their_row(spark):
     assert rows == {"a": (1.0, 1, 1.0, 1.0, 1.0), "b": (None, 0, None, None, None)}
 
 
-def test_stacked_map_keeps_items_without_values(spark):
+def test_stacked_map_keeps_items_without_values(spark, tmp_path, monkeypatch):
     rows = [("F", "D", 0, 0, "c1", "w1", 1.0, None), ("F", "D", 0, 0, "c1", "w2", 3.0, None), ("F", "D", 1, 0, "c1", "w1", None, None), ("F", "D", 0, 0, "c2", "w1", 5.0, 2.0)]
     schema = "FAB string, DESIGN_ID string, DieX int, DieY int, cluster string, lot_wafer string, p double, r double, TOTAL_DIE int"
     df = spark.createDataFrame([(*r, 10) for r in rows], schema)
     stack = stacked.Stack.of(["r"], "p", "probe")
+    monkeypatch.setattr(stacked, "hold", lambda counts: written(counts, str(tmp_path)))
     got = stacked.stacked_map(df, "cluster", stack, stacked.die_totals(df))
-    assert sum(line.lstrip(" :+-*()0123456789").startswith("Expand") for line in _final_plan(got).splitlines()) == 1
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()  # unpivoted and counted once, before
+    assert len(list(tmp_path.iterdir())) == 1
     found = {(r["DieX"], r["cluster"], r["stacked_item"]): (r["num_dies_in_cluster"], r["median_value"], r["die_max_value"]) for r in got.collect()}
     assert found == {
         (0, "c1", "probe"): (2, 2.0, 3.0), (1, "c1", "probe"): (2, None, 3.0), (0, "c2", "probe"): (1, 5.0, 5.0),
@@ -247,7 +250,29 @@ def test_stacked_map_keeps_items_without_values(spark):
     }
 
 
-def _final_plan(df):
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
+def test_strict_rule_takes_a_probe_bin_along(spark):
+    df = spark.createDataFrame([(5.0, 3.0, "A:O")], "p double, r double, BIN_BIT string")
+    bins = spec.resolve_spec("B1", "V", ["p"], bin_step="Fail_bin")
+    assert registers.select_pareto(df, ["r", "p"], registers.STRICT_PARETO, bins) == ["p", "r", "BIN_BIT"]
+    assert registers.select_pareto(df, ["r", "p"], registers.ParetoRule(), bins) == ["p", "r"]
+    marked = spec.resolve_spec("B1", "V:V", ["p"], bin_step="Fail_bin")
+    assert registers.select_pareto(df, ["r", "p"], registers.STRICT_PARETO, marked) == ["p", "r"]
+
+
+def test_rows_are_appended_to_a_catalog_table(spark, tmp_path):
+    spark.sql(f"create table appended (a int, b string) using parquet location '{tmp_path / 'appended'}'")
+    try:
+        df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+        sinks.append_rows(df, "appended")
+        sinks.append_rows(df.where("a = 2"), "appended")
+        assert sorted(r["a"] for r in spark.table("appended").collect()) == [1, 2, 2]
+    finally:
+        spark.sql("drop table appended")
+
+
+def test_a_stray_die_grows_the_grids_of_its_design_only(spark):
+    rows = [("F", "D1", "L", "W", 0, 0, 1.0), ("F", "D1", "L", "W", 1, 1, 2.0), ("F", "D2", "L", "W", 0, 0, 3.0), ("F", "D2", "L", "W", 50, 9, 4.0), (None, None, "L", "V", 3, 3, 5.0)]
+    df = spark.createDataFrame(rows, "FAB string, DESIGN_ID string, LOT_ID string, WAFER_ID string, DieX int, DieY int, v double")
+    grids = wafers.wafer_grid(df, "v", ["v"], ["FAB", "DESIGN_ID"])
+    sizes = {r["DESIGN_ID"]: (r["count"], r["s"]) for r in grids.groupBy("DESIGN_ID").agg(F.count("*").alias("count"), F.sum("value").alias("s")).collect()}
+    assert sizes == {"D1": (4, 3.0), "D2": (510, 7.0), None: (1, 5.0)}
