@@ -15,8 +15,9 @@ from dielens.llm.common import BLANKS, ascii_lower, text_or_empty
 
 
 def line_key(line: Column) -> Column:
-    """The line without blanks at its ends, A-Z in lower case."""
-    return ascii_lower(F.regexp_replace(line, f"^[{BLANKS}]+|[{BLANKS}]+$", ""))
+    """The line without blanks at its ends, A-Z in lower case. (`$` would also match before a
+    last line separator of Unicode.)"""
+    return ascii_lower(F.regexp_replace(line, rf"^[{BLANKS}]+|[{BLANKS}]+\z", ""))
 
 
 def _lines(text: str) -> Column:

@@ -54,7 +54,9 @@ class WordIds:
         letters = [chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha()]
         #: How the model writes a byte of such a letter.
         self.shown = {raw: char for x in letters for raw, char in zip(x.encode(), shown(x)[0][0], strict=True)}
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # in the parts of words; see `encode` for texts
+        self.plain = Tokenizer.from_str(tokenizer_json)
+        self.added = [t.content.lower() for t in self.plain.get_added_tokens_decoder().values()]
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
         self.known: dict[bytes, bytes]
@@ -63,8 +65,10 @@ class WordIds:
         self.forget()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; all new words of the block are looked up in one go."""
-        split = [lower_words(t) for t in texts]
+        """Ids of each text; all new words of the block are looked up in one go. A text that may
+        have an added token's string goes to the tokenizer as a whole, which cuts at these."""
+        whole = {i for i, t in enumerate(texts) if self._has_added(t)}
+        split = [[] if i in whole else lower_words(t) for i, t in enumerate(texts)]
         if len(self.known) > REMEMBERED:
             self.forget()
         fresh = set().union(*split) - self.known.keys()
@@ -72,8 +76,17 @@ class WordIds:
         self._merge_stems({stem for _, stem, _ in parts} - self.stems.keys())
         self._encode_others(list({other for _, _, other in parts} - self.others.keys()))
         self.known.update((w, self.stems[stem] + self.others[other]) for w, stem, other in parts)
-        for ws in split:
-            yield b"".join(map(self.known.__getitem__, ws))
+        for i, ws in enumerate(split):
+            if i in whole:
+                yield np.array(self.plain.encode(texts[i], add_special_tokens=False).ids, dtype=self.kind).tobytes()
+            else:
+                yield b"".join(map(self.known.__getitem__, ws))
+
+    def _has_added(self, text: str) -> bool:
+        if not self.added or all(t[0] not in text and t[0].upper() not in text for t in self.added):
+            return False
+        low = text.lower()
+        return any(t in low for t in self.added)
 
     def forget(self) -> None:
         self.known, self.stems, self.others = {}, {}, {}

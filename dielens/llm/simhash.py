@@ -8,6 +8,7 @@ are compared exactly, by exclusive-or and bit counts on whole arrays.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from itertools import product
 
@@ -24,16 +25,20 @@ from dielens.plans.hold import hold
 PARTS = 4
 #: Most fingerprints of a tile in one comparison; a larger tile is cut by a hash.
 CHUNK = 4096
+#: Rounds in which texts are checked against their nearest ones before all pairs are.
+ROUNDS = 3
 
 
-def fingerprint(words: list[bytes], width: int = 3, seed: int = 42) -> int:
-    """The bits set in over half the hashes of the word shingles, repeats included."""
-    if not words:
-        return 0
-    spans = range(max(len(words) - width + 1, 1))
-    hashes = np.fromiter(
+def shingle_hashes(words: list[bytes], width: int, seed: int = 42) -> np.ndarray:
+    """The hashes of the word shingles, repeats included; fewer words are one shingle."""
+    spans = range(max(len(words) - width + 1, 1) if words else 0)
+    return np.fromiter(
         (xxhash.xxh64_intdigest(b" ".join(words[i : i + width]), seed) for i in spans), dtype="<u8", count=len(spans)
     )
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes."""
     ones = np.zeros(64, dtype=np.int64)
     for a in range(0, len(hashes), 4096):
         part = hashes[a : a + 4096]
@@ -41,6 +46,11 @@ def fingerprint(words: list[bytes], width: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def fingerprint(words: list[bytes], width: int = 3, seed: int = 42) -> int:
+    """The bits set in over half the hashes of the word shingles, repeats included."""
+    return majority(shingle_hashes(words, width, seed))
+
+
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """Columns: the key and `fp`, the fingerprint's bits as a long. Null texts are empty."""
 
@@ -150,95 +160,171 @@ def _compared(own: np.ndarray, others: np.ndarray, radius: int) -> list[tuple[np
     return out
 
 
-def shingle_hashes(words: list[bytes], width: int, seed: int = 42) -> np.ndarray:
-    """The hashes of the word shingles that `fingerprint` takes, repeats included."""
-    spans = range(max(len(words) - width + 1, 1) if words else 0)
-    return np.fromiter(
-        (xxhash.xxh64_intdigest(b" ".join(words[i : i + width]), seed) for i in spans), dtype="<u8", count=len(spans)
-    )
+def prefix_size(n: int, at_least: float) -> int:
+    """How many of n sorted values must be looked at: two sets with the Jaccard similarity
+    share one of these, in whatever order all sets are sorted."""
+    return n - math.ceil(at_least * n - 1e-9) + 1 if n else 0
 
 
-def shingle_sets(df: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns: the key, `fp` as in `fingerprints`, `shingles`, the hashes of the different
-    word shingles in order, and `id`, a hash of them all: equal sets have one id."""
+def marked_rows(df: DataFrame, width: int, at_least: float, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """For each row `key`, `row` (a hash of its text), `fp` as in `fingerprints`, `id`, a hash of
+    its different word shingles, `n`, their number, and `first`, the smallest of them."""
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1_000_000):
-            words = [lower_words(t) for t in texts_of(batch)]
-            sets = [np.unique(shingle_hashes(w, width)) for w in words]
-            bits = np.array([fingerprint(w, width) for w in words], dtype=np.uint64).view(np.int64)
+            found = [shingle_hashes(lower_words(t), width) for t in texts_of(batch)]
+            sets = [np.unique(h) for h in found]
+            bits = np.array([majority(h) for h in found], dtype=np.uint64).view(np.int64)
             ids = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
-            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-            flat = np.concatenate(sets) if sets else np.empty(0, dtype="<u8")
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.uint64).view(np.int64)))
+            first = [s[: prefix_size(len(s), at_least)] for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(bits), pa.array(ids), lists], names=["key", "fp", "id", "shingles"]
-            )
+                [
+                    batch.column("key"), batch.column("row"), pa.array(bits), pa.array(ids),
+                    pa.array([len(s) for s in sets], pa.int64()), _lists(first),
+                ],
+                names=["key", "row", "fp", "id", "n", "first"],
+            )
 
     kind = df.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, fp long, id long, shingles array<long>"
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(blocks, schema)
+    chosen = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
+    return chosen.mapInArrow(blocks, f"`key` {kind}, row long, fp long, id long, n long, first array<long>")
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    flat = np.concatenate(arrays) if arrays else np.empty(0, dtype="<u8")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.uint64).view(np.int64)))
+
+
+def shingle_sets(rows: DataFrame, width: int) -> DataFrame:
+    """`id` and `shingles`, the different ones of a text, for rows `id`, `text`."""
+
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1_000_000):
+            sets = [np.unique(shingle_hashes(lower_words(t), width)) for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(sets)], names=["id", "shingles"])
+
+    return rows.mapInArrow(blocks, "id long, shingles array<long>")
+
+
+def _close(left: np.ndarray, right: np.ndarray, radius: int, at_least: float) -> np.ndarray:
+    """Bits between rows (id, fp, n, label) that may be linked, 65 where they may not: further
+    than the radius, sizes too different, the same label."""
+    bits = np.bitwise_count(left[1].view(np.uint64)[:, None] ^ right[1].view(np.uint64)[None, :])
+    sizes, others = left[2].astype(float)[:, None], right[2].astype(float)[None, :]
+    fits = np.minimum(sizes, others) >= at_least * np.maximum(sizes, others) - 1e-9
+    fits &= (bits <= radius) & (left[3][:, None] != right[3][None, :])
+    return np.where(fits, bits, np.uint8(65))
 
 
-def near_pairs(sets: DataFrame, radius: int, at_least: float, stars: bool) -> DataFrame:
-    """Pairs (a, b) of rows (`id`, `fp`, `n`, `label`) with fingerprints within the radius,
-    sizes n that allow the similarity, and different labels; each pair once.
+def with_partners(postings: DataFrame, radius: int, at_least: float) -> DataFrame:
+    """Of the postings (`k`, `id`, `fp`, `n`) those that are close to another of their key.
 
-    With `stars`, of the pairs found in one comparison only as many as join the same ids.
-    Tiles are population counts of the whole fingerprint, as four parts would send a row to
-    tens of thousands of tiles at a wide radius; each chunk meets all those within the
-    radius, so the work grows with the square of the rows.
+    A key's rows come as a stream. Beyond CHUNK of them they are all passed on: they are few
+    keys, and what is passed on too much is compared later.
     """
-    tiled = sets.withColumn("tile", F.bit_count("fp").cast("int"))
-    chunks = tiled.groupBy("tile").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []  # the rows of the last key seen, as its end is not known
+
+        def kept(rows: np.ndarray) -> np.ndarray:
+            out = []
+            for a in range(0, rows.shape[1], 1024):
+                own = np.vstack([rows[1:], rows[1:2]])  # each its own label
+                out.append((_close(np.ascontiguousarray(own[:, a : a + 1024]), own, radius, at_least) < 65).any(axis=1))
+            return rows[:, np.concatenate(out)]
+
+        def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            ends = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
+            edges = np.concatenate([[0], ends, [rows.shape[1]]])
+            out = [kept(rows[:, a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1]
+            out = [o for o in out if o.shape[1]]
+            if out:
+                yield _columns(np.concatenate(out, axis=1), "k", "id", "fp", "n")
+
+        passed: int | None = None  # a key of more rows than are held
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.concatenate([*held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+            if passed is not None:
+                same = rows[0] == passed
+                if same.any():
+                    yield _columns(rows[:, same], "k", "id", "fp", "n")
+                    rows = rows[:, ~same]
+                if not rows.shape[1]:
+                    held = []
+                    continue
+                passed = None
+            last = int(np.searchsorted(rows[0], rows[0, -1], "left"))
+            if last:
+                yield from done(rows[:, :last])
+            held = [rows[:, last:]]
+            if held[0].shape[1] > CHUNK:
+                passed = int(rows[0, -1])
+                yield _columns(held[0], "k", "id", "fp", "n")
+                held = []
+        if held and held[0].shape[1]:
+            yield from done(held[0])
+
+    dealt = postings.select("k", "id", "fp", "n").repartition("k").sortWithinPartitions("k")
+    return dealt.mapInArrow(task, "k long, id long, fp long, n long")
+
+
+def _columns(rows: np.ndarray, *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r)) for r in rows], names=list(names))
+
+
+def candidate_pairs(postings: DataFrame, radius: int, at_least: float, nearest: bool) -> DataFrame:
+    """Pairs (a, b), a < b, of ids that share a key, have different labels and are close, from
+    postings (`k`, `id`, `fp`, `n`, `label`).
+
+    With `nearest`, of each row's pairs in one comparison only the one of fewest bits, so
+    there are no more pairs than rows compared. The rows of a large key are dealt to
+    chunks; each chunk meets itself and those before it.
+    """
+    chunks = postings.groupBy("k").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     sent = (
-        tiled.join(F.broadcast(chunks.withColumnRenamed("chunks", "own")), "tile")
-        .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("own")).cast("int"))
-        .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(radius))))
-        .withColumn("home", F.col("tile") - F.col("step"))
-        .join(F.broadcast(chunks.withColumnRenamed("tile", "home")), "home")
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .where("step > 0 or chunk >= mine")
-        .select(
-            "home", "chunk", ((F.col("step") > 0) | (F.col("chunk") > F.col("mine"))).cast("int").alias("role"),
-            "id", "fp", "n", "label",
-        )
-    )
-    placed = sent.repartition("home", "chunk").sortWithinPartitions("home", "chunk", "role")
+        postings.join(chunks, "k")
+        .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("mine"))))
+        .select("k", "chunk", (F.col("chunk") < F.col("mine")).cast("int").alias("role"), "id", "fp", "n", "label")
+    )
+    placed = sent.repartition("k", "chunk").sortWithinPartitions("k", "chunk", "role")
 
-    def pairs(own: np.ndarray, others: np.ndarray, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
+    def pairs(own: np.ndarray, others: np.ndarray) -> Iterator[np.ndarray]:
         for i in range(0, own.shape[1], 512):
             for j in range(0, others.shape[1], 4096):
                 left, right = own[:, i : i + 512], others[:, j : j + 4096]
-                bits = left[1].view(np.uint64)[:, None] ^ right[1].view(np.uint64)[None, :]
-                x, y = np.nonzero(np.bitwise_count(bits) <= radius)
-                x, y = left[:, x], right[:, y]
-                fits = np.minimum(x[2], y[2]) >= at_least * np.maximum(x[2], y[2]) - 1e-9
-                fits &= (x[3] != y[3]) & ((x[0] < y[0]) if same else (x[0] != y[0]))
-                if fits.any():
-                    a, b = x[0][fits], y[0][fits]
-                    out.append(star_edges(a, b) if stars else (a, b))
-        return out
+                bits = _close(left, right, radius, at_least)
+                if nearest:
+                    x, y = np.arange(bits.shape[0]), bits.argmin(axis=1)
+                    u, v = bits.argmin(axis=0), np.arange(bits.shape[1])
+                    x, y = np.concatenate([x, u]), np.concatenate([y, v])
+                    good = bits[x, y] < 65
+                    x, y = x[good], y[good]
+                else:
+                    x, y = np.nonzero(bits < 65)
+                if len(x):
+                    a, b = left[0, x], right[0, y]
+                    yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, own = None, np.empty((4, 0), dtype=np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            home, chunk, role = (batch.column(i).to_numpy() for i in range(3))
+            k, chunk, role = (batch.column(i).to_numpy() for i in range(3))
             rows = np.stack([batch.column(i).to_numpy() for i in range(3, 7)])
-            ends = np.flatnonzero((home[1:] != home[:-1]) | (chunk[1:] != chunk[:-1]) | (role[1:] != role[:-1])) + 1
-            for i, j in zip([0, *ends.tolist()], [*ends.tolist(), len(home)], strict=True):
-                if (home[i], chunk[i]) != place:
-                    place, own = (home[i], chunk[i]), np.empty((4, 0), dtype=np.int64)
+            ends = np.flatnonzero((k[1:] != k[:-1]) | (chunk[1:] != chunk[:-1]) | (role[1:] != role[:-1])) + 1
+            for i, j in zip([0, *ends.tolist()], [*ends.tolist(), len(k)], strict=True):
+                if (k[i], chunk[i]) != place:
+                    place, own = (k[i], chunk[i]), np.empty((4, 0), dtype=np.int64)
                 these = np.ascontiguousarray(rows[:, i:j])
-                out = pairs(own, these, False)
                 if role[i] == 0:
-                    out += pairs(these, these, True)
                     own = np.concatenate([own, these], axis=1)
-                for a, b in out:
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                for found in pairs(own, these) if own.shape[1] else ():
+                    yield _columns(found, "a", "b")
 
     return placed.mapInArrow(compare, "a long, b long").distinct()
 
@@ -253,24 +339,47 @@ def alike(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
 
 
 def similar(df: DataFrame, radius: int, at_least: float, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """As `near_duplicates`, linked by Jaccard similarity of the word shingles: fingerprints
-    within the radius give the pairs, which are then compared exactly.
-
-    A first pass checks few pairs of each dense group; the second takes every pair whose
-    ends the first has not joined, so a large group of near copies costs few checks and no
-    link is lost by it.
+    """As `near_duplicates`, linked by Jaccard similarity of the word shingles.
+
+    Two sets that are alike share one of their smallest hashes (`prefix_size`), so only texts
+    that do are compared: by fingerprint, and exactly where these are within the radius.
+    First each text is checked against its nearest one in each key, a few rounds with what
+    is not joined yet; then every pair that is left between groups. So a large group of near
+    copies costs few checks and no link is lost. Sets of shingles are made again for texts
+    with a close one only, never stored for all.
     """
-    marked = hold(shingle_sets(df, width, key, text))
-    sets = hold(marked.groupBy("id").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles")))
-    nodes = sets.select("id", "fp", F.size("shingles").cast("long").alias("n"))
-    first = hold(alike(near_pairs(nodes.withColumn("label", F.col("id")), radius, at_least, True), sets, at_least))
-    joined = connected_components(first).withColumnRenamed("node", "id")
-    labelled = hold(nodes.join(joined, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component"))
-    rest = alike(near_pairs(labelled, radius, at_least, False), sets, at_least)
-    groups = connected_components(first.union(rest)).withColumnRenamed("node", "id")
-    ids = marked.select(key, "fp", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    least = ids.groupBy("component").agg(F.min(key).alias("component_id"))
-    return ids.join(least, "component").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    marked = hold(marked_rows(df, width, at_least, key, text))
+    classes = hold(
+        marked.groupBy("id").agg(
+            F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("first").alias("first"),
+            F.min(F.struct("key", "row")).alias("one"),
+        )
+    )
+    postings = classes.select(F.explode("first").alias("k"), "id", "fp", "n")
+    live = hold(with_partners(postings, radius, at_least))
+    wanted = classes.join(live.select("id").distinct(), "id", "left_semi").select("id", "one.key", "one.row")
+    texts = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
+    met = texts.join(wanted, texts["key"].eqNullSafe(wanted["key"]) & (texts["row"] == wanted["row"]))
+    sets = hold(shingle_sets(met.select("id", "text"), width).dropDuplicates(["id"]))
+
+    labelled, checked, links = live.withColumn("label", F.col("id")), None, None
+    for _ in range(ROUNDS):
+        pairs = candidate_pairs(labelled, radius, at_least, True)
+        pairs = hold(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"))
+        good = hold(alike(pairs, sets, at_least))
+        checked = pairs if checked is None else checked.union(pairs)
+        if good.isEmpty():
+            break
+        links = good if links is None else links.union(good)
+        groups = connected_components(links).withColumnsRenamed({"node": "id", "component": "label"})
+        labelled = hold(live.join(groups, "id", "left").withColumn("label", F.coalesce("label", "id")))
+    rest = candidate_pairs(labelled, radius, at_least, False).join(checked, ["a", "b"], "left_anti")
+    rest = alike(rest, sets, at_least)
+    groups = connected_components(rest if links is None else links.union(rest)).withColumnRenamed("node", "id")
+    ids = marked.select("key", "fp", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = ids.groupBy("component").agg(F.min("key").alias("component_id"))
+    named = ids.join(least, "component")
+    return named.select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_duplicates(

@@ -120,7 +120,6 @@ def packed_ids(docs: dict, tokenizer_file: str) -> dict:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_file)
-    t.encode_special_tokens = True
     return {d: [*t.encode(x or "", add_special_tokens=False).ids, 1] for d, x in docs.items()}
 
 

@@ -34,6 +34,10 @@ EDGES = {
     16: "é" * 150 + "b" * 60,
     17: "é" * 149 + "b" * 60,
     18: "idiot idiot <|endoftext|> ''s 's",
+    19: f"{LINE}  \u2028",
+    20: f"{LINE}\u2028",
+    21: f"{LINE} \u2028\n{LINE}\x85",
+    22: "A <|endoftext|> b <|ENDOFTEXT|> <|startoftext|>c <|endoftext",
 }
 
 
