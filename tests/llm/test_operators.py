@@ -540,3 +540,49 @@ def test_ablations(spark):
 def test_equal_to_sql(spark, name):
     found = queries.QUERIES[name](spark, SF).toPandas()
     assert differences(found, connect(SF).execute(queries.ORACLES[name]).fetchdf()) == []
+
+
+def test_pipeline_stages_keep_odd_columns_and_rows(spark):
+    import corpus_pipeline
+
+    rows = [(d, t, "en", "s", len(t or ""), 77, "x") for d, t in EDGES.items()]
+    rows += [(30, PASSAGE, "en", "s", 1, 5, "y"), (30, PASSAGE, "en", "s", 1, 5, "y"), (None, "some words alone", None, None, None, 6, "z")]
+    names = ["doc_id", "text", "lang", "source", "n_chars", "n_lines", "__x"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines long, `__x` string").repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, SF)
+        assert out.columns == names, name
+        got = out.collect()
+        assert {r["n_lines"] for r in got if r["doc_id"] and r["doc_id"] < 30} <= {77} and all(r["__x"] in "xyz" for r in got), name
+        assert stage(spark, df.where("false"), SF).count() == 0, name
+        if name == "simhash_near_dedup":
+            ids = [r["doc_id"] for r in got]
+            assert ids.count(30) <= 1 and None in ids
+            assert ids.count(8) + ids.count(9) + ids.count(30) >= 1
+        elif name in ("line_dedup", "suffix_array_dedup"):
+            assert len(got) == len(rows)
+    packed = corpus_pipeline.pack(spark, df, SF)
+    assert packed.count() > 0
+
+
+def test_pipeline_of_a_whole_table(spark):
+    """Every stage after the classifier against its plain version, on what came before it."""
+    import corpus_pipeline
+
+    docs = queries.table(spark, SF, "documents")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).persist()
+        before, kept = kept, {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+        if name == "line_dedup":
+            assert {d: brute.sha(t) for d, t in kept.items()} == {d: x[2] for d, x in brute.line_dedup(before).items()}
+        elif name == "simhash_near_dedup":
+            groups = plain_similar(before)
+            assert set(kept) == set(groups.values())
+            assert all(before[d] == t for d, t in kept.items())
+        elif name == "suffix_array_dedup":
+            plain = brute.suffix_dedup(before)
+            assert {d: len(t.encode()) for d, t in kept.items()} == {d: x[0] - x[1] for d, x in plain.items()}
+    ids = brute.packed_ids(kept, public_tokenizers.path(queries.WORD_TOKENIZER))
+    brute.check_packing([r.asDict() for r in corpus_pipeline.pack(spark, docs, SF).collect()], ids)
+    assert 0 < len(kept) < 200
