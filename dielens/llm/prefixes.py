@@ -24,6 +24,8 @@ from dielens.llm.order import PART, ranged, totals_before
 from dielens.plans.hold import hold
 
 BLOCK_TURNS = 4
+#: Parts of the classes of one group where they meet what is known of it.
+SALTS = 64
 #: Bytes of a list of ids that are passed on together.
 LIST_BYTES = 1 << 20
 
@@ -130,8 +132,12 @@ def prefix_nodes(given: Conversations, block_turns: int = BLOCK_TURNS) -> tuple[
             F.count("*").alias("n_convs"), F.min("conv").alias("conv_id"), F.first("turns").alias("turns")
         )
     )
-    ways = classes.groupBy(*group).agg((F.count("*") > 1).alias("diverge"))
-    told = classes.drop("x", "y").join(ways, group)
+    ways = classes.groupBy(*group).agg(F.count("*").alias("ways")).where("ways > 1")
+    # the root, or a first block that all share, goes on in very many ways: dealt by salt
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = classes.withColumn("salt", F.pmod(F.xxhash64("x", "y"), F.lit(SALTS)).cast("int")).drop("x", "y")
+    told = salted.join(ways.select(*group, F.lit(True).alias("diverge"), salts), [*group, "salt"], "left")
+    told = told.drop("salt").withColumn("diverge", F.coalesce("diverge", F.lit(False)))
     same = _spread(told.where("not diverge"))
     apart = _spread(told.where("diverge")).groupBy("x", "y").agg(
         F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"),
