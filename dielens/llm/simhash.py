@@ -217,6 +217,27 @@ def _close(left: np.ndarray, right: np.ndarray, radius: int, at_least: float) ->
     return np.where(fits, bits, np.uint8(65))
 
 
+#: Groups of so many rows, or fewer, are compared all at once, row by distance in the order.
+SMALL = 64
+
+
+def _small_pairs(rows: np.ndarray, group: np.ndarray, radius: int, at_least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, bits) of the close pairs of rows (id, fp, n, label) within each group, i < j.
+    Groups are small and numbered in order."""
+    out = [(np.empty(0, dtype=np.int64),) * 3]
+    prints, sizes = rows[1].view(np.uint64), rows[2].astype(float)
+    for step in range(1, SMALL):
+        i = np.flatnonzero(group[step:] == group[:-step])
+        if not len(i):
+            break
+        j = i + step
+        bits = np.bitwise_count(prints[i] ^ prints[j])
+        fits = (bits <= radius) & (rows[3, i] != rows[3, j])
+        fits &= np.minimum(sizes[i], sizes[j]) >= at_least * np.maximum(sizes[i], sizes[j]) - 1e-9
+        out.append((i[fits], j[fits], bits[fits].astype(np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def with_partners(postings: DataFrame, radius: int, at_least: float) -> DataFrame:
     """Of the postings (`k`, `id`, `fp`, `n`) those that are close to another of their key.
 
@@ -235,12 +256,16 @@ def with_partners(postings: DataFrame, radius: int, at_least: float) -> DataFram
             return rows[:, np.concatenate(out)]
 
         def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            ends = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
-            edges = np.concatenate([[0], ends, [rows.shape[1]]])
-            out = [kept(rows[:, a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1]
-            out = [o for o in out if o.shape[1]]
-            if out:
-                yield _columns(np.concatenate(out, axis=1), "k", "id", "fp", "n")
+            edges = np.concatenate([[0], np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1, [rows.shape[1]]])
+            sizes = np.diff(edges)
+            each = np.repeat(sizes, sizes)
+            small = np.ascontiguousarray(rows[:, (each > 1) & (each <= SMALL)])
+            i, j, _ = _small_pairs(np.vstack([small[1:], small[1:2]]), small[0], radius, at_least)
+            out = [small[:, np.unique(np.concatenate([i, j]))]]
+            out += [kept(rows[:, a : a + n]) for a, n in zip(edges[:-1][sizes > SMALL], sizes[sizes > SMALL], strict=True)]
+            found = np.concatenate(out, axis=1)
+            if found.shape[1]:
+                yield _columns(found, "k", "id", "fp", "n")
 
         passed: int | None = None  # a key of more rows than are held
         for batch in batches:
@@ -316,6 +341,27 @@ def candidate_pairs(postings: DataFrame, radius: int, at_least: float, nearest:
                 continue
             k, chunk, role = (batch.column(i).to_numpy() for i in range(3))
             rows = np.stack([batch.column(i).to_numpy() for i in range(3, 7)])
+            # whole small groups of one chunk at once; the others, and the last, which may go on, in turn
+            new = np.concatenate([[True], (k[1:] != k[:-1]) | (chunk[1:] != chunk[:-1])])
+            sizes = np.diff([*np.flatnonzero(new), len(k)])
+            number = np.repeat(np.arange(len(sizes)), sizes)
+            whole = (sizes <= SMALL) & (np.bincount(number, role) == 0)
+            whole[-1] = False
+            whole[0] &= place != (k[0], chunk[0])
+            at_once = whole[number]
+            if at_once.any():
+                these = np.ascontiguousarray(rows[:, at_once])
+                a, b, bits = _small_pairs(these, number[at_once], radius, at_least)
+                if nearest and len(a):
+                    row, other, bits = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([bits, bits])
+                    order = np.lexsort((bits, row))
+                    row, other = row[order], other[order]
+                    first = np.concatenate([[True], row[1:] != row[:-1]])
+                    a, b = row[first], other[first]
+                if len(a):
+                    ids = these[0, a], these[0, b]
+                    yield _columns(np.unique(np.stack([np.minimum(*ids), np.maximum(*ids)]), axis=1), "a", "b")
+                k, chunk, role, rows = k[~at_once], chunk[~at_once], role[~at_once], rows[:, ~at_once]
             ends = np.flatnonzero((k[1:] != k[:-1]) | (chunk[1:] != chunk[:-1]) | (role[1:] != role[:-1])) + 1
             for i, j in zip([0, *ends.tolist()], [*ends.tolist(), len(k)], strict=True):
                 if (k[i], chunk[i]) != place:
