@@ -169,7 +169,14 @@ def train(df: DataFrame, labels: DataFrame, settings: Settings = Settings(), key
     """A model of the labelled rows of df, the same for the same rows in any order."""
     table = training_rows(df, labels, settings, key, text).toArrow()
     table = table.sort_by([("key", "ascending"), ("print", "ascending")])
-    lists = lambda c: [None if x is None else np.asarray(x, dtype=np.int64) for x in table.column(c).to_pylist()]
+
+    def lists(name: str) -> list[np.ndarray | None]:
+        """Views of one array: the driver makes no number an object."""
+        column = pa.concat_arrays(table.column(name).chunks) if table.num_rows else pa.array([], pa.list_(pa.int64()))
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+        there = column.is_valid().to_numpy(zero_copy_only=False)
+        return [values[a:b] if ok else None for a, b, ok in zip(ends[:-1], ends[1:], there, strict=True)]
+
     return fit(lists("words"), lists("other"), table.column("label").to_numpy().astype(np.float64), settings)
 
 
