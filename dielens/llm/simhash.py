@@ -211,10 +211,14 @@ def _close(left: np.ndarray, right: np.ndarray, radius: int, at_least: float) ->
     """Bits between rows (id, fp, n, label) that may be linked, 65 where they may not: further
     than the radius, sizes too different, the same label."""
     bits = np.bitwise_count(left[1].view(np.uint64)[:, None] ^ right[1].view(np.uint64)[None, :])
-    sizes, others = left[2].astype(float)[:, None], right[2].astype(float)[None, :]
+    x, y = np.nonzero(bits <= radius)
+    sizes, others = left[2][x].astype(float), right[2][y].astype(float)
     fits = np.minimum(sizes, others) >= at_least * np.maximum(sizes, others) - 1e-9
-    fits &= (bits <= radius) & (left[3][:, None] != right[3][None, :])
-    return np.where(fits, bits, np.uint8(65))
+    fits &= left[3][x] != right[3][y]
+    x, y = x[fits], y[fits]
+    out = np.full(bits.shape, 65, dtype=np.uint8)
+    out[x, y] = bits[x, y]
+    return out
 
 
 #: Groups of so many rows, or fewer, are compared all at once, row by distance in the order.
