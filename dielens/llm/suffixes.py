@@ -221,6 +221,20 @@ def _unpacked(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
+#: Parts of the places of one anchor where they are joined; a bit of a long for each.
+SALTS = 64
+
+
+def _salts_seen() -> Column:
+    return F.expr("bit_or(shiftleft(1L, salt)) as salts")
+
+
+def _by_salt(counted: DataFrame) -> DataFrame:
+    """A row for each salt that its places have, for a join by the salt too."""
+    seen = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("salts", i) == 1)
+    return counted.withColumn("salt", F.explode(seen)).drop("salts")
+
+
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(doc, row, spans): for each text of docs (doc, row, body) that repeats something, its
     runs of windows that also stand elsewhere, each first window << 32 | number."""
@@ -244,18 +258,19 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
             )
 
     places = docs.mapInArrow(cut, f"doc {kind}, row long, start int, count int, anchor long, body long")
-    # held, so that the join reads plain shuffles, which Spark splits where an anchor is hot
+    # what a passage of very many texts brings together is dealt by salt where it meets its counts
+    places = places.withColumn("salt", F.pmod(F.xxhash64("doc", "row", "start"), F.lit(SALTS)).cast("int"))
     busy = hold(
         places.groupBy("anchor")
-        .agg(F.count("*").alias("n"), F.min("body").alias("low"), F.max("body").alias("high"))
+        .agg(F.count("*").alias("n"), F.min("body").alias("low"), F.max("body").alias("high"), _salts_seen())
         .where("n > 1")
-        .select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
+        .select("anchor", (F.col("low") != F.col("high")).alias("mixed"), "salts")
     )
-    shared = hold(places.join(busy, "anchor"))
+    shared = hold(places.join(_by_salt(busy), ["anchor", "salt"]))
     mixed = shared.where("mixed")
     classes = hold(
         mixed.groupBy("anchor", "body").agg(
-            F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("doc", "row", "start", "count")]
+            F.count("*").alias("n"), _salts_seen(), *[F.first(c).alias(c) for c in ("doc", "row", "start", "count")]
         )
     )
     crowds = classes.groupBy("anchor").agg(F.count("*").alias("classes")).where(F.col("classes") > CROWD)
@@ -267,9 +282,9 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     found = hold(_bodies(docs, wanted, length))
     spans = [
         shared.where("not mixed").select("doc", "row", "start", "count"),
-        mixed.join(classes.where("n > 1").select("anchor", "body"), ["anchor", "body"], "left_semi").select(
-            "doc", "row", "start", "count"
-        ),
+        mixed.join(
+            _by_salt(classes.where("n > 1").select("anchor", "body", "salts")), ["anchor", "body", "salt"], "left_semi"
+        ).select("doc", "row", "start", "count"),
         _by_suffixes(found.where("not crowd"), length, "anchor"),
         *_by_parts(found.where("crowd"), length),
     ]
