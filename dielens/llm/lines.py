@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dielens.llm.common import BLANKS, ascii_lower, text_or_empty
+from dielens.plans.hold import hold
 
 
 def line_key(line: Column) -> Column:
@@ -42,7 +43,8 @@ def drop_shared_lines(df: DataFrame, at_least: int = 3, shortest: int = 20, key:
     those names; columns whose names begin with two underscores are not carried.
     """
     row = F.xxhash64(F.col(text))
-    hashed = df.select(F.col(key).alias("doc"), row.alias("row"), _hashes(_lines(text), shortest).alias("hash"))
+    # held, as counts and places both read it: keys are made once
+    hashed = hold(df.select(F.col(key).alias("doc"), row.alias("row"), _hashes(_lines(text), shortest).alias("hash")))
     placed = (
         hashed.select("doc", "row", F.posexplode("hash").alias("place", "hash"))
         .where("hash is not null")
