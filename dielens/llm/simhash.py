@@ -166,9 +166,30 @@ def prefix_size(n: int, at_least: float) -> int:
     return n - math.ceil(at_least * n - 1e-9) + 1 if n else 0
 
 
+#: Cells of a set's bitmap.
+CELLS = 1024
+
+
+def bitmap(hashes: np.ndarray) -> bytes:
+    """For each cell whether an odd number of the hashes fall in it. A hash that only one of two
+    sets has changes one bit, so bitmaps differ in no more bits than the sets in hashes."""
+    odd = np.bincount((hashes % CELLS).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _near_bitmaps(left: np.ndarray, x: np.ndarray, right: np.ndarray, y: np.ndarray, at_least: float) -> np.ndarray:
+    """Whether columns x of left and y of right, (id, fp, n, label, words of the bitmap), may
+    have the similarity by their bitmaps. Two sets that have it differ in few hashes."""
+    most = (1 - at_least) / (1 + at_least) * (left[2][x] + right[2][y]) + 1e-9
+    differ = np.zeros(len(x), dtype=np.int64)
+    for a, b in zip(left[4:].view(np.uint64), right[4:].view(np.uint64), strict=True):
+        differ += np.bitwise_count(a[x] ^ b[y])
+    return differ <= most
+
+
 def marked_rows(df: DataFrame, width: int, at_least: float, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row `key`, `row` (a hash of its text), `fp` as in `fingerprints`, `id`, a hash of
-    its different word shingles, `n`, their number, and `first`, the smallest of them."""
+    its different word shingles, `n`, their number, `first`, the smallest of them, and `bitmap`."""
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1_000_000):
@@ -180,14 +201,14 @@ def marked_rows(df: DataFrame, width: int, at_least: float, key: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"), batch.column("row"), pa.array(bits), pa.array(ids),
-                    pa.array([len(s) for s in sets], pa.int64()), _lists(first),
+                    pa.array([len(s) for s in sets], pa.int64()), _lists(first), pa.array(map(bitmap, sets), pa.binary()),
                 ],
-                names=["key", "row", "fp", "id", "n", "first"],
+                names=["key", "row", "fp", "id", "n", "first", "bitmap"],
             )
 
     kind = df.schema[key].dataType.simpleString()
     chosen = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
-    return chosen.mapInArrow(blocks, f"`key` {kind}, row long, fp long, id long, n long, first array<long>")
+    return chosen.mapInArrow(blocks, f"`key` {kind}, row long, fp long, id long, n long, first array<long>, bitmap binary")
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -209,13 +230,16 @@ def shingle_sets(rows: DataFrame, width: int) -> DataFrame:
 
 def _close(left: np.ndarray, right: np.ndarray, radius: int, at_least: float) -> np.ndarray:
     """Bits between rows (id, fp, n, label) that may be linked, 65 where they may not: further
-    than the radius, sizes too different, the same label."""
+    than the radius, sizes too different, the same label, or bitmaps, if any, too different."""
     bits = np.bitwise_count(left[1].view(np.uint64)[:, None] ^ right[1].view(np.uint64)[None, :])
     x, y = np.nonzero(bits <= radius)
     sizes, others = left[2][x].astype(float), right[2][y].astype(float)
     fits = np.minimum(sizes, others) >= at_least * np.maximum(sizes, others) - 1e-9
     fits &= left[3][x] != right[3][y]
     x, y = x[fits], y[fits]
+    if len(left) > 4:
+        fits = _near_bitmaps(left, x, right, y, at_least)
+        x, y = x[fits], y[fits]
     out = np.full(bits.shape, 65, dtype=np.uint8)
     out[x, y] = bits[x, y]
     return out
@@ -226,8 +250,8 @@ SMALL = 64
 
 
 def _small_pairs(rows: np.ndarray, group: np.ndarray, radius: int, at_least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, bits) of the close pairs of rows (id, fp, n, label) within each group, i < j.
-    Groups are small and numbered in order."""
+    """(i, j, bits) of the pairs of rows (id, fp, n, label) within each group, i < j, that are
+    close as in `_close`. Groups are small and numbered in order."""
     out = [(np.empty(0, dtype=np.int64),) * 3]
     prints, sizes = rows[1].view(np.uint64), rows[2].astype(float)
     for step in range(1, SMALL):
@@ -238,7 +262,11 @@ def _small_pairs(rows: np.ndarray, group: np.ndarray, radius: int, at_least: flo
         bits = np.bitwise_count(prints[i] ^ prints[j])
         fits = (bits <= radius) & (rows[3, i] != rows[3, j])
         fits &= np.minimum(sizes[i], sizes[j]) >= at_least * np.maximum(sizes[i], sizes[j]) - 1e-9
-        out.append((i[fits], j[fits], bits[fits].astype(np.int64)))
+        i, j, bits = i[fits], j[fits], bits[fits]
+        if len(rows) > 4:
+            fits = _near_bitmaps(rows, i, rows, j, at_least)
+            i, j, bits = i[fits], j[fits], bits[fits]
+        out.append((i, j, bits.astype(np.int64)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -253,11 +281,15 @@ def with_partners(postings: DataFrame, radius: int, at_least: float) -> DataFram
         held: list[np.ndarray] = []  # the rows of the last key seen, as its end is not known
 
         def kept(rows: np.ndarray) -> np.ndarray:
-            out = []
-            for a in range(0, rows.shape[1], 1024):
-                own = np.vstack([rows[1:], rows[1:2]])  # each its own label
-                out.append((_close(np.ascontiguousarray(own[:, a : a + 1024]), own, radius, at_least) < 65).any(axis=1))
-            return rows[:, np.concatenate(out)]
+            own = np.vstack([rows[1:], rows[1:2]])  # each its own label
+            near = _close(np.ascontiguousarray(own[:, :SMALL]), own, radius, at_least) < 65
+            met = near.any(axis=0)  # of near copies most meet one of the first rows
+            met[:SMALL] |= near.any(axis=1)
+            left = np.flatnonzero(~met)
+            for a in range(0, len(left), 1024):
+                part = left[a : a + 1024]
+                met[part] = (_close(np.ascontiguousarray(own[:, part]), own, radius, at_least) < 65).any(axis=1)
+            return rows[:, met]
 
         def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             edges = np.concatenate([[0], np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1, [rows.shape[1]]])
@@ -304,20 +336,36 @@ def _columns(rows: np.ndarray, *names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r)) for r in rows], names=list(names))
 
 
+def star_pairs(postings: DataFrame, radius: int, at_least: float) -> DataFrame:
+    """Pairs (a, b), a < b, of each row of postings (`k`, `id`, `fp`, `n`) and the smallest id of
+    its key, where the two are close: as much work as there are rows."""
+    hubs = postings.groupBy("k").agg(F.min(F.struct("id", "fp", "n")).alias("hub"))
+    met = postings.join(hubs, "k").where("id <> hub.id")
+    bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub.fp")))
+    sizes = F.least("n", "hub.n") >= F.lit(at_least) * F.greatest("n", "hub.n") - 1e-9
+    return met.where((bits <= radius) & sizes).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
 def candidate_pairs(postings: DataFrame, radius: int, at_least: float, nearest: bool) -> DataFrame:
     """Pairs (a, b), a < b, of ids that share a key, have different labels and are close, from
-    postings (`k`, `id`, `fp`, `n`, `label`).
+    postings (`k`, `id`, `fp`, `n`, `label`, `bitmap`).
 
     With `nearest`, of each row's pairs in one comparison only the one of fewest bits, so
     there are no more pairs than rows compared. The rows of a large key are dealt to
-    chunks; each chunk meets itself and those before it.
+    chunks; each chunk meets itself and those before it. A key whose rows all have one label is
+    left out before it is dealt.
     """
-    chunks = postings.groupBy("k").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    chunks = (
+        postings.groupBy("k")
+        .agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low < high")
+        .select("k", "chunks")
+    )
     sent = (
         postings.join(chunks, "k")
         .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("mine"))))
-        .select("k", "chunk", (F.col("chunk") < F.col("mine")).cast("int").alias("role"), "id", "fp", "n", "label")
+        .select("k", "chunk", (F.col("chunk") < F.col("mine")).cast("int").alias("role"), "id", "fp", "n", "label", "bitmap")
     )
     placed = sent.repartition("k", "chunk").sortWithinPartitions("k", "chunk", "role")
 
@@ -339,12 +387,14 @@ def candidate_pairs(postings: DataFrame, radius: int, at_least: float, nearest:
                     yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, own = None, np.empty((4, 0), dtype=np.int64)
+        nothing = np.empty((4 + CELLS // 64, 0), dtype=np.int64)
+        place, own = None, nothing
         for batch in batches:
             if not batch.num_rows:
                 continue
             k, chunk, role = (batch.column(i).to_numpy() for i in range(3))
-            rows = np.stack([batch.column(i).to_numpy() for i in range(3, 7)])
+            bitmaps = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=np.int64).reshape(batch.num_rows, -1)
+            rows = np.vstack([*(batch.column(i).to_numpy() for i in range(3, 7)), bitmaps.T])
             # whole small groups of one chunk at once; the others, and the last, which may go on, in turn
             new = np.concatenate([[True], (k[1:] != k[:-1]) | (chunk[1:] != chunk[:-1])])
             sizes = np.diff([*np.flatnonzero(new), len(k)])
@@ -369,7 +419,7 @@ def candidate_pairs(postings: DataFrame, radius: int, at_least: float, nearest:
             ends = np.flatnonzero((k[1:] != k[:-1]) | (chunk[1:] != chunk[:-1]) | (role[1:] != role[:-1])) + 1
             for i, j in zip([0, *ends.tolist()], [*ends.tolist(), len(k)], strict=True):
                 if (k[i], chunk[i]) != place:
-                    place, own = (k[i], chunk[i]), np.empty((4, 0), dtype=np.int64)
+                    place, own = (k[i], chunk[i]), nothing
                 these = np.ascontiguousarray(rows[:, i:j])
                 if role[i] == 0:
                     own = np.concatenate([own, these], axis=1)
@@ -392,34 +442,37 @@ def similar(df: DataFrame, radius: int, at_least: float, width: int, key: str =
     """As `near_duplicates`, linked by Jaccard similarity of the word shingles.
 
     Two sets that are alike share one of their smallest hashes (`prefix_size`), so only texts
-    that do are compared: by fingerprint, and exactly where these are within the radius.
-    First each text is checked against its nearest one in each key, a few rounds with what
-    is not joined yet; then every pair that is left between groups. So a large group of near
-    copies costs few checks and no link is lost. Sets of shingles are made again for texts
+    that do are compared: by fingerprint, where these are within the radius by bitmap, and
+    exactly where that leaves them possible.
+    First each text is checked against the first one of each key, then against its nearest
+    one, a few rounds with what is not joined yet; then every pair that is left between groups.
+    So a large group of near copies costs few checks and no link is lost. Sets of shingles are made again for texts
     with a close one only, never stored for all.
     """
     marked = hold(marked_rows(df, width, at_least, key, text))
     classes = hold(
         marked.groupBy("id").agg(
             F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("first").alias("first"),
-            F.min(F.struct("key", "row")).alias("one"),
+            F.first("bitmap").alias("bitmap"), F.min(F.struct("key", "row")).alias("one"),
         )
     )
     postings = classes.select(F.explode("first").alias("k"), "id", "fp", "n")
-    live = hold(with_partners(postings, radius, at_least))
+    live = hold(with_partners(postings, radius, at_least).join(classes.select("id", "bitmap"), "id"))
     wanted = classes.join(live.select("id").distinct(), "id", "left_semi").select("id", "one.key", "one.row")
     texts = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
     met = texts.join(wanted, texts["key"].eqNullSafe(wanted["key"]) & (texts["row"] == wanted["row"]))
     sets = hold(shingle_sets(met.select("id", "text"), width).dropDuplicates(["id"]))
 
     labelled, checked, links = live.withColumn("label", F.col("id")), None, None
-    for _ in range(ROUNDS):
-        pairs = candidate_pairs(labelled, radius, at_least, True)
+    for turn in range(1 + ROUNDS):
+        pairs = candidate_pairs(labelled, radius, at_least, True) if turn else star_pairs(live, radius, at_least)
         pairs = hold(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"))
         good = hold(alike(pairs, sets, at_least))
         checked = pairs if checked is None else checked.union(pairs)
         if good.isEmpty():
-            break
+            if turn:
+                break
+            continue
         links = good if links is None else links.union(good)
         groups = connected_components(links).withColumnsRenamed({"node": "id", "component": "label"})
         labelled = hold(live.join(groups, "id", "left").withColumn("label", F.coalesce("label", "id")))
