@@ -11,13 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dielens.llm.common import BLANKS, ascii_lower, text_or_empty
+from dielens.llm.common import ascii_lower, text_or_empty
+
+#: What stands for nothing at a line's ends.
+BLANK_CHARACTERS = " \t\n\v\f\r"
 
 
 def line_key(line: Column) -> Column:
-    """The line without blanks at its ends, A-Z in lower case. (`$` would also match before a
-    last line separator of Unicode.)"""
-    return ascii_lower(F.regexp_replace(line, rf"^[{BLANKS}]+|[{BLANKS}]+\z", ""))
+    """The line without blanks at its ends, A-Z in lower case."""
+    bare = F.btrim(line, F.lit(BLANK_CHARACTERS))
+    plain = F.octet_length(bare) == F.char_length(bare)  # of ASCII alone, where `lower` changes A-Z only
+    return F.when(plain, F.lower(bare)).otherwise(ascii_lower(bare))
 
 
 def _lines(text: str) -> Column:
@@ -26,7 +30,8 @@ def _lines(text: str) -> Column:
 
 def _hashes(lines: Column, shortest: int) -> Column:
     """For each line two 64-bit hashes of its key, null for keys that are too short."""
-    key = F.transform(lines, line_key)
+    # a line too short has a key too short
+    key = F.transform(lines, lambda x: F.when(F.char_length(x) >= shortest, line_key(x)))
     pair = lambda k: F.struct(F.xxhash64(k).alias("a"), F.xxhash64(F.lit("line"), k).alias("b"))
     return F.transform(key, lambda k: F.when(F.char_length(k) >= shortest, pair(k)))
 
