@@ -30,6 +30,8 @@ from dielens.plans.hold import hold
 
 #: Words whose ids a task remembers.
 REMEMBERED = 500_000
+#: Most bytes of the queues' places by block that are sent to every executor.
+SENT = 16_000_000
 
 
 class WordIds:
@@ -211,7 +213,11 @@ def pack(
     sums = queued.groupBy("source", "block").agg(F.sum("n").alias("tokens"))
     order = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     ahead = sums.select("source", "block", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("ahead"))
-    totals = {r["source"]: r["n"] for r in sums.groupBy("source").agg(F.sum("tokens").alias("n")).orderBy("source").collect()}
+    by_source = sums.groupBy("source").agg(F.sum("tokens").alias("n"), F.sum(F.octet_length("source") + 32).alias("size"))
+    counted = by_source.orderBy("source").collect()
+    totals = {r["source"]: r["n"] for r in counted}
+    if sum(r["size"] for r in counted) <= SENT:  # or else both sides are dealt by their key
+        ahead = F.broadcast(ahead)
     names = list(totals)
     shares = np.array([(weights or {}).get(s, totals[s]) for s in names], dtype=np.float64)
     if len(shares) and not (shares > 0).all():
