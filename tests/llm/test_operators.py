@@ -2,11 +2,12 @@
 
 import base64
 import math
+import string
 
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql.functions import lit
+from pyspark.sql.functions import col, lit
 
 from dielens.llm import bpe, licenses, lines, lm, packing, quality, queries, simhash, suffixes, toxicity, vectors
 from tests.compare import connect, differences
@@ -311,6 +312,16 @@ def test_lines(spark, edges, empty, small):
     assert sorted((r["doc_id"] or 0, r["n_dropped"]) for r in found) == [(0, 0), (0, 1), (1, 1), (2, 1), (2, 1), (3, 0)]
 
 
+def test_line_keys(spark):
+    """Blanks of ASCII alone go, and A-Z alone are lowered, in lines of any characters."""
+    ends = ["", " ", "\t\x0b\x0c\r ", "\x1c", "\x85", "\u2028", "\xa0", "\0", "é", "😀", "İ"]
+    found = [a + m + b for a in ends for b in ends for m in ("", "Aa Zz", "ÀZ\tK", "ſ 漢 x")]
+    df = spark.createDataFrame([(x,) for x in found], "line string").repartition(2)
+    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    for r in df.select("line", lines.line_key(col("line")).alias("key")).collect():
+        assert r["key"] == r["line"].strip(" \t\n\v\f\r").translate(lower)
+
+
 # --- SimHash --------------------------------------------------------------------------------------
 
 
@@ -380,6 +391,33 @@ def test_pipeline_takes_similar_documents(spark, monkeypatch, chunk):
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in odd) == [(0, 0), (0, 7), (7, 7), (7, 7), (8, 8)]
 
 
+def test_bitmaps_lose_no_link():
+    """Sets around 0.8: bitmaps never differ in more bits than the sets do in hashes, and every
+    pair that is alike stays a candidate."""
+    rng = np.random.default_rng(4)
+    rows, sets = [], []
+    for n in (1, 2, 9, 40, 300, 5000):
+        whole = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+        for cut in (0, 0.05, 0.1, 0.11, 0.12, 0.25, 0.5):
+            sets.append(np.unique(whole[int(cut * n) : int(cut * n) + n]))
+            rows.append([len(rows), 0, len(sets[-1]), len(rows), *np.frombuffer(simhash.bitmap(sets[-1]), dtype=np.int64)])
+    table = np.array(rows, dtype=np.int64).T.copy()
+    left = simhash._close(table, table, 20, 0.8) < 65
+    words = table[4:].view(np.uint64)
+    dropped = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            differ = len(np.setxor1d(a, b))
+            assert np.bitwise_count(words[:, i] ^ words[:, j]).sum() <= differ
+            either = len(np.union1d(a, b))
+            if i != j and either - differ >= 0.8 * either - 1e-9:
+                assert left[i, j]
+            dropped += i != j and not left[i, j]
+    assert dropped > len(sets)
+    found, other, _ = simhash._small_pairs(table[:, :40], np.zeros(40, dtype=int), 20, 0.8)
+    assert {(i, j) for i in range(40) for j in range(i + 1, 40) if left[i, j]} == set(zip(found.tolist(), other.tolist(), strict=True))
+
+
 # --- vectors ----------------------------------------------------------------------------------------
 
 
@@ -422,7 +460,7 @@ def test_recall_on_the_table(spark):
 # --- packing ---------------------------------------------------------------------------------------
 
 
-def test_packing(spark, edges, empty, small):
+def test_packing(spark, edges, empty, small, monkeypatch):
     path = public_tokenizers.path(queries.WORD_TOKENIZER)
     for length in (2048, 64):
         pieces = packing.digest(packing.pack(edges, path, length=length)).collect()
@@ -430,6 +468,10 @@ def test_packing(spark, edges, empty, small):
     pieces = queries.op8_packing(spark, SF).collect()
     brute.check_packing([p.asDict() for p in pieces], brute.packed_ids(small, path))
     assert packing.pack(empty, path).count() == 0
+    near = sorted(map(tuple, packing.digest(packing.pack(edges, path)).collect()))
+    with monkeypatch.context() as m:
+        m.setattr(packing, "SENT", 0)
+        assert sorted(map(tuple, packing.digest(packing.pack(edges, path)).collect())) == near
     assert sum(p["length"] for p in packing.pack(nulls_and_repeats(spark).withColumn("source", lit(None)), path).collect()) > 0
 
 
