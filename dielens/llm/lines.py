@@ -15,6 +15,8 @@ from dielens.llm.common import ascii_lower, text_or_empty
 
 #: What stands for nothing at a line's ends.
 BLANK_CHARACTERS = " \t\n\v\f\r"
+#: Parts that the places of a line are dealt to.
+SALTS = 32
 
 
 def line_key(line: Column) -> Column:
@@ -51,17 +53,22 @@ def drop_shared_lines(df: DataFrame, at_least: int = 3, shortest: int = 20, key:
     placed = (
         hashed.select("doc", "row", F.posexplode("hash").alias("place", "hash"))
         .where("hash is not null")
-        .select("doc", "row", "place", "hash.a", "hash.b")
+        .select("doc", "row", "place", "hash.a", "hash.b", F.pmod(F.xxhash64("doc", "row"), F.lit(SALTS)).cast("int").alias("salt"))
     )
-    # a hot line is combined before each shuffle, and Spark can split its side of the join
+    # a hot line is combined before its shuffle; its places meet it in as many parts as hold one
     shared = (
         placed.groupBy("a", "b")
-        .agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("last"))
+        .agg(
+            F.count_distinct("doc").alias("n"), F.max("doc").alias("last"),
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))).alias("salts"),
+        )
         .where(F.col("n") >= at_least)
-        .drop("n")
-    )
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .where(F.getbit("salts", F.col("salt")) == 1)
+        .select("a", "b", "salt", "last")
+    )
     gone = (
-        placed.join(shared, ["a", "b"])
+        placed.join(shared, ["a", "b", "salt"])
         .where(~F.col("doc").eqNullSafe(F.col("last")))
         .groupBy("doc", "row")
         .agg(F.collect_set("place").alias("gone"))
