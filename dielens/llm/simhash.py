@@ -228,9 +228,16 @@ def shingle_sets(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(blocks, "id long, shingles array<long>")
 
 
+#: Rows compared with all others in one step.
+AT_ONCE = 64
+
+
 def _close(left: np.ndarray, right: np.ndarray, radius: int, at_least: float) -> np.ndarray:
     """Bits between rows (id, fp, n, label) that may be linked, 65 where they may not: further
     than the radius, sizes too different, the same label, or bitmaps, if any, too different."""
+    if left.shape[1] > AT_ONCE:  # what is made on the way has a bounded size
+        parts = [np.ascontiguousarray(left[:, i : i + AT_ONCE]) for i in range(0, left.shape[1], AT_ONCE)]
+        return np.concatenate([_close(part, right, radius, at_least) for part in parts])
     bits = np.bitwise_count(left[1].view(np.uint64)[:, None] ^ right[1].view(np.uint64)[None, :])
     x, y = np.nonzero(bits <= radius)
     sizes, others = left[2][x].astype(float), right[2][y].astype(float)
