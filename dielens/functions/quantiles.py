@@ -25,6 +25,8 @@ CELLS_PER_LOG_UNIT = 1024
 FEW = 4096
 #: Steps a cell is cut into, and how often.
 STEPS, CUTS = 4096, 2
+#: The key of rows that are one group.
+_ALL = "_all"
 
 
 def lattice_cell(value: Column) -> Column:
@@ -42,7 +44,7 @@ def _cell(value: Column) -> Column:
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """``_k`` (a struct of the keys), ``_v``, ``_n``: rows for each value, NULL for those that
     do not count (NULL, NaN, infinite)."""
-    key = F.struct(*[named(k) for k in keys]) if keys else F.struct(F.lit(1).alias("_all"))
+    key = F.struct(*[named(k) for k in keys]) if keys else F.struct(F.lit(1).alias(_ALL))
     rows = df.select(key.alias("_k"), finite(named(value).cast("double")).alias("_v"))
     return rows.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
 
@@ -75,6 +77,14 @@ def _hit(cells: DataFrame, ranks: Sequence[Column]) -> DataFrame:
     return cells.where(reduce(lambda a, b: a | b, inside, F.col("_total") == 0))
 
 
+def _met(counts: DataFrame, hits: DataFrame) -> DataFrame:
+    """Counts in the cells hit. Only the hits are ever the side held in memory: the size of held
+    counts is guessed from their files, which are packed many times smaller than their rows, and
+    Spark would send all of them through the driver."""
+    one_group = counts.schema["_k"].dataType.names == [_ALL]
+    return counts.join(F.broadcast(hits) if one_group else hits.hint("shuffle_hash"), ["_k", "_cell"])
+
+
 def _inside(met: DataFrame) -> DataFrame:
     """Values within their stretch, and the empty groups. Without these Spark would move
     "is not NULL" below the counts of this use only, and count the rows for each use anew."""
@@ -115,7 +125,7 @@ def cells_with_ranks(
         ready.append(hits.where(F.col("_values") <= few))
         large = hits.where(F.col("_values") > few).drop("_in_cell", "_values")
         step = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * STEPS)
-        cut = _inside(counts.join(large, ["_k", "_cell"]))
+        cut = _inside(_met(counts, large))
         place = ["_k", "_cell", "_from"]
         steps = (
             cut.withColumns({"_from": F.col("_lo"), "_step": F.least(step, F.lit(STEPS - 1).cast("bigint"))})
@@ -152,7 +162,7 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], w
         Window.unboundedPreceding, Window.currentRow
     )
     placed = (
-        _inside(counts.join(small, ["_k", "_cell"]))
+        _inside(_met(counts, small))
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )

@@ -291,4 +291,5 @@ def full_die_map(stacked: DataFrame) -> DataFrame:
     )
     values = stacked.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return complete.join(values, same, "left").drop(*[f"_{k}" for k in keys])
+    # Sorted and merged: a held map's files are far smaller than its rows, too many for the driver.
+    return complete.join(values.hint("merge"), same, "left").drop(*[f"_{k}" for k in keys])

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dielens.plans.methods import compiled_methods
 from dielens.spec import ProbeSpec, resolve_spec
 
 
@@ -74,6 +75,7 @@ EXTRA_REGISTERS = (
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table; one from fewer splits than cores is spread over all of them."""
+    compiled_methods(spark)
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -15,6 +15,7 @@ from dielens.operators.clusters import SEED, fit_and_label
 from dielens.operators.labelling import StoredModel, score_models, split_labelled
 from dielens.operators.level2 import level2_merge, level2_split
 from dielens.plans.hold import hold, keeping
+from dielens.plans.methods import compiled_methods
 from dielens.plans.stages import Stages
 from dielens.sources import tables
 from dielens.sources.sinks import Result
@@ -132,6 +133,7 @@ def analyse(
     With ``stages`` in a folder a broken or repeated analysis takes up the stages that are
     there: the registers chosen, the clean dies, the cluster labels and the stacked maps.
     """
+    compiled_methods(raw.sparkSession)
     stages = stages or Stages(raw.sparkSession)
     with keeping() as held:
         def select() -> dict:

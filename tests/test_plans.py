@@ -2,9 +2,10 @@
 
 import pytest
 
+from dielens.functions import quantiles
 from dielens.operators import outputs, stacked
 from dielens.plans import queries
-from dielens.plans.dies import die_spec, die_table
+from dielens.plans.dies import die_spec, die_table, load
 from dielens.plans.hold import hold, shared_folder, written
 from dielens.sources import tables
 from tests.conftest import SF_SMALL
@@ -74,3 +75,34 @@ def test_known_modes_repeat_for_every_model(spark):
     counts = {(r["model"], r["cluster"]): r["count"] for r in maps.groupBy("model", "cluster").count().collect()}
     assert counts[("kmeans", "HighQ")] == counts[("gmm", "HighQ")] > 0
     assert {m for m, _ in counts} == set(queries.MODELS)
+
+
+def test_held_counts_do_not_reach_the_driver(spark, tmp_path):
+    rows = spark.range(40000).selectExpr("id % 4000 g", "cast(id % 7 as double) v")
+    counts = written(quantiles.value_counts(rows, ["g"], "v"), str(tmp_path))  # files far below the broadcast limit
+    text = plan(quantiles.quantiles_of_counts(counts, {"mid": 0.5}))
+    assert "ShuffledHashJoin" in text and "Broadcast" not in text
+    one = quantiles.value_counts(rows, [], "v")
+    assert "BroadcastHashJoin" in plan(quantiles.quantiles_of_counts(one, {"mid": 0.5}))
+    found = quantiles.exact_quantiles(rows, ["g"], "v", {"mid": 0.5}, with_stats=True)
+    assert found.count() == 4000 and found.where("n_values != 10").isEmpty()
+
+
+def test_a_held_map_does_not_reach_the_driver(spark, tmp_path):
+    names = "FAB string, DESIGN_ID string, DieX int, DieY int, model string, cluster string, stacked_item string, median_value double"
+    rows = [("10", "Z", 1, 1, "m", "c1", "i", 1.0), ("10", "Z", None, 2, "m", "c2", "i", 2.0)]
+    full = stacked.full_die_map(written(spark.createDataFrame(rows, names), str(tmp_path)))
+    assert "SortMergeJoin" in plan(full) and "BroadcastHashJoin" not in plan(full)
+    found = {(r["DieX"], r["DieY"], r["cluster"]): r["median_value"] for r in full.collect()}
+    assert found == {(1, 1, "c1"): 1.0, (1, 1, "c2"): None, (None, 2, "c1"): None, (None, 2, "c2"): 2.0}
+
+
+def test_die_stages_have_methods_the_jvm_compiles(spark):
+    limit, given = "spark.sql.codegen.hugeMethodLimit", "7000"
+    spark.conf.unset(limit)
+    load(spark, SF_SMALL, "lineitem")
+    assert spark.conf.get(limit) == "8000"
+    spark.conf.set(limit, given)  # a user's own limit stays
+    load(spark, SF_SMALL, "lineitem")
+    assert spark.conf.get(limit) == given
+    spark.conf.unset(limit)
