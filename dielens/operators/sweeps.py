@@ -12,12 +12,13 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -162,12 +163,36 @@ def _batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
     for batch in stream:
         if not batch.num_rows:
             continue
+        if batch.num_columns == 3:  # packed
+            for group, width, block in zip(*(batch.column(i) for i in range(3)), strict=True):
+                yield group.as_py(), np.frombuffer(block.as_buffer(), dtype=np.float64).reshape(-1, width.as_py())
+            continue
         groups = batch.column(0).to_numpy(zero_copy_only=False)
         values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
         for group in np.unique(groups):
             yield int(group), values[groups == group]
 
 
+@contextmanager
+def _packed(points: DataFrame) -> Iterator[DataFrame]:
+    """The points as blocks of one group's rows, kept for the block: each of the many jobs of a
+    sweep reads bytes, where single rows would be turned into Arrow arrays every time. Blocks are
+    the batches the rows come in, so all sums stay the same."""
+
+    def pack(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in _batches(stream):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group], pa.int32()), pa.array([rows.shape[1]], pa.int32()), pa.array([rows.tobytes()], pa.binary())],
+                [GROUP, "_width", "_rows"],
+            )
+
+    held = points.mapInArrow(pack, f"{GROUP} int, _width int, _rows binary").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def _add_up(points: DataFrame, fold: Callable[[int, np.ndarray], Iterator[tuple[int, np.ndarray]]]) -> dict:
     """One job: per-model sums of ``fold`` over all rows, added up across tasks by Spark."""
 
@@ -201,6 +226,13 @@ def kmeans_sweep(
     max_iter: int = 20, tol: float = 1e-4,
 ) -> list[KMeansFit]:
     """Lloyd's k-means for every (group, k) wanted, one job per iteration."""
+    with _packed(points) as blocks:
+        return _kmeans_fits(blocks, wanted, sizes, seed, max_iter, tol)
+
+
+def _kmeans_fits(
+    points: DataFrame, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int, max_iter: int, tol: float
+) -> list[KMeansFit]:
     seeds = seed_candidates(points, DRAWN_PER_CENTRE * max(k for _, k in wanted), seed)
     centres = {i: _spread_centres(seeds[g], k, np.random.default_rng([seed, g, k])) for i, (g, k) in enumerate(wanted)}
     width = len(next(iter(centres.values()))[0])
@@ -324,6 +356,13 @@ def mixture_sweep(
     A model stops when its mean log likelihood gains less than ``tol``; the loop ends
     when all have. k = 1 is exact after its first step.
     """
+    with _packed(points) as blocks:
+        return _mixture_fits(blocks, wanted, sizes, seed, max_iter, tol)
+
+
+def _mixture_fits(
+    points: DataFrame, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int, max_iter: int, tol: float
+) -> list[MixtureFit]:
     seeds = seed_candidates(points, DRAWN_PER_CENTRE * max(k for _, k in wanted), seed)
     fits = [_first_mixture(g, k, seeds[g], np.random.default_rng([seed, g, k])) for g, k in wanted]
     origin = {g: np.average(s.rows, axis=0, weights=s.weights) for g, s in seeds.items()}

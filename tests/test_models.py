@@ -300,3 +300,18 @@ def test_gram_of_many_columns_in_one_scan(spark):
     found = {(r["column_a"], r["column_b"]): r["covariance"] for r in transform.covariance_matrix(df, ["c0", "c1", "c3"]).collect()}
     want = frame[["c0", "c1", "c3"]].cov()
     assert found == {k: pytest.approx(want.loc[k], abs=1e-9) for k in found} and len(found) == 6
+
+
+def test_sweeps_read_blocks_of_all_rows(spark):
+    rows = [(i % 3, [float(i), float(i * i % 7)]) for i in range(500)] + [(1, [3.0, 4.0])] * 5
+    points = spark.createDataFrame(rows, "g int, x array<double>").repartition(4)
+    points = sweeps.grouped_points(points, F.col("g"), F.col("x"))
+    with sweeps._packed(points) as blocks:
+        assert blocks.columns == [sweeps.GROUP, "_width", "_rows"] and blocks.count() < 100
+        fold = lambda group, values: iter([(group, np.append(values.sum(0), len(values)))])
+        plain, packed = sweeps._add_up(points, fold), sweeps._add_up(blocks, fold)
+    assert {g: v.tolist() for g, v in plain.items()} == {g: v.tolist() for g, v in packed.items()}
+    assert sum(v[-1] for v in packed.values()) == 505
+    empty = sweeps.grouped_points(spark.createDataFrame([], "g int, x array<double>"), F.col("g"), F.col("x"))
+    with sweeps._packed(empty) as blocks:
+        assert blocks.isEmpty()
