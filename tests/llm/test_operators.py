@@ -628,3 +628,17 @@ def test_pipeline_of_a_whole_table(spark):
     ids = brute.packed_ids(kept, public_tokenizers.path(queries.WORD_TOKENIZER))
     brute.check_packing([r.asDict() for r in corpus_pipeline.pack(spark, docs, SF).collect()], ids)
     assert 0 < len(kept) < 200
+
+
+def test_toxicity_training_takes_few_bytes_a_feature():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 2**32, 5000)
+    words = [np.unique(rng.choice(pool, 400)) for _ in range(500)]
+    others = [w if i % 2 else None for i, w in enumerate(words)]
+    tracemalloc.start()
+    model = toxicity.fit(words, others, np.arange(500) % 3 == 0, toxicity.Settings(steps=3))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.trained and most < 38 * sum(map(len, words))  # 45 with eight bytes for each number
