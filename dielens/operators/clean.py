@@ -72,9 +72,9 @@ def count_failed(df: DataFrame, measured: Sequence[str]) -> DataFrame:
 def to_numbers(df: DataFrame, measured: Sequence[str]) -> DataFrame:
     """Register text to doubles in one projection; text that is no finite number becomes NULL."""
     wanted = set(measured)
-    return df.select(
-        *[finite(named(c).try_cast("double")).alias(c) if c in wanted else named(c) for c in df.columns]
-    )
+    # Parsed in a projection of its own: each text is read once, not for the test and for the value.
+    parsed = df.select(*[named(c).try_cast("double").alias(c) if c in wanted else named(c) for c in df.columns])
+    return parsed.select(*[finite(named(c)).alias(c) if c in wanted else named(c) for c in df.columns])
 
 
 def prepare_rows(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,11 +94,9 @@ def differenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registers.dependent_difference(cleaned(spark, sf_dir), SPEC)[0]
 
 
-def held_dies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean numeric columns, kept for queries that read them in several jobs."""
-    columns = [*ROW, "FAB", "DESIGN_ID", "LOT_ID", "WAFER_ID", "lot_wafer", "DieX", "DieY", "FBD_REGION", "BIN_BIT"]
-    dies = differenced(spark, sf_dir)
-    return hold(dies.select(*columns, *[named(c) for c in (*CLUSTER_COLUMNS, "BITK_V_ALL")]))
+def held_dies(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """The clean numeric columns asked for, kept for queries that read them in several jobs."""
+    return hold(differenced(spark, sf_dir).select(*[named(c) for c in (*ROW, *columns)]))
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,9 +117,9 @@ def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def components(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Scaled principal components of the clean dies, as the cluster sweeps use them."""
-    scaled = transform.standard_scale(held_dies(spark, sf_dir), CLUSTER_COLUMNS)
+    scaled = transform.standard_scale(held_dies(spark, sf_dir, CLUSTER_COLUMNS), CLUSTER_COLUMNS)
     out, found = transform.pca_scores(scaled, [transform.norm_name(c) for c in CLUSTER_COLUMNS])
-    return out.select(*ROW, "LOT_ID", "WAFER_ID", *[named(c) for c in CLUSTER_COLUMNS], *found.columns), list(found.columns)
+    return out.select(*ROW, *[named(c) for c in CLUSTER_COLUMNS], *found.columns), list(found.columns)
 
 
 # --- sources ---------------------------------------------------------------------------
@@ -317,7 +315,7 @@ def cbrt_transform(spark, sf_dir):
 @query
 def standard_scale(spark, sf_dir):
     columns = [*CLUSTER_COLUMNS, "BITK_V_ALL"]
-    dies = transform.standard_scale(held_dies(spark, sf_dir), columns)
+    dies = transform.standard_scale(held_dies(spark, sf_dir, columns), columns)
     return comparable(dies.select(*ROW, *[named(transform.norm_name(c)) for c in columns]))
 
 
@@ -335,7 +333,7 @@ def pca_scores(spark, sf_dir):
 @query
 def pca_by_share(spark, sf_dir):
     columns = list(CLUSTER_COLUMNS)
-    dies, found = transform.pca_by_share(held_dies(spark, sf_dir), columns, 0.9)
+    dies, found = transform.pca_by_share(held_dies(spark, sf_dir, columns), columns, 0.9)
     return dies.select(*ROW, *found.columns)
 
 
@@ -439,7 +437,7 @@ def bisecting_labels(spark, sf_dir):
 @query
 def cluster_dies(spark, sf_dir):
     """Both cluster models of the clean dies, level 2 included."""
-    return end_to_end.cluster_dies(held_dies(spark, sf_dir), CLUSTER_COLUMNS).select(*ROW, *MODELS)
+    return end_to_end.cluster_dies(held_dies(spark, sf_dir, CLUSTER_COLUMNS), CLUSTER_COLUMNS).select(*ROW, *MODELS)
 
 
 # --- given models -----------------------------------------------------------------------
@@ -517,14 +515,15 @@ def cluster_top_features(spark, sf_dir):
 
 @query
 def level2_split(spark, sf_dir):
-    held = held_dies(spark, sf_dir).withColumn("cluster", F.expr(RULE_CLUSTER))
+    held = held_dies(spark, sf_dir, ["BIN_BIT", *CLUSTER_COLUMNS]).withColumn("cluster", F.expr(RULE_CLUSTER))
     dies = level2.level2_split(held, "cluster", CLUSTER_COLUMNS, sample_columns=ROW)
     return dies.select(*ROW, "cluster", "Subgroup")
 
 
 def subgroups(spark, sf_dir) -> DataFrame:
     """Rule-made subgroups: the cluster and the wafer zone."""
-    dies = held_dies(spark, sf_dir).withColumn("cluster", F.expr(RULE_CLUSTER))
+    held = held_dies(spark, sf_dir, ["BIN_BIT", "FBD_REGION", *CLUSTER_COLUMNS, "BITK_V_ALL"])
+    dies = held.withColumn("cluster", F.expr(RULE_CLUSTER))
     return dies.withColumn("Subgroup", F.concat("cluster", F.lit("-"), "FBD_REGION"))
 
 
@@ -553,7 +552,8 @@ def level2_merge(spark, sf_dir):
 @query
 def score_models(spark, sf_dir):
     """Forests trained on rule-made flags, then scored; one model lacks a feature."""
-    dies = held_dies(spark, sf_dir).withColumn("FBD_REGION", scalars.zone_code(F.col("FBD_REGION")))
+    held = held_dies(spark, sf_dir, ["FBD_REGION", *CLUSTER_COLUMNS])
+    dies = held.withColumn("FBD_REGION", scalars.zone_code(F.col("FBD_REGION")))
     wanted = {"HighQ": ["BITQ_V-t_ALL", "FBD_REGION"], "HighP": ["BITP_V-t_ALL", "BITD_V_ALL"]}
     models = [labelling.train_mode(dies, m, f, F.expr(MODES[m])) for m, f in wanted.items()]
     missing = labelling.StoredModel("Unknown", ("BITZ_V_ALL",), models[0].model)
@@ -709,22 +709,24 @@ def pair_points(spark, sf_dir):
 
 # --- wafers ----------------------------------------------------------------------------
 
+WAFER_COLUMNS = ("FAB", "DESIGN_ID", "LOT_ID", "WAFER_ID", "DieX", "DieY", "BITP_V-t_ALL", VALUE)
+
 
 @query
 def wafer_grid(spark, sf_dir):
-    return comparable(wafers.wafer_grid(held_dies(spark, sf_dir), VALUE, ORDER, ("FAB", "DESIGN_ID")))
+    return comparable(wafers.wafer_grid(held_dies(spark, sf_dir, WAFER_COLUMNS), VALUE, ORDER, ("FAB", "DESIGN_ID")))
 
 
 @query
 def minmax_q97(spark, sf_dir):
-    dies = held_dies(spark, sf_dir)
+    dies = held_dies(spark, sf_dir, [VALUE])
     scaled = wafers.minmax_scale(dies, VALUE, wafers.value_range(dies, VALUE))
     return comparable(scaled.select(*ROW, "scaled"))
 
 
 @query
 def equalise_levels(spark, sf_dir):
-    dies = held_dies(spark, sf_dir)
+    dies = held_dies(spark, sf_dir, ["LOT_ID", "WAFER_ID", VALUE])
     scaled = wafers.minmax_scale(dies, VALUE, wafers.value_range(dies, VALUE))
     return comparable(wafers.equalise_levels(scaled).select(*ROW, "LOT_ID", "WAFER_ID", "level", "equalised"))
 
@@ -736,6 +738,6 @@ def wafer_top_register(spark, sf_dir):
 
 @query
 def wafer_clusters(spark, sf_dir):
-    dies = held_dies(spark, sf_dir)
+    dies = held_dies(spark, sf_dir, WAFER_COLUMNS)
     labelled = wafers.wafer_clusters(dies, VALUE, ORDER, "wafer_cluster")
     return labelled.select(*ROW, "LOT_ID", "WAFER_ID", "wafer_cluster")

@@ -1,10 +1,11 @@
 """Plans: what reaches the reader, and what must not appear."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from dielens.functions import quantiles
-from dielens.operators import outputs, stacked
-from dielens.plans import queries
+from dielens.operators import clean, outputs, stacked
+from dielens.plans import dies, queries
 from dielens.plans.dies import die_spec, die_table, load
 from dielens.plans.hold import hold, shared_folder, written
 from dielens.sources import tables
@@ -106,3 +107,24 @@ def test_die_stages_have_methods_the_jvm_compiles(spark):
     load(spark, SF_SMALL, "lineitem")
     assert spark.conf.get(limit) == given
     spark.conf.unset(limit)
+
+
+def test_die_texts_need_no_decimals(spark):
+    odd = [None, 0.0, -0.0, 0.005, -0.005, 1.005, 2.675, -0.004, -0.4, 7.000000000000001, -3.0, 1e9 + 0.25, 1e10, 9999999999.99, 123.455]
+    rows = spark.createDataFrame([(v,) for v in odd], "x double").withColumn("n", F.expr("cast(x as bigint)"))
+    same = rows.selectExpr(
+        f"{dies._double_text('x')} <=> {dies._text('x')} as doubles", f"{dies._whole_text('n')} <=> {dies._text('n')} as wholes"
+    )
+    assert same.where("not doubles or not wholes").isEmpty()
+    clear = rows.where("x = -3").selectExpr(f"{dies._double_text('x')} as t")
+    assert clear.first()["t"] == "-3.00"
+    quick = [dies.spark_expression(n) for n in dies.DIE_EXPRESSIONS if n.startswith(("BIT", "__")) and n not in ("BIN_BIT", "BITK_V_ALL")]
+    assert len(quick) == 12 and all(q not in dies.DIE_EXPRESSIONS.values() for q in quick)
+
+
+def test_registers_are_parsed_once_and_only_what_is_asked_is_held(spark):
+    held = queries.held_dies(spark, SF_SMALL, ["BITD_V_ALL"])
+    assert held.columns == [*queries.ROW, "BITD_V_ALL"]
+    numbers = clean.to_numbers(spark.createDataFrame([("1.5",), ("NaN",), ("x",)], "r string"), ["r"])
+    assert plan(numbers).count("try_cast(r#") == 1
+    assert [r["r"] for r in numbers.collect()] == [1.5, None, None]
