@@ -110,9 +110,10 @@ def cluster_item_stats(df: DataFrame, cluster: Cluster, items: Sequence[str]) ->
     """Per group and item: non-null count, max, min, mean and median; an item that is all
     NULL has count 0.
 
-    One long form and one pre-aggregation serve all five.
+    One long form and one pre-aggregation serve all five. The counts are held (an action where a
+    shared folder is set): they are read for every step to a median, and Spark may count anew.
     """
-    return _item_stats(item_counts(df, cluster, items), cluster)
+    return _item_stats(hold(item_counts(df, cluster, items)), cluster)
 
 
 def cluster_impact(df: DataFrame, cluster: Cluster, stack: Stack, totals: DataFrame) -> DataFrame:
@@ -148,8 +149,8 @@ def _die_medians(counts: DataFrame, cluster: Cluster) -> DataFrame:
 
 def stacked_die_median(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:
     """(DieX, DieY, FAB, DESIGN_ID, cluster, stacked_item, median_value); NULL where a position
-    has no value of an item."""
-    return _die_medians(item_counts(df, cluster, items, POSITION), cluster)
+    has no value of an item. The counts are held, as in ``cluster_item_stats``."""
+    return _die_medians(hold(item_counts(df, cluster, items, POSITION)), cluster)
 
 
 def die_medians(df: DataFrame, cluster: Cluster, items: Sequence[str]) -> DataFrame:

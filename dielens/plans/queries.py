@@ -47,6 +47,12 @@ LOTS = ("L3", "L17", "L21", "L3")
 MODES = {"HighQ": "`BITQ_V-t_ALL` > 45", "HighP": "`BITP_V-t_ALL` > 90"}
 MODELS = ("kmeans", "gmm")
 STACK = stacked.Stack.of(CLUSTER_COLUMNS, "__rdV", "rdV")
+STACKED_COLUMNS = ("FAB", "DESIGN_ID", *stacked.POSITION, "lot_wafer", "TOTAL_DIE", "__rdV", *CLUSTER_COLUMNS)
+HELD_COLUMNS = (
+    *("FAB", "DESIGN_ID", "LOT_ID", "WAFER_ID", "lot_wafer", *stacked.POSITION, "FBD_REGION", "BIN_BIT"),
+    *CLUSTER_COLUMNS,
+    "BITK_V_ALL",
+)
 VALUE = "BITQ_V-t_ALL"
 ORDER = ("src_order", "src_line", "FID", "BITP_V-t_ALL", VALUE)
 CENTRES = ((5.0, 10.0, 2.0), (20.0, 40.0, 5.0), (45.0, 80.0, 8.0))
@@ -94,8 +100,12 @@ def differenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registers.dependent_difference(cleaned(spark, sf_dir), SPEC)[0]
 
 
-def held_dies(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
-    """The clean numeric columns asked for, kept for queries that read them in several jobs."""
+def held_dies(spark: SparkSession, sf_dir: str, columns: Sequence[str] = HELD_COLUMNS) -> DataFrame:
+    """The clean numeric columns asked for, kept for queries that read them in several jobs.
+
+    Fits of Spark ML depend on the layout of their rows, which goes by the size of the files, so
+    the queries that fit hold the same columns.
+    """
     return hold(differenced(spark, sf_dir).select(*[named(c) for c in (*ROW, *columns)]))
 
 
@@ -111,13 +121,18 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumns({"kmeans": F.col("cluster"), "gmm": second, **flags})
 
 
+def held_columns(df: DataFrame, *more: str) -> DataFrame:
+    """What a stacked map reads, kept: totals, wafers and values each take a scan or more."""
+    return hold(df.select(*[named(c) for c in (*STACKED_COLUMNS, *more)]))
+
+
 def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return labelling.split_labelled(flagged(spark, sf_dir), list(MODES))
 
 
-def components(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+def components(spark: SparkSession, sf_dir: str, held: Sequence[str] = HELD_COLUMNS) -> tuple[DataFrame, list[str]]:
     """Scaled principal components of the clean dies, as the cluster sweeps use them."""
-    scaled = transform.standard_scale(held_dies(spark, sf_dir, CLUSTER_COLUMNS), CLUSTER_COLUMNS)
+    scaled = transform.standard_scale(held_dies(spark, sf_dir, held), CLUSTER_COLUMNS)
     out, found = transform.pca_scores(scaled, [transform.norm_name(c) for c in CLUSTER_COLUMNS])
     return out.select(*ROW, *[named(c) for c in CLUSTER_COLUMNS], *found.columns), list(found.columns)
 
@@ -326,7 +341,7 @@ def covariance_matrix(spark, sf_dir):
 
 @query
 def pca_scores(spark, sf_dir):
-    df, names = components(spark, sf_dir)
+    df, names = components(spark, sf_dir, CLUSTER_COLUMNS)
     return df.select(*ROW, *names)
 
 
@@ -437,7 +452,7 @@ def bisecting_labels(spark, sf_dir):
 @query
 def cluster_dies(spark, sf_dir):
     """Both cluster models of the clean dies, level 2 included."""
-    return end_to_end.cluster_dies(held_dies(spark, sf_dir, CLUSTER_COLUMNS), CLUSTER_COLUMNS).select(*ROW, *MODELS)
+    return end_to_end.cluster_dies(held_dies(spark, sf_dir), CLUSTER_COLUMNS).select(*ROW, *MODELS)
 
 
 # --- given models -----------------------------------------------------------------------
@@ -515,7 +530,7 @@ def cluster_top_features(spark, sf_dir):
 
 @query
 def level2_split(spark, sf_dir):
-    held = held_dies(spark, sf_dir, ["BIN_BIT", *CLUSTER_COLUMNS]).withColumn("cluster", F.expr(RULE_CLUSTER))
+    held = held_dies(spark, sf_dir).withColumn("cluster", F.expr(RULE_CLUSTER))
     dies = level2.level2_split(held, "cluster", CLUSTER_COLUMNS, sample_columns=ROW)
     return dies.select(*ROW, "cluster", "Subgroup")
 
@@ -552,8 +567,7 @@ def level2_merge(spark, sf_dir):
 @query
 def score_models(spark, sf_dir):
     """Forests trained on rule-made flags, then scored; one model lacks a feature."""
-    held = held_dies(spark, sf_dir, ["FBD_REGION", *CLUSTER_COLUMNS])
-    dies = held.withColumn("FBD_REGION", scalars.zone_code(F.col("FBD_REGION")))
+    dies = held_dies(spark, sf_dir).withColumn("FBD_REGION", scalars.zone_code(F.col("FBD_REGION")))
     wanted = {"HighQ": ["BITQ_V-t_ALL", "FBD_REGION"], "HighP": ["BITP_V-t_ALL", "BITD_V_ALL"]}
     models = [labelling.train_mode(dies, m, f, F.expr(MODES[m])) for m, f in wanted.items()]
     missing = labelling.StoredModel("Unknown", ("BITZ_V_ALL",), models[0].model)
@@ -589,7 +603,8 @@ def cluster_item_stats(spark, sf_dir):
 
 @query
 def cluster_impact(spark, sf_dir):
-    dies = clustered(spark, sf_dir).withColumn("BIN_BIT", scalars.bin_indicator("A", "Fail_bin"))
+    binary = clustered(spark, sf_dir).withColumn("BIN_BIT", scalars.bin_indicator("A", "Fail_bin"))
+    dies = held_columns(binary, "BIN_BIT", "cluster")
     stack = stacked.Stack.of(CLUSTER_COLUMNS, "BIN_BIT", "A", "BIN_BIT")
     return comparable(stacked.cluster_impact(dies, "cluster", stack, stacked.die_totals(dies)))
 
@@ -601,19 +616,19 @@ def stacked_die_median(spark, sf_dir):
 
 @query
 def stacked_map(spark, sf_dir):
-    dies = clustered(spark, sf_dir)
+    dies = held_columns(clustered(spark, sf_dir), "cluster")
     return comparable(stacked.stacked_map(dies, "cluster", STACK, stacked.die_totals(dies)))
 
 
 @query
 def stacked_map_labelled(spark, sf_dir):
-    labelled, rest = split(spark, sf_dir)
+    labelled, rest = labelling.split_labelled(held_columns(flagged(spark, sf_dir), *MODELS, *MODES), list(MODES))
     return comparable(stacked.stacked_maps(rest, MODELS, STACK, labelled, list(MODES)))
 
 
 def both_models(spark, sf_dir) -> DataFrame:
     """Held, because the complete grid reads it three times; one row per position and layer."""
-    return hold(stacked.stacked_maps(flagged(spark, sf_dir), MODELS, STACK))
+    return hold(stacked.stacked_maps(held_columns(flagged(spark, sf_dir), *MODELS), MODELS, STACK))
 
 
 @query
@@ -738,6 +753,6 @@ def wafer_top_register(spark, sf_dir):
 
 @query
 def wafer_clusters(spark, sf_dir):
-    dies = held_dies(spark, sf_dir, WAFER_COLUMNS)
+    dies = held_dies(spark, sf_dir)
     labelled = wafers.wafer_clusters(dies, VALUE, ORDER, "wafer_cluster")
     return labelled.select(*ROW, "LOT_ID", "WAFER_ID", "wafer_cluster")

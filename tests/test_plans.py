@@ -128,3 +128,11 @@ def test_registers_are_parsed_once_and_only_what_is_asked_is_held(spark):
     numbers = clean.to_numbers(spark.createDataFrame([("1.5",), ("NaN",), ("x",)], "r string"), ["r"])
     assert plan(numbers).count("try_cast(r#") == 1
     assert [r["r"] for r in numbers.collect()] == [1.5, None, None]
+
+
+@pytest.mark.parametrize("name", ["cluster_item_stats", "stacked_die_median", "cluster_impact", "stacked_map_labelled", "cluster_pareto"])
+def test_raw_dies_are_read_once(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr("dielens.plans.hold.shared_folder", lambda df: str(tmp_path))
+    found = queries.registered()[name](spark, SF_SMALL)
+    assert "lineitem" not in plan(found)  # only held tables
+    assert not found.isEmpty()
