@@ -20,6 +20,8 @@ ORACLE_SQL = None
 #: such pairs differ in 10 of 64 bits on average; 20 is beyond all that were seen (17).
 SIMILAR = {"width": 5, "at_least": 0.8, "radius": 20}
 
+#: Texts passed to an encoder at a time: by now the executors' heaps are as large as they get.
+TEXTS_AT_ONCE = 1000
 
 #: The columns stages know; others are carried under names of their own meanwhile.
 KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
@@ -85,7 +87,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of 2048 tokens."""
     import public_tokenizers
 
-    return packing.digest(packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER)))
+    return packing.digest(packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), rows_at_once=TEXTS_AT_ONCE))
 
 
 STAGES = [

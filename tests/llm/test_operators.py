@@ -642,3 +642,21 @@ def test_toxicity_training_takes_few_bytes_a_feature():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert model.trained and most < 38 * sum(map(len, words))  # 45 with eight bytes for each number
+
+
+def test_texts_are_encoded_in_batches_of_the_rows_asked_for(spark, edges, monkeypatch):
+    path = public_tokenizers.path(queries.WORD_TOKENIZER)
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, held = spark.conf.get(name), packing.hold
+    monkeypatch.setattr(packing, "hold", lambda df: seen.append(spark.conf.get(name)) or held(df))
+    brute.check_packing(
+        [p.asDict() for p in packing.digest(packing.pack(edges, path, rows_at_once=2)).collect()], brute.packed_ids(EDGES, path)
+    )
+    assert seen == ["2"] and spark.conf.get(name) == before
+
+
+def test_a_word_is_remembered_once():
+    path = public_tokenizers.path(queries.WORD_TOKENIZER)
+    encoder = packing.WordIds(open(path, encoding="utf-8").read())
+    assert list(encoder.encode(["abc abc. x abc", "abc"])) == list(encoder.encode(["abc abc. x abc", "abc"]))
+    assert sum(len(kept) for kept in vars(encoder).values() if isinstance(kept, dict) and b"abc" in kept) == 3
