@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dielens.functions.scalars import named, squared_distance
+from dielens.operators.sweeps import densest, grouped_points, mixture_rounds
 
 SEED = 1
 VECTOR = "_vector"
@@ -45,6 +47,9 @@ def fit_and_label(
     first = 0 if method == "bisecting_kmeans" else 1
     if not features or k <= 1:
         return df.withColumn(label, F.lit(first).cast("int")), None
+    if method == "gmm":
+        model = fit_mixture(df, features, k, seed, max_iter)
+        return df.withColumn(label, densest(model.weights, model.means, model.covariances, [named(f).cast("double") for f in features])), model
     vectors = feature_frame(df, features)
     model = estimator(method, k, seed, max_iter).fit(vectors.select(VECTOR))
     scored = model.transform(vectors)
@@ -52,6 +57,26 @@ def fit_and_label(
     return out.drop(VECTOR, "_prediction", "probability"), model
 
 
+@dataclass(frozen=True)
+class Mixture:
+    """A fitted Gaussian mixture with full covariances."""
+
+    weights: np.ndarray
+    means: np.ndarray
+    covariances: np.ndarray
+
+
+def fit_mixture(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED, max_iter: int | None = None) -> Mixture:
+    """Spark ML's Gaussian mixture: its estimator draws the first components, then its steps run
+    on blocks of rows (``sweeps.mixture_rounds``), which takes a fraction of the time."""
+    wanted = estimator("gmm", k, seed, max_iter)
+    first = wanted.copy({wanted.maxIter: 0}).fit(feature_frame(df, features, keep=False))
+    means, covariances = mixture_parts(first)
+    points = grouped_points(df, F.lit(0), F.array(*[named(f).cast("double") for f in features]))
+    start = np.array(first.weights), np.array(means), np.array(covariances)
+    return Mixture(*mixture_rounds(points, *start, wanted.getMaxIter(), wanted.getTol()))
+
+
 def cluster(
     df: DataFrame, method: str, k: int, features: Sequence[str], label: str, seed: int = SEED
 ) -> DataFrame:
@@ -107,6 +132,8 @@ def component_representatives(
 
 def mixture_parts(model) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Means and covariances of a fitted Gaussian mixture (k small matrices)."""
+    if isinstance(model, Mixture):
+        return list(model.means), list(model.covariances)
     gaussians = model.gaussians
     return [g.mean.toArray() for g in gaussians], [g.cov.toArray() for g in gaussians]
 

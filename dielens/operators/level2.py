@@ -134,7 +134,8 @@ def level2_merge(
     step is small whatever the size of ``df``.
     """
     with cached(df) as held:
-        subgroups = held.agg(F.count_distinct(named(subgroup)), F.count_distinct(named(cluster))).first()
+        pairs = held.select(named(subgroup).alias("s"), named(cluster).alias("c")).distinct()
+        subgroups = pairs.agg(F.count_distinct("s"), F.count_distinct("c")).first()
         if subgroups[0] == subgroups[1]:
             return df.withColumn(label, named(cluster).cast("int"))
         n_pairs = len(registers) * (len(registers) - 1) // 2

@@ -33,6 +33,8 @@ SEED_ROUNDS = 5
 # Starts tried on the candidates for each model.
 STARTS = 8
 RIDGE = 1e-6
+# Rows folded at a time: their distances or densities under all models stay in a core's cache.
+BLOCK = 1024
 
 GROUP, POINT = "_group", "_point"
 _SUMS = "model int, sums array<double>"
@@ -94,11 +96,7 @@ def seed_candidates(points: DataFrame, most: int, seed: int) -> dict[int, Seeds]
         def draw(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for group, rows in _batches(stream):
-                rows = np.unique(rows, axis=0)
-                gap = _nearest(rows, so_far[group])[1] if group in so_far else np.ones(len(rows))
-                away = gap > 1e-12 * (rows**2).sum(1)
-                rows, gap = rows[away], gap[away]
-                keys = np.log(_chance(rows, seed + turn)) / gap
+                rows, keys = _drawn(rows, so_far.get(group), most, seed + turn)
                 if group in best:
                     keys, rows = np.concatenate([best[group][0], keys]), np.concatenate([best[group][1], rows])
                     rows, kept = np.unique(rows, axis=0, return_index=True)
@@ -127,6 +125,21 @@ def seed_candidates(points: DataFrame, most: int, seed: int) -> dict[int, Seeds]
     return {group: Seeds(found[group], weights) for group, weights in _add_up(points, count).items()}
 
 
+def _drawn(rows: np.ndarray, so_far: np.ndarray | None, most: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and their keys, among them the ``most`` of the largest keys."""
+    gap = _nearest(rows, so_far)[1] if so_far is not None else np.ones(len(rows))
+    away = gap > 1e-12 * (rows**2).sum(1)
+    rows, gap = rows[away], gap[away]
+    keys = np.log(_chance(rows, salt)) / gap
+    values = np.unique(keys)  # equal rows have equal keys: only rows of the largest are put in order
+    for least in (values[-2 * most], -math.inf) if len(values) > 2 * most else (-math.inf,):
+        top = keys >= least
+        distinct, first = np.unique(rows[top], axis=0, return_index=True)
+        if len(distinct) >= most:
+            break
+    return distinct, keys[top][first]
+
+
 def _spread_centres(seeds: Seeds, k: int, rng: np.random.Generator) -> np.ndarray:
     """The best of some starts among the candidates; all their rows are few."""
     starts = [_one_start(seeds, k, rng) for _ in range(STARTS)]
@@ -245,23 +258,8 @@ def _kmeans_fits(
 
         def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             mine = by_group.get(group, ())
-            if not mine:
-                return
-            length = (rows**2).sum(1)
-            stacked = np.concatenate([current[i] for i in mine])
-            # Distances to the centres of all models in one product; |x|^2 comes back at the end.
-            offset = (stacked**2).sum(1) - 2 * rows @ stacked.T
-            start = 0
-            for i in mine:
-                k = len(current[i])
-                part = offset[:, start : start + k]
-                start += k
-                label = part.argmin(1)
-                best = np.maximum(part[np.arange(len(rows)), label] + length, 0.0)
-                totals = [np.bincount(label, weights=column, minlength=k) for column in rows.T]
-                yield i, np.concatenate(
-                    [[best.sum(), np.sqrt(best).sum()], np.bincount(label, minlength=k), np.stack(totals, 1).ravel()]
-                )
+            if mine:
+                yield from zip(mine, _cluster_sums(rows, [current[i] for i in mine]))
 
         return _add_up(points, fold)
 
@@ -285,6 +283,44 @@ def _kmeans_fits(
     ]
 
 
+def _cluster_sums(rows: np.ndarray, models: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """For each set of centres its cost, its sum of distances, and the rows and sums of rows of
+    its clusters. A row is in the first of the clusters whose centres are nearest."""
+    if not np.isfinite(rows).all():
+        return [_labelled_sums(rows, centres) for centres in models]
+    stacked = np.concatenate(models)
+    ends = np.cumsum([len(m) for m in models])
+    spans = list(zip(ends - [len(m) for m in models], ends))
+    offset = (stacked**2).sum(1)[:, None]
+    costs, sums = np.zeros((len(models), 2)), np.zeros((len(stacked), 1 + rows.shape[1]))
+    for at in range(0, len(rows), BLOCK):
+        part = rows[at : at + BLOCK]
+        # Distances to the centres of all models in one product; |x|^2 comes back at the end.
+        apart = -2 * stacked @ part.T + offset
+        member, best = np.empty(apart.shape), np.empty((len(models), len(part)))
+        for nearest, (a, b) in zip(best, spans):
+            apart[a:b].min(0, out=nearest)
+            np.equal(apart[a:b], nearest, out=member[a:b])
+        if member.sum() > best.size:  # equally near centres
+            for a, b in spans:
+                member[a:b] *= member[a:b].cumsum(0) == 1
+        best = np.maximum(best + (part**2).sum(1), 0.0)
+        costs += np.stack([best.sum(1), np.sqrt(best).sum(1)], 1)
+        sums += member @ np.column_stack([np.ones(len(part)), part])
+    return [np.concatenate([cost, sums[a:b, 0], sums[a:b, 1:].ravel()]) for cost, (a, b) in zip(costs, spans)]
+
+
+def _labelled_sums(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """As `_cluster_sums` for one set, row by row: a row with a value that is no number stays out of the sums of
+    other clusters than its own."""
+    k = len(centres)
+    label, best = _nearest(rows, centres)
+    totals = [np.bincount(label, weights=column, minlength=k) for column in rows.T]
+    return np.concatenate(
+        [[best.sum(), np.sqrt(best).sum()], np.bincount(label, minlength=k), np.stack(totals, 1).ravel()]
+    )
+
+
 def closest_centre(point: Column, centres: np.ndarray) -> Column:
     """1-based number of the centre nearest to an array column."""
     table = F.array(*[F.array(*[F.lit(float(v)) for v in centre]) for centre in centres])
@@ -384,17 +420,26 @@ def _mixture_fits(
         def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             if group not in widths:
                 return
-            expanded = _expanded(rows - origin[group])
-            joint = expanded @ weights[group]
+            models, columns = widths[group], np.ascontiguousarray(weights[group].T)
+            gained, sums = np.zeros(len(models)), 0.0
+            for at in range(0, len(rows), BLOCK):
+                expanded = _expanded(rows[at : at + BLOCK] - origin[group])
+                share = columns @ expanded.T
+                start = 0
+                for j, (_, k) in enumerate(models):
+                    part = share[start : start + k]
+                    start += k
+                    top = part.max(0)
+                    part -= top
+                    np.exp(part, out=part)
+                    mass = part.sum(0)
+                    part /= mass
+                    gained[j] += (top + np.log(mass)).sum()
+                sums = sums + share @ expanded
             start = 0
-            for i, k in widths[group]:
-                part = joint[:, start : start + k]
+            for gain, (i, k) in zip(gained, models):
+                yield i, np.concatenate([[gain], sums[start : start + k].ravel()])
                 start += k
-                top = part.max(1, keepdims=True)
-                share = np.exp(part - top)
-                mass = share.sum(1, keepdims=True)
-                share /= mass
-                yield i, np.concatenate([[(top + np.log(mass)).sum()], (share.T @ expanded).ravel()])
 
         for i, sums in _add_up(points, fold).items():
             fit, (_, d) = fits[i], fits[i].means.shape
@@ -415,6 +460,87 @@ def _mixture_fits(
     return fits
 
 
+@dataclass(frozen=True)
+class Densities:
+    """The components of a mixture as Spark ML weighs them: a covariance's pseudo-inverse, its
+    square root, and a floor under every density, so that a row far from all is in none more than in others."""
+
+    weights: np.ndarray
+    roots: np.ndarray
+    shifts: np.ndarray
+    constants: np.ndarray
+
+    @staticmethod
+    def of(weights: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> Densities:
+        values, vectors = np.linalg.eigh(covariances)
+        d = means.shape[1]
+        real = values > np.finfo(float).eps * values.max(1, keepdims=True) * d
+        sure = np.where(real, values, 1.0)
+        roots = np.where(real, 1 / np.sqrt(sure), 0.0)[:, :, None] * vectors.transpose(0, 2, 1)
+        constants = -0.5 * (d * math.log(2 * math.pi) + np.log(sure).sum(1))
+        shifts = (roots @ means[:, :, None]).ravel()
+        return Densities(weights, roots.reshape(-1, d), shifts, constants)
+
+    def masses(self, columns: np.ndarray) -> np.ndarray:
+        """Components x rows: weighted densities of rows that are given as columns."""
+        apart = self.roots @ columns - self.shifts[:, None]
+        apart *= apart
+        density = np.exp(self.constants[:, None] - 0.5 * apart.reshape(len(self.weights), -1, columns.shape[1]).sum(1))
+        return np.finfo(float).eps + self.weights[:, None] * density
+
+
+def mixture_rounds(
+    points: DataFrame, weights: np.ndarray, means: np.ndarray, covariances: np.ndarray, max_iter: int, tol: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weights, means, covariances) after the EM steps of Spark ML's mixture from a given start,
+    one job each: at most ``max_iter``, or until the log likelihood moves by no more than ``tol``.
+
+    Points are of one group. Tasks fold blocks of rows; Spark ML weighs one row at a time.
+    """
+    k, d = means.shape
+    above = np.triu_indices(d)
+    before, likelihood = 0.0, -sys.float_info.max
+    with _packed(points) as blocks:
+        for _ in range(max_iter):
+            if abs(likelihood - before) <= tol:
+                break
+            densities = Densities.of(weights, means, covariances)
+
+            def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+                total, sums = 0.0, 0.0
+                for at in range(0, len(rows), BLOCK):
+                    columns = np.ascontiguousarray(rows[at : at + BLOCK].T)
+                    share = densities.masses(columns)
+                    mass = share.sum(0)
+                    share /= mass
+                    total += np.log(mass).sum()
+                    powers = np.concatenate([np.ones((1, columns.shape[1])), columns, columns[above[0]] * columns[above[1]]])
+                    sums = sums + share @ powers.T
+                yield 0, np.concatenate([[total], sums.ravel()])
+
+            found = _add_up(blocks, fold)[0]
+            before, likelihood = likelihood, float(found[0])
+            by_component = found[1:].reshape(k, -1)
+            mass = by_component[:, 0]
+            weights, means = mass / mass.sum(), by_component[:, 1 : d + 1] / mass[:, None]
+            covariances = np.empty((k, d, d))
+            covariances[:, above[0], above[1]] = by_component[:, d + 1 :] / mass[:, None]
+            covariances[:, above[1], above[0]] = covariances[:, above[0], above[1]]
+            covariances -= means[:, :, None] * means[:, None, :]
+    return weights, means, covariances
+
+
+def densest(weights: np.ndarray, means: np.ndarray, covariances: np.ndarray, features: Sequence[Column]) -> Column:
+    """1-based component of the largest weighted density; the first on a tie."""
+    densities = Densities.of(weights, means, covariances)
+
+    @F.pandas_udf("int")
+    def component(*columns: pd.Series) -> pd.Series:
+        return pd.Series(densities.masses(np.stack([c.to_numpy(dtype=float) for c in columns])).argmax(0).astype(np.int32) + 1)
+
+    return component(*features)
+
+
 def mixture_label(fits: Mapping[int, MixtureFit], group: Column, features: Column) -> Column:
     """1-based component of each row under its group's mixture; 1 for other groups."""
     held = dict(fits)

@@ -315,3 +315,38 @@ def test_sweeps_read_blocks_of_all_rows(spark):
     empty = sweeps.grouped_points(spark.createDataFrame([], "g int, x array<double>"), F.col("g"), F.col("x"))
     with sweeps._packed(empty) as blocks:
         assert blocks.isEmpty()
+
+
+def test_mixture_takes_the_steps_of_spark_ml(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 4, (3, 2))
+    rows = [tuple(map(float, rng.normal(centres[i % 3], 1 + i % 3))) for i in range(3000)]
+    df = spark.createDataFrame([*rows, (90.0, 80.0), (-70.0, 99.0)], "a double, b double").repartition(5).cache()
+    vectors = clusters.feature_frame(df, ["a", "b"])
+    for k, most in ((3, 40), (4, 1)):
+        model = clusters.estimator("gmm", k, 1, most).fit(vectors.select(clusters.VECTOR))
+        labelled, mine = clusters.fit_and_label(df, ["a", "b"], "gmm", k, "label", 1, most)
+        for wanted, found in zip((*clusters.mixture_parts(model), model.weights), (mine.means, mine.covariances, mine.weights)):
+            assert np.allclose(wanted, found, rtol=1e-6)
+        theirs = model.transform(vectors).select("a", "b", (F.col("_prediction") + 1).alias("label"))
+        assert sorted(map(tuple, labelled.collect())) == sorted(map(tuple, theirs.collect()))
+
+
+def test_blocks_of_rows_add_up_to_single_rows():
+    rng = np.random.default_rng(1)
+    rows = np.concatenate([rng.normal(size=(2500, 3)), np.zeros((10, 3))])
+    models = [np.array([[1.0, 0, 0], [-1.0, 0, 0], [-1.0, 0, 0]]), rng.normal(size=(5, 3)), np.zeros((1, 3))]
+    for found, centres in zip(sweeps._cluster_sums(rows, models), models):
+        assert np.allclose(found, sweeps._labelled_sums(rows, centres))
+    rows[7, 1] = np.nan
+    for found, centres in zip(sweeps._cluster_sums(rows, models), models):
+        assert np.array_equal(found, sweeps._labelled_sums(rows, centres), equal_nan=True)
+
+
+def test_only_the_best_rows_of_a_draw_are_put_in_order():
+    rng = np.random.default_rng(2)
+    for rows in (rng.normal(size=(4000, 2)), rng.integers(0, 6, (4000, 2)) + 0.5, np.ones((50, 2))):
+        found, keys = sweeps._drawn(rows, rows[:3], 10, 4)
+        every, all_keys = sweeps._drawn(np.unique(rows, axis=0), rows[:3], len(rows), 4)
+        best = lambda r, k: r[np.argsort(-k, kind="stable")[:10]].tolist()
+        assert best(found, keys) == best(every, all_keys)
