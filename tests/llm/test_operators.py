@@ -660,3 +660,29 @@ def test_a_word_is_remembered_once():
     encoder = packing.WordIds(open(path, encoding="utf-8").read())
     assert list(encoder.encode(["abc abc. x abc", "abc"])) == list(encoder.encode(["abc abc. x abc", "abc"]))
     assert sum(len(kept) for kept in vars(encoder).values() if isinstance(kept, dict) and b"abc" in kept) == 3
+
+
+def test_a_block_looks_up_each_different_word_once_and_keeps_blanks_out():
+    from tokenizers import Tokenizer
+
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+        def get(self, word, default=None):
+            self.asked += 1
+            return super().get(word, default)
+
+    path = public_tokenizers.path(queries.WORD_TOKENIZER)
+    whole = Tokenizer.from_file(path)
+    encoder = packing.WordIds(open(path, encoding="utf-8").read())
+    encoder.known = known = Counted()
+    blanks = "\x0b a\t\tb\r\n\x0c  A'LL c\x00d e\x1cf g\x85h i j àíß, "
+    texts = ["", " \n", "<|endoftext|> a", *["the words, the words again. " * 100] * 20, blanks, blanks * 2, "\U0001f600 ﻿x"]
+    found = [np.frombuffer(x, dtype=np.uint16).tolist() for x in encoder.encode(texts)]
+    assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(encoder.encode([])) == []
+    assert known.asked < 150 < 10_000 == sum(len(t.split()) for t in texts[3:23])
