@@ -28,6 +28,7 @@ from dielens.operators.sweeps import (
     closest_centre,
     group_sizes,
     grouped_points,
+    held_blocks,
     kmeans_sweep,
     mixture_label,
     mixture_sweep,
@@ -65,7 +66,7 @@ def kmeans_cost_sweep(
     df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(2, 20), seed: int = SEED, max_iter: int = 20
 ) -> DataFrame:
     """(k, cost): within-cluster sum of squares for each k; all k share each scan."""
-    with cached(_points(df, features)) as points:
+    with held_blocks(_points(df, features)) as points:
         sizes = group_sizes(points)
         fits = kmeans_sweep(points, [(0, int(k)) for k in ks], sizes, seed, max_iter)
     return _curve(df, [(f.k, f.cost) for f in fits], "k int, cost double")
@@ -154,7 +155,7 @@ def elbow_curves(
 
     Distortion is the mean distance to the nearest centre, inertia the sum of squares.
     """
-    with cached(_points(df, features)) as points:
+    with held_blocks(_points(df, features)) as points:
         sizes = group_sizes(points)
         wanted = [(0, int(k)) for k in ks if k <= sizes.get(0, 0)]
         fits = kmeans_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
@@ -183,7 +184,7 @@ def gmm_bic_sweep(
     df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(1, 10), seed: int = SEED, max_iter: int = 100
 ) -> DataFrame:
     """(k, bic, aic) per tried number of components; no rows when too few dies to split."""
-    with cached(_points(df, features)) as points:
+    with held_blocks(_points(df, features)) as points:
         sizes = group_sizes(points)
         n_rows = sizes.get(0, 0)
         wanted = [(0, int(k)) for k in ks] if n_rows > max(ks) else []

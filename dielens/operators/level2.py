@@ -14,7 +14,7 @@ from dielens.operators.choose_k import cached, elbow_curves, mixture_bic, two_cu
 from dielens.operators.clusters import SEED, fit_and_label
 from dielens.operators.gram import pair_sums
 from dielens.operators.knee import bic_choice
-from dielens.operators.sweeps import group_sizes, grouped_points, mixture_label, mixture_sweep
+from dielens.operators.sweeps import group_sizes, grouped_points, held_blocks, mixture_label, mixture_sweep
 from dielens.operators.transform import cube_root, norm_name
 
 TOP_FEATURES = 5
@@ -69,7 +69,7 @@ def level2_split(
     features = _chain(cluster, [(c, F.array(*[named(f) for f in fs])) for c, fs in strongest.items()])
 
     looked_at = df if parts == 1 else tenth_sample(df, list(sample_columns or df.columns), parts)
-    with cached(grouped_points(looked_at, number, features)) as points:
+    with held_blocks(grouped_points(looked_at, number, features)) as points:
         sizes = group_sizes(points)
         wanted = [(g, int(k)) for g, n in sizes.items() if n > max(ks) for k in ks]
         fits = mixture_sweep(points, wanted, sizes, seed, max_iter) if wanted else []
@@ -83,7 +83,7 @@ def level2_split(
     if splits and parts == 1:  # the same rows, seeds and k: the sweep has fitted it already
         held = {f.group: f for f in fits if splits.get(f.group) == f.k}
     elif splits:
-        with cached(grouped_points(df, number, features).where(F.col("_group").isin(*splits))) as points:
+        with held_blocks(grouped_points(df, number, features).where(F.col("_group").isin(*splits))) as points:
             sizes = group_sizes(points)
             final = mixture_sweep(points, list(splits.items()), sizes, seed, max_iter)
         held = {f.group: f for f in final}

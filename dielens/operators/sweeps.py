@@ -1,10 +1,11 @@
 """Many models fitted in the same scans.
 
 A sweep over k, or one mixture per cluster and k, would read the data once per model
-and iteration. Here every iteration is one Spark job for all models together: each
-task folds its rows into sums per model (NumPy on Arrow batches), Spark adds the sums
-up, and the driver turns them into the next parameters. Only model-sized sums move;
-every row takes part in every iteration, however the rows spread over groups.
+and iteration. Here every iteration is one Spark job of one stage for all models together:
+each task folds its rows (packed once to blocks of bytes, which Python workers read as
+they are) into sums per model, Spark adds the sums up, and the driver turns them into
+the next parameters. Only model-sized sums move; every row takes part in every
+iteration, however the rows spread over groups.
 """
 
 from __future__ import annotations
@@ -18,10 +19,8 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, cloudpickle
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import RDD, StorageLevel, cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The task functions travel to the executors with the job; nothing to install there.
@@ -35,23 +34,21 @@ STARTS = 8
 RIDGE = 1e-6
 # Rows folded at a time: their distances or densities under all models stay in a core's cache.
 BLOCK = 1024
+# Tasks whose sums the driver adds up itself; those of more are added up by tasks first.
+FEW_TASKS = 128
 
 GROUP, POINT = "_group", "_point"
-_SUMS = "model int, sums array<double>"
 
 
 def grouped_points(df: DataFrame, group: Column, features: Column) -> DataFrame:
-    """The two columns a sweep reads: an int group and the feature array, dealt evenly."""
-    return dealt(df.select(group.cast("int").alias(GROUP), features.alias(POINT)))
+    """The two columns a sweep reads: an int group and the feature array."""
+    return df.select(group.cast("int").alias(GROUP), features.alias(POINT))
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """The rows dealt evenly over the session's shuffle partitions, whatever files they
-    come from: no iteration waits for one large partition or leaves cores idle."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def group_sizes(points: DataFrame) -> dict[int, int]:
+def group_sizes(points: DataFrame | RDD) -> dict[int, int]:
+    if isinstance(points, RDD):
+        counted = _add_up(points, lambda group, rows: iter([(group, np.array([float(len(rows))]))]))
+        return {group: int(n[0]) for group, n in counted.items()}
     return {r[GROUP]: r["count"] for r in points.groupBy(GROUP).count().collect()}
 
 
@@ -80,7 +77,7 @@ class Seeds:
     weights: np.ndarray
 
 
-def seed_candidates(points: DataFrame, most: int, seed: int) -> dict[int, Seeds]:
+def seed_candidates(points: DataFrame | RDD, most: int, seed: int) -> dict[int, Seeds]:
     """Candidates for starting centres, drawn from all rows of every group (k-means||).
 
     A round is one job: distinct values are drawn with a chance that grows with the squared
@@ -89,34 +86,27 @@ def seed_candidates(points: DataFrame, most: int, seed: int) -> dict[int, Seeds]
     Spark keeps the best of all. A last job counts the rows nearest to each candidate.
     """
     found: dict[int, np.ndarray] = {}
-    best_first = Window.partitionBy(GROUP).orderBy(F.desc("_key"), POINT)
+
+    def best_of(a: dict, b: dict) -> dict:
+        best = dict(a)
+        for group, (keys, rows) in b.items():
+            if group in best:
+                keys, rows = np.concatenate([best[group][0], keys]), np.concatenate([best[group][1], rows])
+                rows, kept = np.unique(rows, axis=0, return_index=True)
+                keys = keys[kept]
+            top = np.argsort(-keys, kind="stable")[:most]
+            best[group] = keys[top], rows[top]
+        return best
+
     for turn in range(SEED_ROUNDS):
         so_far = dict(found)
 
-        def draw(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for group, rows in _batches(stream):
-                rows, keys = _drawn(rows, so_far.get(group), most, seed + turn)
-                if group in best:
-                    keys, rows = np.concatenate([best[group][0], keys]), np.concatenate([best[group][1], rows])
-                    rows, kept = np.unique(rows, axis=0, return_index=True)
-                    keys = keys[kept]
-                top = np.argsort(-keys, kind="stable")[:most]
-                best[group] = keys[top], rows[top]
-            for group, (keys, rows) in best.items():
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(keys), group), pa.int32()),
-                        pa.array(keys),
-                        pa.array(rows.tolist(), pa.list_(pa.float64())),
-                    ],
-                    [GROUP, "_key", POINT],
-                )
-
-        drawn = points.mapInArrow(draw, f"{GROUP} int, _key double, {POINT} array<double>").distinct()
-        for row in drawn.withColumn("_place", F.row_number().over(best_first)).where(F.col("_place") <= most).collect():
-            fresh = np.array([row[POINT]], dtype=float)
-            found[row[GROUP]] = np.concatenate([found[row[GROUP]], fresh]) if row[GROUP] in found else fresh
+        def draw(group: int, rows: np.ndarray) -> dict:
+            rows, keys = _drawn(rows, so_far.get(group), most, seed + turn)
+            return {group: (keys, rows)} if len(rows) else {}
+
+        for group, (_, fresh) in _folded(points, draw, best_of).items():
+            found[group] = np.concatenate([found[group], fresh]) if group in found else fresh
 
     def count(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         if group in found:
@@ -172,14 +162,10 @@ def _one_start(seeds: Seeds, k: int, rng: np.random.Generator) -> tuple[float, n
 
 
 def _batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-    """(group, rows as a matrix) for every group in every Arrow batch."""
+    """(group, rows as a matrix) for every group in every Arrow batch of points."""
     for batch in stream:
         if not batch.num_rows:
             continue
-        if batch.num_columns == 3:  # packed
-            for group, width, block in zip(*(batch.column(i) for i in range(3)), strict=True):
-                yield group.as_py(), np.frombuffer(block.as_buffer(), dtype=np.float64).reshape(-1, width.as_py())
-            continue
         groups = batch.column(0).to_numpy(zero_copy_only=False)
         values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
         for group in np.unique(groups):
@@ -188,9 +174,9 @@ def _batches(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
 
 @contextmanager
 def _packed(points: DataFrame) -> Iterator[DataFrame]:
-    """The points as blocks of one group's rows, kept for the block: each of the many jobs of a
-    sweep reads bytes, where single rows would be turned into Arrow arrays every time. Blocks are
-    the batches the rows come in, so all sums stay the same."""
+    """The points as blocks of one group's rows, dealt evenly over the session's shuffle
+    partitions, whatever files they come from: no iteration waits for one large partition or
+    leaves cores idle. Blocks are dealt, not rows: fewer bytes, and nothing to sort."""
 
     def pack(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, rows in _batches(stream):
@@ -199,30 +185,63 @@ def _packed(points: DataFrame) -> Iterator[DataFrame]:
                 [GROUP, "_width", "_rows"],
             )
 
-    held = points.mapInArrow(pack, f"{GROUP} int, _width int, _rows binary").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield held
-    finally:
-        held.unpersist()
+    blocks = points.mapInArrow(pack, f"{GROUP} int, _width int, _rows binary")
+    yield blocks.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _add_up(points: DataFrame, fold: Callable[[int, np.ndarray], Iterator[tuple[int, np.ndarray]]]) -> dict:
-    """One job: per-model sums of ``fold`` over all rows, added up across tasks by Spark."""
+def _bytes_of(blocks: DataFrame) -> RDD:
+    return blocks.rdd.map(lambda row: (row[0], row[1], bytes(row[2])))
 
-    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for group, rows in _batches(stream):
-            for model, part in fold(group, rows):
-                sums[model] = sums[model] + part if model in sums else part
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.float64()))],
-                ["model", "sums"],
-            )
 
-    parts = points.mapInArrow(task, _SUMS)
-    added = parts.groupBy("model").agg(Summarizer.sum(array_to_vector("sums")).alias("sums"))
-    return {r["model"]: r["sums"].toArray() for r in added.collect()}
+@contextmanager
+def held_blocks(points: DataFrame | RDD) -> Iterator[RDD]:
+    """The points packed, as (group, width, bytes) kept for the block: each of the many jobs of a
+    sweep reads bytes, with a task for each core (two where each has much to read). Blocks that
+    are held already stay as they are."""
+    if isinstance(points, RDD):
+        yield points
+        return
+    with _packed(points) as blocks:
+        held = _bytes_of(blocks).persist(StorageLevel.MEMORY_AND_DISK_DESER)  # not compressed in memory
+        try:
+            cores = held.context.defaultParallelism
+            tasks = cores if held.getNumPartitions() < 8 * cores else 2 * cores
+            yield held.coalesce(tasks) if held.getNumPartitions() > tasks else held
+        finally:
+            held.unpersist()
+
+
+def _matrix(block: tuple[int, int, bytes]) -> np.ndarray:
+    return np.frombuffer(block[2], dtype=np.float64).reshape(-1, block[1])
+
+
+def _folded(points: DataFrame | RDD, fold: Callable[[int, np.ndarray], dict], merge: Callable[[dict, dict], dict]) -> dict:
+    """One job: what ``fold`` makes of each block, merged in the tasks and then across tasks."""
+    if not isinstance(points, RDD):
+        if "_rows" not in points.columns:
+            with _packed(points) as blocks:
+                return _folded(blocks, fold, merge)
+        points = _bytes_of(points)
+
+    def task(stream: Iterator[tuple[int, int, bytes]]) -> Iterator[dict]:
+        found: dict = {}
+        for block in stream:
+            found = merge(found, fold(block[0], _matrix(block)))
+        yield found
+
+    tasks = points.getNumPartitions()
+    return points.mapPartitions(task).treeReduce(merge, 1 if tasks <= FEW_TASKS else 2) if tasks else {}
+
+
+def _sum_up(a: dict, b: dict) -> dict:
+    for model, part in b.items():
+        a[model] = a[model] + part if model in a else part
+    return a
+
+
+def _add_up(points: DataFrame | RDD, fold: Callable[[int, np.ndarray], Iterator[tuple[int, np.ndarray]]]) -> dict:
+    """One job: per-model sums of ``fold`` over all rows."""
+    return _folded(points, lambda group, rows: dict(fold(group, rows)), _sum_up)
 
 
 @dataclass(frozen=True)
@@ -235,16 +254,16 @@ class KMeansFit:
 
 
 def kmeans_sweep(
-    points: DataFrame, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int = 1,
+    points: DataFrame | RDD, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int = 1,
     max_iter: int = 20, tol: float = 1e-4,
 ) -> list[KMeansFit]:
     """Lloyd's k-means for every (group, k) wanted, one job per iteration."""
-    with _packed(points) as blocks:
+    with held_blocks(points) as blocks:
         return _kmeans_fits(blocks, wanted, sizes, seed, max_iter, tol)
 
 
 def _kmeans_fits(
-    points: DataFrame, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int, max_iter: int, tol: float
+    points: RDD, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int, max_iter: int, tol: float
 ) -> list[KMeansFit]:
     seeds = seed_candidates(points, DRAWN_PER_CENTRE * max(k for _, k in wanted), seed)
     centres = {i: _spread_centres(seeds[g], k, np.random.default_rng([seed, g, k])) for i, (g, k) in enumerate(wanted)}
@@ -288,28 +307,42 @@ def _cluster_sums(rows: np.ndarray, models: Sequence[np.ndarray]) -> list[np.nda
     its clusters. A row is in the first of the clusters whose centres are nearest."""
     if not np.isfinite(rows).all():
         return [_labelled_sums(rows, centres) for centres in models]
-    stacked = np.concatenate(models)
+    weights = _centre_weights(np.concatenate(models))
     ends = np.cumsum([len(m) for m in models])
     spans = list(zip(ends - [len(m) for m in models], ends))
-    offset = (stacked**2).sum(1)[:, None]
-    costs, sums = np.zeros((len(models), 2)), np.zeros((len(stacked), 1 + rows.shape[1]))
+    costs, sums = np.zeros((len(models), 2)), np.zeros((len(weights), 1 + rows.shape[1]))
     for at in range(0, len(rows), BLOCK):
-        part = rows[at : at + BLOCK]
+        part = _with_ones(rows[at : at + BLOCK])
         # Distances to the centres of all models in one product; |x|^2 comes back at the end.
-        apart = -2 * stacked @ part.T + offset
-        member, best = np.empty(apart.shape), np.empty((len(models), len(part)))
+        apart = weights @ part
+        member, best = np.empty(apart.shape), np.empty((len(models), part.shape[1]))
         for nearest, (a, b) in zip(best, spans):
             apart[a:b].min(0, out=nearest)
             np.equal(apart[a:b], nearest, out=member[a:b])
-        if member.sum() > best.size:  # equally near centres
+        found = member @ part.T
+        if found[:, 0].sum() > best.size:  # equally near centres
             for a, b in spans:
                 member[a:b] *= member[a:b].cumsum(0) == 1
-        best = np.maximum(best + (part**2).sum(1), 0.0)
+            found = member @ part.T
+        best += (part[1:] ** 2).sum(0)
+        np.maximum(best, 0.0, out=best)
         costs += np.stack([best.sum(1), np.sqrt(best).sum(1)], 1)
-        sums += member @ np.column_stack([np.ones(len(part)), part])
+        sums += found
     return [np.concatenate([cost, sums[a:b, 0], sums[a:b, 1:].ravel()]) for cost, (a, b) in zip(costs, spans)]
 
 
+def _centre_weights(centres: np.ndarray) -> np.ndarray:
+    """What rows ``_with_ones`` are multiplied by for |x - c|^2 - |x|^2."""
+    return np.column_stack([(centres**2).sum(1), -2 * centres])
+
+
+def _with_ones(rows: np.ndarray) -> np.ndarray:
+    """1 and the values of every row, a column for each row."""
+    out = np.empty((1 + rows.shape[1], len(rows)))
+    out[0], out[1:] = 1.0, rows.T
+    return out
+
+
 def _labelled_sums(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """As `_cluster_sums` for one set, row by row: a row with a value that is no number stays out of the sums of
     other clusters than its own."""
@@ -346,26 +379,48 @@ class MixtureFit:
     converged: bool = False
 
     def coefficients(self, origin: np.ndarray) -> np.ndarray:
-        """log(weight) + log density of every component as weights of ``_expanded`` rows."""
-        columns = []
+        """log(weight) + log density of every component as weights of ``_powers``, a row for each."""
+        found = []
+        above = np.triu_indices(len(origin))
+        twice = np.where(above[0] == above[1], 1.0, 2.0)
         for weight, mean, covariance in zip(self.weights, self.means - origin, self.covariances):
             precision = np.linalg.inv(covariance)
+            precision = (precision + precision.T) / 2
             log_det = np.linalg.slogdet(covariance)[1]
             at_origin = mean @ precision @ mean + len(mean) * math.log(2 * math.pi) + log_det
             constant = math.log(max(weight, 1e-300)) - 0.5 * at_origin
-            columns.append(np.concatenate([-0.5 * precision.ravel(), precision @ mean, [constant]]))
-        return np.stack(columns, 1)
+            found.append(np.concatenate([[constant], precision @ mean, -0.5 * twice * precision[above]]))
+        return np.stack(found)
 
     def labels(self, rows: np.ndarray) -> np.ndarray:
         """0-based most likely component of each row."""
         origin = self.means.mean(0)
-        return (_expanded(rows - origin) @ self.coefficients(origin)).argmax(1)
-
-
-def _expanded(rows: np.ndarray) -> np.ndarray:
-    """Each row's products, the row itself and 1: all a mixture step needs, as one matrix."""
-    products = (rows[:, :, None] * rows[:, None, :]).reshape(len(rows), -1)
-    return np.concatenate([products, rows, np.ones((len(rows), 1))], 1)
+        weights = self.coefficients(origin)
+        found = [(weights @ _powers(rows[at : at + BLOCK] - origin)).argmax(0) for at in range(0, len(rows), BLOCK)]
+        return np.concatenate(found) if found else np.empty(0, dtype=int)
+
+
+def _powers(rows: np.ndarray) -> np.ndarray:
+    """1, the values and their products (each pair once) of every row, a column for each row: all
+    a mixture step needs, as one matrix."""
+    n, d = rows.shape
+    out = np.empty((1 + d + d * (d + 1) // 2, n))
+    out[0], values = 1.0, out[1 : d + 1]
+    values[:] = rows.T
+    start = 1 + d
+    for i in range(d):
+        np.multiply(values[i], values[i:], out=out[start : start + d - i])
+        start += d - i
+    return out
+
+
+def _second_moments(products: np.ndarray, d: int) -> np.ndarray:
+    """Matrices of the sums of products of each pair, from those that ``_powers`` has."""
+    above = np.triu_indices(d)
+    found = np.empty((len(products), d, d))
+    found[:, above[0], above[1]] = products
+    found[:, above[1], above[0]] = products
+    return found
 
 
 def _first_mixture(group: int, k: int, seeds: Seeds, rng: np.random.Generator) -> MixtureFit:
@@ -384,7 +439,7 @@ def _first_mixture(group: int, k: int, seeds: Seeds, rng: np.random.Generator) -
 
 
 def mixture_sweep(
-    points: DataFrame, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int = 1,
+    points: DataFrame | RDD, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int = 1,
     max_iter: int = 100, tol: float = 1e-3,
 ) -> list[MixtureFit]:
     """EM for every (group, k) wanted, one job per iteration.
@@ -392,12 +447,12 @@ def mixture_sweep(
     A model stops when its mean log likelihood gains less than ``tol``; the loop ends
     when all have. k = 1 is exact after its first step.
     """
-    with _packed(points) as blocks:
+    with held_blocks(points) as blocks:
         return _mixture_fits(blocks, wanted, sizes, seed, max_iter, tol)
 
 
 def _mixture_fits(
-    points: DataFrame, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int, max_iter: int, tol: float
+    points: RDD, wanted: Sequence[tuple[int, int]], sizes: Mapping[int, int], seed: int, max_iter: int, tol: float
 ) -> list[MixtureFit]:
     seeds = seed_candidates(points, DRAWN_PER_CENTRE * max(k for _, k in wanted), seed)
     fits = [_first_mixture(g, k, seeds[g], np.random.default_rng([seed, g, k])) for g, k in wanted]
@@ -412,7 +467,7 @@ def _mixture_fits(
             by_group.setdefault(fits[i].group, []).append((i, fits[i]))
 
         weights = {
-            group: np.concatenate([f.coefficients(origin[group]) for _, f in models], 1)
+            group: np.concatenate([f.coefficients(origin[group]) for _, f in models])
             for group, models in by_group.items()
         }
         widths = {group: [(i, f.k) for i, f in models] for group, models in by_group.items()}
@@ -420,11 +475,10 @@ def _mixture_fits(
         def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             if group not in widths:
                 return
-            models, columns = widths[group], np.ascontiguousarray(weights[group].T)
-            gained, sums = np.zeros(len(models)), 0.0
+            models, gained, sums = widths[group], np.zeros(len(widths[group])), 0.0
             for at in range(0, len(rows), BLOCK):
-                expanded = _expanded(rows[at : at + BLOCK] - origin[group])
-                share = columns @ expanded.T
+                powers = _powers(rows[at : at + BLOCK] - origin[group])
+                share = weights[group] @ powers
                 start = 0
                 for j, (_, k) in enumerate(models):
                     part = share[start : start + k]
@@ -435,7 +489,7 @@ def _mixture_fits(
                     mass = part.sum(0)
                     part /= mass
                     gained[j] += (top + np.log(mass)).sum()
-                sums = sums + share @ expanded
+                sums = sums + share @ powers.T
             start = 0
             for gain, (i, k) in zip(gained, models):
                 yield i, np.concatenate([[gain], sums[start : start + k].ravel()])
@@ -449,9 +503,9 @@ def _mixture_fits(
                 fits[i] = replace(fit, log_likelihood=float(sums[0]), converged=True)
                 continue
             by_component = sums[1:].reshape(fit.k, -1)
-            mass = np.maximum(by_component[:, -1], 1e-10)
-            means = by_component[:, d * d : d * d + d] / mass[:, None]
-            second = (by_component[:, : d * d] / mass[:, None]).reshape(fit.k, d, d)
+            mass = np.maximum(by_component[:, 0], 1e-10)
+            means = by_component[:, 1 : d + 1] / mass[:, None]
+            second = _second_moments(by_component[:, d + 1 :] / mass[:, None], d)
             covariances = second - means[:, :, None] * means[:, None, :] + RIDGE * np.eye(d)
             fits[i] = replace(
                 fit, weights=mass / n_rows, means=means + start, covariances=covariances,
@@ -463,11 +517,11 @@ def _mixture_fits(
 @dataclass(frozen=True)
 class Densities:
     """The components of a mixture as Spark ML weighs them: a covariance's pseudo-inverse, its
-    square root, and a floor under every density, so that a row far from all is in none more than in others."""
+    square root (after its mean's part), and a floor under every density, so that a row far from all is in
+    none more than in others."""
 
     weights: np.ndarray
     roots: np.ndarray
-    shifts: np.ndarray
     constants: np.ndarray
 
     @staticmethod
@@ -478,19 +532,24 @@ class Densities:
         sure = np.where(real, values, 1.0)
         roots = np.where(real, 1 / np.sqrt(sure), 0.0)[:, :, None] * vectors.transpose(0, 2, 1)
         constants = -0.5 * (d * math.log(2 * math.pi) + np.log(sure).sum(1))
-        shifts = (roots @ means[:, :, None]).ravel()
-        return Densities(weights, roots.reshape(-1, d), shifts, constants)
+        shifts = (roots @ means[:, :, None]).reshape(-1, 1)
+        return Densities(weights, np.concatenate([-shifts, roots.reshape(-1, d)], 1), constants)
 
     def masses(self, columns: np.ndarray) -> np.ndarray:
-        """Components x rows: weighted densities of rows that are given as columns."""
-        apart = self.roots @ columns - self.shifts[:, None]
+        """Components x rows: weighted densities of rows that are given as columns, 1 first."""
+        apart = self.roots @ columns
         apart *= apart
-        density = np.exp(self.constants[:, None] - 0.5 * apart.reshape(len(self.weights), -1, columns.shape[1]).sum(1))
-        return np.finfo(float).eps + self.weights[:, None] * density
+        density = apart.reshape(len(self.weights), -1, columns.shape[1]).sum(1)
+        density *= -0.5
+        density += self.constants[:, None]
+        np.exp(density, out=density)
+        density *= self.weights[:, None]
+        density += np.finfo(float).eps
+        return density
 
 
 def mixture_rounds(
-    points: DataFrame, weights: np.ndarray, means: np.ndarray, covariances: np.ndarray, max_iter: int, tol: float
+    points: DataFrame | RDD, weights: np.ndarray, means: np.ndarray, covariances: np.ndarray, max_iter: int, tol: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(weights, means, covariances) after the EM steps of Spark ML's mixture from a given start,
     one job each: at most ``max_iter``, or until the log likelihood moves by no more than ``tol``.
@@ -498,9 +557,8 @@ def mixture_rounds(
     Points are of one group. Tasks fold blocks of rows; Spark ML weighs one row at a time.
     """
     k, d = means.shape
-    above = np.triu_indices(d)
     before, likelihood = 0.0, -sys.float_info.max
-    with _packed(points) as blocks:
+    with held_blocks(points) as blocks:
         for _ in range(max_iter):
             if abs(likelihood - before) <= tol:
                 break
@@ -509,12 +567,11 @@ def mixture_rounds(
             def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
                 total, sums = 0.0, 0.0
                 for at in range(0, len(rows), BLOCK):
-                    columns = np.ascontiguousarray(rows[at : at + BLOCK].T)
-                    share = densities.masses(columns)
+                    powers = _powers(rows[at : at + BLOCK])
+                    share = densities.masses(powers[: d + 1])
                     mass = share.sum(0)
                     share /= mass
                     total += np.log(mass).sum()
-                    powers = np.concatenate([np.ones((1, columns.shape[1])), columns, columns[above[0]] * columns[above[1]]])
                     sums = sums + share @ powers.T
                 yield 0, np.concatenate([[total], sums.ravel()])
 
@@ -523,9 +580,7 @@ def mixture_rounds(
             by_component = found[1:].reshape(k, -1)
             mass = by_component[:, 0]
             weights, means = mass / mass.sum(), by_component[:, 1 : d + 1] / mass[:, None]
-            covariances = np.empty((k, d, d))
-            covariances[:, above[0], above[1]] = by_component[:, d + 1 :] / mass[:, None]
-            covariances[:, above[1], above[0]] = covariances[:, above[0], above[1]]
+            covariances = _second_moments(by_component[:, d + 1 :] / mass[:, None], d)
             covariances -= means[:, :, None] * means[:, None, :]
     return weights, means, covariances
 
@@ -536,7 +591,9 @@ def densest(weights: np.ndarray, means: np.ndarray, covariances: np.ndarray, fea
 
     @F.pandas_udf("int")
     def component(*columns: pd.Series) -> pd.Series:
-        return pd.Series(densities.masses(np.stack([c.to_numpy(dtype=float) for c in columns])).argmax(0).astype(np.int32) + 1)
+        rows = np.stack([np.ones(len(columns[0])), *[c.to_numpy(dtype=float) for c in columns]])
+        found = [densities.masses(rows[:, at : at + BLOCK]).argmax(0) for at in range(0, rows.shape[1], BLOCK)]
+        return pd.Series(np.concatenate(found).astype(np.int32) + 1 if found else [], dtype=np.int32)
 
     return component(*features)
 

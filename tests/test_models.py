@@ -350,3 +350,38 @@ def test_only_the_best_rows_of_a_draw_are_put_in_order():
         every, all_keys = sweeps._drawn(np.unique(rows, axis=0), rows[:3], len(rows), 4)
         best = lambda r, k: r[np.argsort(-k, kind="stable")[:10]].tolist()
         assert best(found, keys) == best(every, all_keys)
+
+
+def test_a_step_of_a_sweep_is_one_job_of_a_task_for_each_core(spark):
+    rng = np.random.default_rng(4)
+    frame = spark.createDataFrame(pd.DataFrame(rng.normal(size=(4000, 2)), columns=["a", "b"])).repartition(3)
+    points = sweeps.grouped_points(frame, F.lit(0), F.array("a", "b"))
+    spark.conf.set("spark.sql.shuffle.partitions", 3 * spark.sparkContext.defaultParallelism)
+    try:
+        with sweeps.held_blocks(points) as blocks:
+            sizes = sweeps.group_sizes(blocks)
+            assert sizes == {0: 4000} and blocks.getNumPartitions() == spark.sparkContext.defaultParallelism
+            spark.sparkContext.setJobGroup("sweep", "one job for each step")
+            fit = sweeps.kmeans_sweep(blocks, [(0, 1)], sizes)[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # five draws, their counts, two steps at most and the costs
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("sweep")) <= 9
+    values = np.array([tuple(r) for r in frame.collect()])
+    assert np.allclose(fit.centres[0], values.mean(0)) and fit.cost == pytest.approx(((values - values.mean(0)) ** 2).sum())
+
+
+def test_powers_and_labels_of_a_mixture():
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(2500, 3))
+    powers = sweeps._powers(rows)
+    above = np.triu_indices(3)
+    assert np.array_equal(powers, np.concatenate([np.ones((1, 2500)), rows.T, (rows[:, above[0]] * rows[:, above[1]]).T]))
+    assert np.allclose(sweeps._second_moments(powers[4:].sum(1)[None], 3)[0], rows.T @ rows)
+    parts = [np.cov(rng.normal(size=(50, 3)).T) for _ in range(4)]
+    fit = sweeps.MixtureFit(0, 4, np.array([0.1, 0.2, 0.3, 0.4]), rng.normal(size=(4, 3)), np.stack(parts))
+    gaps = rows[:, None] - fit.means[None]
+    squared = np.einsum("nki,kij,nkj->nk", gaps, np.linalg.inv(fit.covariances), gaps)
+    wanted = np.log(fit.weights) - 0.5 * (squared + np.linalg.slogdet(fit.covariances)[1])
+    assert np.array_equal(fit.labels(rows), wanted.argmax(1)) and len(fit.labels(rows[:0])) == 0
