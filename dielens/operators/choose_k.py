@@ -1,19 +1,18 @@
 """Choosing the number of clusters: cost curves, BIC and silhouettes.
 
-Every fit reads all rows of a cached frame. K-means, bisecting and mixture sweeps share
-their scans (``sweeps``). What returns to the driver is a few numbers per k.
+Every fit reads all rows, packed once. K-means, bisecting and mixture sweeps and silhouettes
+share their scans (``sweeps``). What returns to the driver is a few numbers per k.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from contextlib import ExitStack, contextmanager
+from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 from statistics import median
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -25,17 +24,17 @@ from dielens.operators.knee import bic_choice, knee_point
 from dielens.operators.sweeps import (
     GROUP,
     POINT,
-    closest_centre,
+    centre_labels,
+    divided,
     group_sizes,
     grouped_points,
     held_blocks,
     kmeans_sweep,
-    mixture_label,
     mixture_sweep,
+    part_costs,
+    silhouettes,
 )
 
-FITS_AT_A_TIME = 8
-
 
 @contextmanager
 def cached(df: DataFrame):
@@ -47,13 +46,6 @@ def cached(df: DataFrame):
         held.unpersist()
 
 
-def in_parallel(job: Callable, items: Iterable, df: DataFrame, at_a_time: int = FITS_AT_A_TIME) -> list:
-    """Runs one Spark job per item from a few driver threads, results in item order."""
-    with ThreadPoolExecutor(at_a_time) as pool:
-        wrap = inheritable_thread_target(df.sparkSession)
-        return [f.result() for f in [pool.submit(wrap(job), item) for item in items]]
-
-
 def _curve(df: DataFrame, rows: list[tuple], names: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, names)
 
@@ -79,10 +71,9 @@ def bisecting_cost_sweep(
     """(k, cost) by bisecting k-means, level by level, the largest clusters first.
 
     All k share one tree: on each level they divide the same clusters, up to the number each
-    still needs. A level's divisions share their scans.
+    still needs. A level's divisions share their scans of the one copy of the points.
     """
-    with ExitStack() as kept:
-        points = kept.enter_context(cached(_points(df, features)))
+    with held_blocks(_points(df, features)) as points:
         sizes = group_sizes(points)
         whole = kmeans_sweep(points, [(0, 1)], sizes, seed, 1)[0].cost if sizes else 0.0
         nodes = {0: (sizes.get(0, 0), whole)}  # node: rows, cost; its parts are 2n + 1 and 2n + 2
@@ -95,30 +86,15 @@ def bisecting_cost_sweep(
                 break
             counts = {n: nodes[n][0] for n in chosen}
             fits = kmeans_sweep(level, [(n, 2) for n in chosen], counts, seed, max_iter or 20)
-            level = kept.enter_context(cached(_divided(level, {f.group: f.centres for f in fits})))
-            found = level.groupBy(GROUP).agg(F.count("*").alias("n"), F.sum("_gap").alias("cost")).collect()
-            nodes.update({r[GROUP]: (r["n"], r["cost"]) for r in found})
-            level = level.drop("_gap")
+            centres = {f.group: f.centres for f in fits}
+            nodes.update(part_costs(level, centres))
+            level = divided(level, centres)
             levels.append(chosen)
             bottom = [part for n in chosen for part in (2 * n + 1, 2 * n + 2) if part in nodes]
             leaves += len(bottom) - len(chosen)
     return _curve(df, [(int(k), _tree_cost(nodes, levels, int(k))) for k in ks], "k int, cost double")
 
 
-def _divided(level: DataFrame, centres: dict) -> DataFrame:
-    """The points of divided clusters, each with its part's number and squared distance to its centre."""
-    def gap(side: int) -> Column:
-        table = F.create_map(*[c for n, pair in centres.items() for c in (F.lit(n), F.array(*map(F.lit, pair[side].tolist())))])
-        apart = F.zip_with(F.col(POINT), F.element_at(table, F.col(GROUP)), lambda a, b: (a - b) * (a - b))
-        return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x)
-
-    first, second = gap(0), gap(1)
-    part = (2 * F.col(GROUP) + F.when(first <= second, 1).otherwise(2)).cast("int")
-    return level.where(F.col(GROUP).isin(list(centres))).select(
-        part.alias(GROUP), POINT, F.least(first, second).alias("_gap")
-    )
-
-
 def _tree_cost(nodes: dict, levels: list[list[int]], k: int) -> float:
     """Sum of the costs of the leaves when the tree has k of them (fewer, if it cannot)."""
     leaves = {0}
@@ -236,27 +212,21 @@ def silhouette_sweep(
 ) -> DataFrame:
     """(k, silhouette, cost) for k-means or a mixture; mixtures have no cost.
 
-    The fits share their scans; Spark ML scores the labels of each k.
+    The fits share their scans, and so do the scores of the labels of all k.
     """
-    with cached(_points(df, features)) as points:
+    with held_blocks(_points(df, features)) as points:
         sizes = group_sizes(points)
         wanted = [(0, int(k)) for k in ks]
         if method == "kmeans":
             fits = kmeans_sweep(points, wanted, sizes, seed, max_iter or 20)
-            labels = [closest_centre(F.col("_point"), f.centres) for f in fits]
+            labels = centre_labels([f.centres for f in fits])
         elif method == "gmm":
             fits = mixture_sweep(points, wanted, sizes, seed, max_iter or 100)
-            labels = [mixture_label({0: f}, F.col("_group"), F.col("_point")) for f in fits]
+            labels = lambda rows: [f.labels(rows) for f in fits]
         else:
             raise ValueError(f"no silhouette sweep for method {method!r}")
-        def measure(at: int) -> tuple[int, float | None, float | None]:
-            labelled = points.select(
-                array_to_vector("_point").alias(VECTOR), labels[at].cast("double").alias("_prediction")
-            )
-            score = label_silhouette(labelled)
-            return fits[at].k, score, fits[at].cost if method == "kmeans" else None
-
-        rows = in_parallel(measure, range(len(fits)), points)
+        scores = silhouettes(points, [f.k for f in fits], labels)
+    rows = [(f.k, score, f.cost if method == "kmeans" else None) for f, score in zip(fits, scores)]
     return _curve(df, rows, "k int, silhouette double, cost double")
 
 

@@ -354,16 +354,99 @@ def _labelled_sums(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     )
 
 
-def closest_centre(point: Column, centres: np.ndarray) -> Column:
-    """1-based number of the centre nearest to an array column."""
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in centre]) for centre in centres])
+def centre_labels(models: Sequence[np.ndarray]) -> Callable[[np.ndarray], list[np.ndarray]]:
+    """For each set of centres the 0-based number of the one nearest to each row."""
+    weights = _centre_weights(np.concatenate(models))
+    ends = np.cumsum([len(m) for m in models])
+    spans = list(zip(ends - [len(m) for m in models], ends))
+
+    def labels(rows: np.ndarray) -> list[np.ndarray]:
+        apart = weights @ _with_ones(rows)
+        return [apart[a:b].argmin(0) for a, b in spans]
+
+    return labels
+
+
+def silhouettes(
+    points: DataFrame | RDD, ks: Sequence[int], labels: Callable[[np.ndarray], list[np.ndarray]]
+) -> list[float | None]:
+    """Mean silhouette of every labelling of all rows, as Spark ML scores it: by squared distances, which
+    sums of each cluster give exactly. Two jobs for all; None where all rows have one label."""
+
+    def parts(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+        for at in range(0, len(rows), BLOCK):
+            part = rows[at : at + BLOCK]
+            yield _with_ones(part), np.einsum("ij,ij->i", part, part), labels(part)
+
+    def add(_: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        sums = [0.0] * len(ks)
+        for values, norms, found in parts(rows):
+            added = np.concatenate([values, norms[None]]).T
+            for i, label in enumerate(found):
+                sums[i] = sums[i] + (label == np.arange(ks[i])[:, None]).astype(float) @ added
+        yield from enumerate(sums)
+
+    sizes, weights = [], []
+    for _, sums in sorted(_add_up(points, add).items()):
+        n = sums[:, :1]
+        with np.errstate(divide="ignore", invalid="ignore"):  # clusters of no rows are no neighbours
+            weights.append(np.where(n > 0, np.concatenate([sums[:, -1:], -2 * sums[:, 1:-1]], 1) / n, [math.inf] + [0.0] * (sums.shape[1] - 2)))
+        sizes.append(n[:, 0])
+
+    def score(_: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        total, place = np.zeros(len(ks)), np.arange(BLOCK)
+        for values, norms, found in parts(rows):
+            for i, label in enumerate(found):
+                apart = weights[i] @ values + norms
+                at = label, place[: len(label)]
+                own, mine = apart[at], sizes[i][label]
+                apart[at] = math.inf
+                other = apart.min(0)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    own = own * (mine / (mine - 1))
+                    score = np.where(own < other, 1 - own / other, np.where(own > other, other / own - 1, 0.0))
+                total[i] += np.where(mine > 1, score, 0.0).sum()
+        yield 0, total
+
+    totals = _add_up(points, score).get(0) if sizes else None
+    return [
+        float(totals[i] / sizes[i].sum()) if sizes and (sizes[i] > 0).sum() > 1 else None for i in range(len(ks))
+    ]
+
 
-    def squared(centre: Column) -> Column:
-        gaps = F.zip_with(point, centre, lambda a, b: (a - b) * (a - b))
-        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+def _apart(rows: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    gaps = rows - centre
+    return np.einsum("ij,ij->i", gaps, gaps)
 
-    distances = F.transform(table, squared)
-    return F.array_position(distances, F.array_min(distances)).cast("int")
+
+def part_costs(points: RDD, centres: Mapping[int, np.ndarray]) -> dict[int, tuple[int, float]]:
+    """Rows and cost of the parts, 2n + 1 and 2n + 2, of every divided cluster n."""
+
+    def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        if group in centres:
+            first, second = (_apart(rows, c) for c in centres[group])
+            later = first > second
+            for number, mine, gaps in ((2 * group + 1, ~later, first), (2 * group + 2, later, second)):
+                if mine.any():
+                    yield number, np.array([mine.sum(), gaps[mine].sum()])
+
+    return {part: (int(n), float(cost)) for part, (n, cost) in _add_up(points, fold).items()}
+
+
+def divided(points: RDD, centres: Mapping[int, np.ndarray]) -> RDD:
+    """The blocks of the parts of divided clusters. They are made anew in each scan, next to what reads
+    them, so that a tree of divisions keeps one copy of the rows however deep it is."""
+
+    def divide(stream: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+        for block in stream:
+            if block[0] in centres:
+                rows = _matrix(block)
+                later = np.greater(*(_apart(rows, c) for c in centres[block[0]]))
+                for number, mine in ((2 * block[0] + 1, ~later), (2 * block[0] + 2, later)):
+                    if mine.any():
+                        yield number, block[1], rows[mine].tobytes()
+
+    return points.mapPartitions(divide)
 
 
 @dataclass(frozen=True)

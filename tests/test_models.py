@@ -385,3 +385,39 @@ def test_powers_and_labels_of_a_mixture():
     squared = np.einsum("nki,kij,nkj->nk", gaps, np.linalg.inv(fit.covariances), gaps)
     wanted = np.log(fit.weights) - 0.5 * (squared + np.linalg.slogdet(fit.covariances)[1])
     assert np.array_equal(fit.labels(rows), wanted.argmax(1)) and len(fit.labels(rows[:0])) == 0
+
+
+def test_silhouettes_of_all_k_share_two_scans(spark, monkeypatch):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.normal(0, 1, (3000, 2)), rng.normal(6, 2, (1500, 2)), [[400.0, 400.0]]])
+    frame = spark.createDataFrame(pd.DataFrame(values, columns=["a", "b"])).repartition(3).persist()
+    scans = []
+    real = sweeps._add_up
+    monkeypatch.setattr(sweeps, "_add_up", lambda points, fold: scans.append(fold.__qualname__) or real(points, fold))
+    curve = {r["k"]: r["silhouette"] for r in choose_k.silhouette_sweep(frame, ["a", "b"], (2, 3, 5)).collect()}
+    assert sum("silhouettes" in name for name in scans) == 2
+    points = sweeps.grouped_points(frame, F.lit(0), F.array("a", "b"))
+    vectors = clusters.feature_frame(frame, ["a", "b"]).collect()
+    for fit in sweeps.kmeans_sweep(points, [(0, k) for k in (2, 3, 5)], {0: len(values)}, clusters.SEED):
+        label = sweeps.centre_labels([fit.centres])(np.array([r[clusters.VECTOR].toArray() for r in vectors]))[0]
+        rows = [(r[clusters.VECTOR], float(found)) for r, found in zip(vectors, label)]
+        labelled = spark.createDataFrame(rows, [clusters.VECTOR, "_prediction"])
+        wanted = ClusteringEvaluator(featuresCol=clusters.VECTOR, predictionCol="_prediction").evaluate(labelled)
+        assert curve[fit.k] == pytest.approx(wanted, abs=1e-9)
+    frame.unpersist()
+    single = sweeps.silhouettes(points, [2], lambda rows: [np.zeros(len(rows), dtype=int)])
+    assert single == [None]
+
+
+def test_bisecting_sweep_keeps_one_copy_of_the_points(spark, monkeypatch):
+    from pyspark import RDD
+
+    rng = np.random.default_rng(9)
+    frame = spark.createDataFrame(pd.DataFrame(rng.normal(0, 1, (3000, 2)), columns=["a", "b"])).repartition(3)
+    kept, of_rdd, of_frame = [], RDD.persist, type(frame).persist
+    monkeypatch.setattr(RDD, "persist", lambda self, *a: kept.append(self) or of_rdd(self, *a))
+    monkeypatch.setattr(type(frame), "persist", lambda self, *a: kept.append(self) or of_frame(self, *a))
+    costs = [r["cost"] for r in choose_k.bisecting_cost_sweep(frame, ["a", "b"], range(2, 9)).collect()]
+    assert len(kept) == 1 and costs == sorted(costs, reverse=True) and len(set(costs)) == 7
