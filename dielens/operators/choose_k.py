@@ -86,9 +86,9 @@ def bisecting_cost_sweep(
                 break
             counts = {n: nodes[n][0] for n in chosen}
             fits = kmeans_sweep(level, [(n, 2) for n in chosen], counts, seed, max_iter or 20)
-            centres = {f.group: f.centres for f in fits}
-            nodes.update(part_costs(level, centres))
-            level = divided(level, centres)
+            parts = {f.group: {2 * f.group + 1: f.centres[0], 2 * f.group + 2: f.centres[1]} for f in fits}
+            nodes.update(part_costs(level, parts))
+            level = divided(level, parts)
             levels.append(chosen)
             bottom = [part for n in chosen for part in (2 * n + 1, 2 * n + 2) if part in nodes]
             leaves += len(bottom) - len(chosen)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dielens.functions.scalars import named, squared_distance
-from dielens.operators.sweeps import densest, grouped_points, mixture_rounds
+from dielens.operators.sweeps import bisecting_rounds, densest, grouped_points, mixture_rounds
 
 SEED = 1
 VECTOR = "_vector"
@@ -50,6 +51,9 @@ def fit_and_label(
     if method == "gmm":
         model = fit_mixture(df, features, k, seed, max_iter)
         return df.withColumn(label, densest(model.weights, model.means, model.covariances, [named(f).cast("double") for f in features])), model
+    if method == "bisecting_kmeans":
+        tree = fit_bisecting(df, features, k, seed, max_iter)
+        return df.withColumn(label, tree_label([named(f).cast("double") for f in features], tree).cast("int")), tree
     vectors = feature_frame(df, features)
     model = estimator(method, k, seed, max_iter).fit(vectors.select(VECTOR))
     scored = model.transform(vectors)
@@ -77,6 +81,30 @@ def fit_mixture(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED
     return Mixture(*mixture_rounds(points, *start, wanted.getMaxIter(), wanted.getTol()))
 
 
+def fit_bisecting(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED, max_iter: int | None = None) -> Tree:
+    """The divisions of Spark ML's bisecting k-means, its labels numbered from left to right. Its estimator
+    takes the first step; the others run on blocks of rows (``sweeps.bisecting_rounds``), where Spark ML
+    keeps an object for each row. Of centred rows the first step is decided by how their mean is rounded."""
+    wanted = estimator("bisecting_kmeans", k, seed, max_iter)
+    first = estimator("bisecting_kmeans", 2, seed, 1).fit(feature_frame(df, features, keep=False)).clusterCenters()
+    draws = df.sparkSession._jvm.java.util.Random(seed)
+    points = grouped_points(df, F.lit(0), F.array(*[named(f).cast("double") for f in features]))
+    noise = lambda d: np.array([draws.nextDouble() for _ in range(d)])
+    centres = bisecting_rounds(points, k, first, noise, wanted.getMaxIter())
+    labels = itertools.count()
+
+    def below(n: int) -> Tree:
+        parts = [p for p in (2 * n + 1, 2 * n + 2) if p in centres]
+        if not parts:
+            return next(labels)
+        if len(parts) == 1:
+            return below(parts[0])
+        left, right = (tuple(map(float, centres[p])) for p in parts)
+        return left, below(parts[0]), right, below(parts[1])
+
+    return below(0)
+
+
 def cluster(
     df: DataFrame, method: str, k: int, features: Sequence[str], label: str, seed: int = SEED
 ) -> DataFrame:

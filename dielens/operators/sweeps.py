@@ -419,36 +419,93 @@ def _apart(rows: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", gaps, gaps)
 
 
-def part_costs(points: RDD, centres: Mapping[int, np.ndarray]) -> dict[int, tuple[int, float]]:
-    """Rows and cost of the parts, 2n + 1 and 2n + 2, of every divided cluster n."""
+def _parts(group: int, rows: np.ndarray, centres: Mapping[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(part, its rows, their squared distances to its centre): each row is in the part of the nearer
+    centre, the first on a tie; parts of no rows are left out."""
+    gaps = [_apart(rows, c) for c in centres.values()]
+    later = gaps[0] > gaps[-1]
+    for part, mine, apart in zip(centres, (~later, later), gaps):
+        if mine.any():
+            yield part, rows[mine], apart[mine]
+
+
+def part_costs(points: RDD, divisions: Mapping[int, Mapping[int, np.ndarray]]) -> dict[int, tuple[int, float]]:
+    """Rows and cost of the parts of every divided cluster, given by their centres."""
 
     def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        if group in centres:
-            first, second = (_apart(rows, c) for c in centres[group])
-            later = first > second
-            for number, mine, gaps in ((2 * group + 1, ~later, first), (2 * group + 2, later, second)):
-                if mine.any():
-                    yield number, np.array([mine.sum(), gaps[mine].sum()])
+        for part, mine, apart in _parts(group, rows, divisions[group]) if group in divisions else ():
+            yield part, np.array([len(mine), apart.sum()])
 
     return {part: (int(n), float(cost)) for part, (n, cost) in _add_up(points, fold).items()}
 
 
-def divided(points: RDD, centres: Mapping[int, np.ndarray]) -> RDD:
+def divided(points: RDD, divisions: Mapping[int, Mapping[int, np.ndarray]]) -> RDD:
     """The blocks of the parts of divided clusters. They are made anew in each scan, next to what reads
     them, so that a tree of divisions keeps one copy of the rows however deep it is."""
 
     def divide(stream: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
         for block in stream:
-            if block[0] in centres:
-                rows = _matrix(block)
-                later = np.greater(*(_apart(rows, c) for c in centres[block[0]]))
-                for number, mine in ((2 * block[0] + 1, ~later), (2 * block[0] + 2, later)):
-                    if mine.any():
-                        yield number, block[1], rows[mine].tobytes()
+            for part, mine, _ in _parts(block[0], _matrix(block), divisions[block[0]]) if block[0] in divisions else ():
+                yield part, block[1], mine.tobytes()
 
     return points.mapPartitions(divide)
 
 
+def bisecting_rounds(
+    points: DataFrame | RDD, k: int, first: Sequence[np.ndarray], noise: Callable[[int], np.ndarray], max_iter: int
+) -> dict[int, np.ndarray]:
+    """Centres of the tree of Spark ML's bisecting k-means: of the whole, 0, and of the parts of every
+    divided cluster n, 2n + 1 and 2n + 2 (one, where the other has no rows).
+
+    Points are of one group; ``first`` are the centres of the parts of the whole after one step. A level
+    divides the largest clusters, as many as are still needed, each from its centre less and plus a
+    ten-thousandth of ``noise`` times its norm. A step is one job for all divisions of a level; a level
+    ends after ``max_iter`` steps, or when no centre moves any more.
+    """
+    centres: dict[int, np.ndarray] = {}
+    with held_blocks(points) as level:
+        whole = _add_up(level, lambda _, rows: iter([(0, np.append(rows.sum(0), len(rows)))]))
+        if not whole:
+            return centres
+        centres[0] = whole[0][:-1] / whole[0][-1]
+        bottom = {0: (int(whole[0][-1]), math.inf)}
+        needed = k - 1
+        while needed > 0:
+            able = [n for n, (size, cost) in sorted(bottom.items()) if cost > np.finfo(float).eps * size]
+            chosen = able if len(able) <= needed else sorted(able, key=lambda n: -bottom[n][0])[:needed]
+            if not chosen:
+                break
+            parts = {}
+            for n in chosen:
+                shift = 1e-4 * np.linalg.norm(centres[n]) * noise(len(centres[n]))
+                parts[n] = {2 * n + 1: centres[n] - shift, 2 * n + 2: centres[n] + shift}
+            if chosen == [0]:
+                parts[0] = dict(enumerate(first, 1))
+                sizes = {1: bottom[0][0]}
+            for _ in range(max_iter - (chosen == [0])):
+                before, now = {n: list(p.values()) for n, p in parts.items()}, dict(parts)
+
+                def fold(group: int, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+                    if group in now:
+                        yield group, _cluster_sums(rows, [np.stack(list(now[group].values()))])[0]
+
+                sizes = {}
+                for n, sums in _add_up(level, fold).items():
+                    count = sums[2 : 2 + len(parts[n])]
+                    means = sums[2 + len(count) :].reshape(len(count), -1) / np.maximum(count, 1)[:, None]
+                    found = [(p, c, m) for p, c, m in zip(parts[n], count, means) if c > 0]
+                    parts[n] = {p: m for p, _, m in found}
+                    sizes |= {p: int(c) for p, c, _ in found}
+                if all(np.array_equal(before[n], list(p.values())) for n, p in parts.items()):
+                    break
+            costs = part_costs(level, parts)
+            level = divided(level, parts)
+            bottom = {p: (size, costs[p][1] if p in costs else 0.0) for p, size in sizes.items()}
+            centres |= {p: c for found in parts.values() for p, c in found.items()}
+            needed -= len(chosen)
+    return centres
+
+
 @dataclass(frozen=True)
 class MixtureFit:
     """A Gaussian mixture with full covariances."""

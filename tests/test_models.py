@@ -421,3 +421,25 @@ def test_bisecting_sweep_keeps_one_copy_of_the_points(spark, monkeypatch):
     monkeypatch.setattr(type(frame), "persist", lambda self, *a: kept.append(self) or of_frame(self, *a))
     costs = [r["cost"] for r in choose_k.bisecting_cost_sweep(frame, ["a", "b"], range(2, 9)).collect()]
     assert len(kept) == 1 and costs == sorted(costs, reverse=True) and len(set(costs)) == 7
+
+
+def test_bisecting_takes_the_steps_of_spark_ml(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    centres = rng.normal(10, 6, (7, 3))
+    values = np.concatenate([rng.normal(c, 1.0, (200 + 60 * i, 3)) for i, c in enumerate(centres)])
+    frame = spark.createDataFrame(pd.DataFrame(values, columns=["a", "b", "c"])).repartition(5).cache()
+    vectors = clusters.feature_frame(frame, ["a", "b", "c"]).cache()
+    wanted = {}
+    for k in (2, 3, 6):
+        model = clusters.estimator("bisecting_kmeans", k).fit(vectors.select(clusters.VECTOR))
+        rows = model.transform(vectors).select("a", "b", "c", F.col("_prediction").alias("label"))
+        wanted[k] = sorted(map(tuple, rows.collect()))
+    steps, fit = [], clusters.BisectingKMeans.fit
+    monkeypatch.setattr(clusters.BisectingKMeans, "fit", lambda self, df: steps.append(self.getMaxIter()) or fit(self, df))
+    for k, theirs in wanted.items():
+        labelled, _ = clusters.fit_and_label(frame, ["a", "b", "c"], "bisecting_kmeans", k, "label")
+        assert sorted(map(tuple, labelled.collect())) == theirs
+    assert steps == [1, 1, 1]  # Spark ML, with an object for each row, takes the first step only
+    same = spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double")
+    assert {r["l"] for r in clusters.cluster(same, "bisecting_kmeans", 3, ["a", "b"], "l").collect()} == {0}
+    frame.unpersist(), vectors.unpersist()
