@@ -84,13 +84,20 @@ def fit_mixture(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED
 def fit_bisecting(df: DataFrame, features: Sequence[str], k: int, seed: int = SEED, max_iter: int | None = None) -> Tree:
     """The divisions of Spark ML's bisecting k-means, its labels numbered from left to right. Its estimator
     takes the first step; the others run on blocks of rows (``sweeps.bisecting_rounds``), where Spark ML
-    keeps an object for each row. Of centred rows the first step is decided by how their mean is rounded."""
-    wanted = estimator("bisecting_kmeans", k, seed, max_iter)
-    first = estimator("bisecting_kmeans", 2, seed, 1).fit(feature_frame(df, features, keep=False)).clusterCenters()
+    keeps an object for each row. Of centred rows the first step is decided by how their mean is rounded:
+    a division that leaves a part empty counts as one of the k - 1, and the next one is tried."""
+    wanted, vectors = estimator("bisecting_kmeans", k, seed, max_iter), feature_frame(df, features, keep=False)
+    for lost in range(k - 1):
+        first = estimator("bisecting_kmeans", 2 + lost, seed, 1).fit(vectors).clusterCenters()
+        if len(first) > 1:
+            break
+    else:
+        return 0
     draws = df.sparkSession._jvm.java.util.Random(seed)
-    points = grouped_points(df, F.lit(0), F.array(*[named(f).cast("double") for f in features]))
     noise = lambda d: np.array([draws.nextDouble() for _ in range(d)])
-    centres = bisecting_rounds(points, k, first, noise, wanted.getMaxIter())
+    noise(lost * len(features))
+    points = grouped_points(df, F.lit(0), F.array(*[named(f).cast("double") for f in features]))
+    centres = bisecting_rounds(points, k - lost, first, noise, wanted.getMaxIter())
     labels = itertools.count()
 
     def below(n: int) -> Tree:

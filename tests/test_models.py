@@ -440,6 +440,10 @@ def test_bisecting_takes_the_steps_of_spark_ml(spark, monkeypatch):
         labelled, _ = clusters.fit_and_label(frame, ["a", "b", "c"], "bisecting_kmeans", k, "label")
         assert sorted(map(tuple, labelled.collect())) == theirs
     assert steps == [1, 1, 1]  # Spark ML, with an object for each row, takes the first step only
+    even = spark.createDataFrame([(x, y) for x in (-1.0, 1.0) for y in (-5.0, 5.0)], "a double, b double")
+    evened = clusters.feature_frame(even, ["a", "b"])  # a mean of 0 is moved nowhere: Spark ML divides nothing
+    assert len(clusters.estimator("bisecting_kmeans", 3).fit(evened).clusterCenters()) == 1
+    assert {r["l"] for r in clusters.cluster(even, "bisecting_kmeans", 3, ["a", "b"], "l").collect()} == {0}
     same = spark.createDataFrame([(1.0, 2.0)] * 5, "a double, b double")
     assert {r["l"] for r in clusters.cluster(same, "bisecting_kmeans", 3, ["a", "b"], "l").collect()} == {0}
     frame.unpersist(), vectors.unpersist()
